@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from firmlink import fixtures as fx
 from firmlink.config import MatchConfig
 from firmlink.functions.dates import norm_date
-from firmlink.functions.html import html_company_fields
+from firmlink.functions.html import extract_company_fields
 from firmlink.functions.text import block_key, norm_name
 from firmlink.functions.url import row_hash, url_domain, url_hash
 from firmlink.operators.confirm import apply_verdicts
@@ -45,12 +45,10 @@ def q_url_domain_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_page_company_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     fp = fx.fetched_pages(spark, sf_dir)
-    f = html_company_fields("html", "http_status")
-    return fp.select(
+    f = extract_company_fields(fp, "html", "http_status", keep=["page_id", "url", "http_status"])
+    return f.select(
         "page_id", "url", url_domain("url").alias("domain"), "http_status",
-        f["extracted_name"].alias("extracted_name"),
-        f["extracted_industry"].alias("extracted_industry"),
-        F.length(f["raw_html"]).alias("raw_html_chars"),
+        "extracted_name", "extracted_industry", F.length("raw_html").alias("raw_html_chars"),
     )
 
 

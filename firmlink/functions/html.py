@@ -20,10 +20,11 @@ nested equal tags inside the name element, a void element carrying
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlink.functions.text import _c, py_strip
+from firmlink.operators.project import project_once
 
 # Named entities decoded in text and attribute values;
 # '&amp;' is decoded last so that '&amp;lt;' gives '&lt;'.
@@ -124,10 +125,12 @@ def html_name(html: Column | str) -> Column:
 
 
 def html_company_fields(html: Column | str, http_status: Column | str) -> dict[str, Column]:
-    """Crawl-row fields from a fetch result.
+    """Crawl-row fields from a fetch result, as plain column expressions.
 
     The body is used only for status 200; extraction runs on any non-empty
     body; ``raw_html`` keeps bodies shorter than the size cap (in characters).
+    Prefer :func:`extract_company_fields` on DataFrames: it evaluates each
+    whole-document regex once, where these nested expressions repeat them.
     """
     body = F.when(_c(http_status) == 200, _c(html))
     usable = body.isNotNull() & (body != "")
@@ -138,3 +141,58 @@ def html_company_fields(html: Column | str, http_status: Column | str) -> dict[s
         "extracted_industry": F.when(usable, html_industry(clean)),
         "raw_html": F.when((size > 0) & (size < MAX_STORED_HTML_CHARS), body),
     }
+
+
+def extract_company_fields(df: DataFrame, html: str = "html", http_status: str = "http_status",
+                           keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns (default: all but ``html``) plus ``extracted_name``,
+    ``extracted_industry`` and ``raw_html``.
+
+    Three once-evaluated projections: clean the document; run each
+    whole-document regex once; combine the short strings. (Spark does not
+    share sub-expressions that sit inside conditional branches, so the nested
+    form of :func:`html_company_fields` would rescan the page per use.)
+    """
+    keep = [c for c in df.columns if c != html] if keep is None else list(keep)
+    body = F.when(F.col(http_status) == 200, F.col(html))
+    size = F.length(body)
+    s1 = project_once(df, keep, {
+        "_clean": strip_noise(body),
+        "_usable": body.isNotNull() & (body != ""),
+        "raw_html": F.when((size > 0) & (size < MAX_STORED_HTML_CHARS), body),
+    })
+    clean = F.col("_clean")
+    org_rest = F.regexp_extract(clean, _ORG_REST, 1)
+    s2 = project_once(s1, [*keep, "_usable", "raw_html"], {
+        "_org_inner": F.regexp_extract(org_rest, _ITEMPROP_NAME, 2),
+        "_site": F.regexp_extract(clean, _meta_tag("property", "og:site_name"), 0),
+        "_ogt": F.regexp_extract(clean, _meta_tag("property", "og:title"), 0),
+        "_title": F.nullif(F.regexp_extract(clean, _TITLE, 1), F.lit("")),
+        "_kw": F.regexp_extract(clean, _meta_tag("name", "keywords"), 0),
+        "_ind": F.regexp_extract(clean, _meta_tag("name", "industry"), 0),
+    })
+    site, ogt = F.col("_site"), F.col("_ogt")
+    s3 = project_once(s2, [*keep, "_usable", "raw_html"], {
+        "_org": F.nullif(F.array_join(F.transform(F.split("_org_inner", r"<[^>]*>"),
+                                                  lambda t: py_strip(decode_entities(t))), ""), F.lit("")),
+        "_meta_content": _content_of(F.when(site != "", site).otherwise(ogt)),
+        "_title_name": py_strip(F.substring_index(decode_entities(F.col("_title")), "|", 1)),
+        "_kw_content": _content_of(F.col("_kw")),
+        "_ind_content": _content_of(F.col("_ind")),
+    })
+    meta = F.when(F.col("_meta_content") != "", py_strip(F.col("_meta_content")))
+    kw = F.col("_kw_content")
+    kw_first = F.when(kw != "", py_strip(F.substring_index(kw, ",", 1)))
+    ind = F.when(F.col("_ind_content") != "", py_strip(F.col("_ind_content")))
+    s4 = project_once(s3, [*keep, "_usable", "raw_html", "_org", "_title_name"], {
+        "_meta": meta, "_kw_first": kw_first, "_ind_val": ind,
+    })
+    usable = F.col("_usable")
+    m, kf = F.col("_meta"), F.col("_kw_first")
+    return s4.select(
+        *keep,
+        F.when(usable, F.coalesce(F.col("_org"), F.nullif(m, F.lit("")), F.col("_title_name"), m))
+        .alias("extracted_name"),
+        F.when(usable, F.coalesce(F.nullif(kf, F.lit("")), F.col("_ind_val"), kf)).alias("extracted_industry"),
+        "raw_html",
+    )

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmlink.functions.html import html_company_fields
+from firmlink.functions.html import extract_company_fields
 from firmlink.functions.url import url_domain, url_hash
 from firmlink.operators.dedup import insert_if_absent, keep_first
 from firmlink.schemas import CRAWL, CRAWL_FIELDS, conform, with_audit
@@ -22,9 +22,8 @@ from firmlink.sources.index_hits import hit_extra
 
 def page_fields(pages: DataFrame) -> DataFrame:
     """``(url, http_status, extracted_name, extracted_industry, raw_html)``."""
-    f = html_company_fields("html", "http_status")
-    return pages.select("url", F.col("http_status").cast("int").alias("http_status"),
-                        *[v.alias(k) for k, v in f.items()])
+    p = pages.select("url", F.col("http_status").cast("int").alias("http_status"), "html")
+    return extract_company_fields(p, "html", "http_status", keep=["url", "http_status"])
 
 
 def crawl_rows(

@@ -59,4 +59,4 @@ def insert_if_absent(
     existing = target.select(*keys).filter(
         reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     )
-    return firsts.join(existing, on=keys, how="left_anti")
+    return firsts.join(existing, on=keys, how="left_anti").select(*new.columns)

@@ -28,23 +28,21 @@ def crawl_hits_stream(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(hits_dir).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
+    lines = reader.load(hits_dir).select("value", F.col("_metadata.file_path").alias("_file"))
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         try:
             target = spark.read.schema(CRAWL).parquet(target_path)
         except Exception:  # nothing loaded yet
             target = spark.createDataFrame([], CRAWL)
+        # the row ordinal is taken per micro-batch (a static DataFrame)
+        batch = batch.withColumn("_row", F.monotonically_increasing_id())
         rows = stage_crawl(parse_hit_lines(batch), pages, ORDINAL, target=target)
         rows.write.mode("append").parquet(target_path)
 
-    writer = batch_writer = lines.writeStream.foreachBatch(load_batch).option(
+    writer = lines.writeStream.foreachBatch(load_batch).option(
         "checkpointLocation", checkpoint_location
     )
     if available_now:
-        batch_writer = writer.trigger(availableNow=True)
-    return batch_writer.start()
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -85,13 +85,13 @@ def q_match_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = st.exact_pairs.select("r_norm", "c_norm", F.lit("EXACT").alias("band")).unionByName(
         st.scored.select("r_norm", "c_norm", band("fuzzy_score", CFG).alias("band"))
     )
-    return band_counts(pairs, st.reg_rows, st.crawl_rows)
+    return band_counts(pairs, st.reg_best, st.crawl_best)
 
 
 def q_confirmed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg, cc = fx.unify_inputs(spark, sf_dir)
     st = match_stages(reg, cc, CFG)
-    verdicts = fx.verdict_table(st.candidates)
+    verdicts = fx.verdict_table(_borderline(st))
     judged = apply_verdicts(st.scored, CFG, verdicts=verdicts)
     return judged.filter("confirmed").select(
         F.col("r_norm").alias("reg_norm"), F.col("c_norm").alias("crawl_norm"), "fuzzy_score"
@@ -103,10 +103,20 @@ def q_unify_no_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify(reg, cc, CFG, with_timestamp=False)
 
 
-def q_unify(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _borderline(st) -> DataFrame:
+    s = F.col("fuzzy_score")
+    return st.scored.filter((s >= CFG.lo) & (s < CFG.hi))
+
+
+def _unify_with_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg, cc = fx.unify_inputs(spark, sf_dir)
-    verdicts = fx.verdict_table(match_stages(reg, cc, CFG).candidates)
-    return unify(reg, cc, CFG, verdicts=verdicts, with_timestamp=False)
+    st = match_stages(reg, cc, CFG)
+    verdicts = fx.verdict_table(_borderline(st))
+    return unify(reg, cc, CFG, verdicts=verdicts, with_timestamp=False, stages=st)
+
+
+def q_unify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unify_with_verdicts(spark, sf_dir)
 
 
 def q_keep_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,9 +159,7 @@ def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, load = _registry_load(spark, sf_dir)
     hits, pages = _hits_and_pages(spark, sf_dir)
     crawl = stage_metrics(crawl_hits=hits, crawl_inserted=crawl_rows(hits, pages, ["line_no"]))
-    reg, cc = fx.unify_inputs(spark, sf_dir)
-    verdicts = fx.verdict_table(match_stages(reg, cc, CFG).candidates)
-    unified = match_metrics(unify(reg, cc, CFG, verdicts=verdicts, with_timestamp=False))
+    unified = match_metrics(_unify_with_verdicts(spark, sf_dir))
     return reduce(DataFrame.unionByName, [load.metrics, crawl, unified])
 
 

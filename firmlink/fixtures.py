@@ -78,11 +78,11 @@ def unify_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return registry_names(cc), cc
 
 
-def verdict_table(candidates: DataFrame) -> DataFrame:
-    """Answers per name pair by ``length(reg_norm) % 3``: ``Yes.`` (0),
-    ``No`` (1), no answer (2)."""
+def verdict_table(pairs: DataFrame) -> DataFrame:
+    """Answers for name pairs ``(r_norm, c_norm)`` (the borderline ones) by
+    ``length(reg_norm) % 3``: ``Yes.`` (0), ``No`` (1), no answer (2)."""
     ln = F.length("r_norm") % 3
-    return candidates.filter(ln != 2).select(
+    return pairs.filter(ln != 2).select(
         F.col("r_norm").alias("reg_norm"),
         F.col("c_norm").alias("crawl_norm"),
         F.when(ln == 0, F.lit("Yes.")).otherwise(F.lit("No")).alias("answer"),

@@ -53,9 +53,11 @@ def prepare_crawl(crawl: DataFrame) -> DataFrame:
 def registry_by_name(reg: DataFrame) -> DataFrame:
     """One registry row per ``(norm, abn)``: the first by the attribute
     tie-break of the final pick (pre-aggregation; NULL ``abn`` rows of one
-    name collapse here exactly as they would in the final pick)."""
+    name collapse here exactly as they would in the final pick), with the
+    number of source rows it stands for."""
     best = F.min(F.struct(*REGISTRY_ATTRS)).alias("_r")
-    return reg.groupBy("norm", "abn").agg(best).select("norm", "abn", "_r.*")
+    rows = F.count(F.lit(1)).alias("n_rows")
+    return reg.groupBy("norm", "abn").agg(best, rows).select("norm", "abn", "_r.*", "n_rows")
 
 
 def crawl_by_name(crawl: DataFrame) -> DataFrame:
@@ -64,7 +66,9 @@ def crawl_by_name(crawl: DataFrame) -> DataFrame:
     the final pick."""
     ind = F.col("extracted_industry")
     first_ind = F.when(F.count(F.lit(1)) > F.count(ind), F.lit(None)).otherwise(F.min(ind))
-    return crawl.groupBy("norm", "domain").agg(first_ind.alias("extracted_industry"))
+    return crawl.groupBy("norm", "domain").agg(
+        first_ind.alias("extracted_industry"), F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 def name_table(names: DataFrame, cfg: MatchConfig, prefix: str) -> DataFrame:

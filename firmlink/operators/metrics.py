@@ -40,12 +40,13 @@ def match_metrics(unified: DataFrame) -> DataFrame:
 def band_counts(pairs: DataFrame, reg: DataFrame, crawl: DataFrame) -> DataFrame:
     """Name pairs and row pairs per band.
 
-    ``pairs`` holds ``(r_norm, c_norm, band)``; ``reg``/``crawl`` hold one row
-    per source row with column ``norm``. Row pairs are counted as
-    ``sum(rows_r * rows_c)`` over name pairs, without forming them.
+    ``pairs`` holds ``(r_norm, c_norm, band)``; ``reg``/``crawl`` hold
+    ``norm`` and ``n_rows`` (source rows per entry, as in the per-name tables
+    of the matching plan). Row pairs are counted as ``sum(rows_r * rows_c)``
+    over name pairs, without forming them.
     """
-    rn = reg.groupBy(F.col("norm").alias("r_norm")).agg(F.count(F.lit(1)).alias("rows_r"))
-    cn = crawl.groupBy(F.col("norm").alias("c_norm")).agg(F.count(F.lit(1)).alias("rows_c"))
+    rn = reg.groupBy(F.col("norm").alias("r_norm")).agg(F.sum("n_rows").alias("rows_r"))
+    cn = crawl.groupBy(F.col("norm").alias("c_norm")).agg(F.sum("n_rows").alias("rows_c"))
     return (
         pairs.join(rn, "r_norm").join(cn, "c_norm")
         .groupBy("band")

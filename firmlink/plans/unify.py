@@ -17,7 +17,6 @@ shuffle), so a hot (abn, domain) group never lands whole in one task.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,6 +26,7 @@ from firmlink.config import MatchConfig
 from firmlink.functions.text import MATCH_FUZZY_LLM, precedence
 from firmlink.operators.confirm import typed_fuzzy_pairs
 from firmlink.operators.dedup import pick_best
+from firmlink.operators.materialize import materialize
 from firmlink.operators.match import (
     REGISTRY_ATTRS,
     candidate_pairs,
@@ -40,40 +40,40 @@ from firmlink.operators.match import (
 from firmlink.schemas import UNIFIED_FIELDS
 
 
-@dataclass
 class MatchStages:
-    """Intermediate DataFrames of the matching plan (all lazy)."""
-
-    reg_rows: DataFrame      # (abn, attrs..., norm), one per registry row
-    crawl_rows: DataFrame    # (domain, extracted_industry, norm), one per crawl row
-    reg_best: DataFrame      # one per (norm, abn)
-    crawl_best: DataFrame    # one per (norm, domain)
-    reg_names: DataFrame     # distinct norm
-    crawl_names: DataFrame   # distinct norm
-    exact_pairs: DataFrame   # (r_norm, c_norm, fuzzy_score, match_type)
-    candidates: DataFrame    # (r_norm, c_norm, bk, r_len, c_len, overlap)
-    scored: DataFrame        # (r_norm, c_norm, fuzzy_score), score >= lo
-
-
-def match_stages(registry: DataFrame, crawl: DataFrame, cfg: MatchConfig = MatchConfig()) -> MatchStages:
-    reg_rows = prepare_registry(registry)
-    crawl_rows = prepare_crawl(crawl)
-    reg_best = registry_by_name(reg_rows)
-    crawl_best = crawl_by_name(crawl_rows)
-    reg_names = reg_best.select("norm").distinct()
-    crawl_names = crawl_best.select("norm").distinct()
-    candidates = candidate_pairs(reg_names, crawl_names, cfg)
-    return MatchStages(
-        reg_rows=reg_rows,
-        crawl_rows=crawl_rows,
-        reg_best=reg_best,
-        crawl_best=crawl_best,
-        reg_names=reg_names,
-        crawl_names=crawl_names,
-        exact_pairs=exact_name_pairs(reg_names, crawl_names),
-        candidates=candidates,
-        scored=score_pairs(candidates, cfg),
-    )
+    """Intermediate DataFrames of the matching plan.
+
+    The per-name tables are materialised once (checkpoint in the cluster's
+    checkpoint folder, else persisted): they feed the name sets, the
+    candidate generation and the final join-back, and would otherwise each
+    re-read and re-normalise the source tables. The scored pairs (the one
+    Python step) are materialised on first use for the same reason.
+    """
+
+    def __init__(self, registry: DataFrame, crawl: DataFrame, cfg: MatchConfig, materialize_stages: bool = True):
+        self.cfg = cfg
+        self._mat = materialize if materialize_stages else (lambda d: d)
+        self.reg_rows = prepare_registry(registry)       # (abn, attrs..., norm) per registry row
+        self.crawl_rows = prepare_crawl(crawl)            # (domain, extracted_industry, norm)
+        self.reg_best = self._mat(registry_by_name(self.reg_rows))      # one per (norm, abn)
+        self.crawl_best = self._mat(crawl_by_name(self.crawl_rows))     # one per (norm, domain)
+        self.reg_names = self.reg_best.select("norm").distinct()
+        self.crawl_names = self.crawl_best.select("norm").distinct()
+        self.exact_pairs = exact_name_pairs(self.reg_names, self.crawl_names)
+        self.candidates = candidate_pairs(self.reg_names, self.crawl_names, cfg)
+        self._scored = None
+
+    @property
+    def scored(self) -> DataFrame:
+        """``(r_norm, c_norm, fuzzy_score)`` with score ``>= lo``."""
+        if self._scored is None:
+            self._scored = self._mat(score_pairs(self.candidates, self.cfg))
+        return self._scored
+
+
+def match_stages(registry: DataFrame, crawl: DataFrame, cfg: MatchConfig = MatchConfig(),
+                 materialize_stages: bool = True) -> MatchStages:
+    return MatchStages(registry, crawl, cfg, materialize_stages)
 
 
 def expand_pairs(pairs: DataFrame, st: MatchStages) -> DataFrame:
@@ -101,6 +101,7 @@ def unify(
     verdicts: DataFrame | None = None,
     confirmer: Callable[[pd.DataFrame], pd.Series] | None = None,
     with_timestamp: bool = True,
+    stages: MatchStages | None = None,
 ) -> DataFrame:
     """Unified company rows: ``abn, entity_name, entity_type, address,
     postcode, state, domain, extracted_industry, match_type`` (+
@@ -112,7 +113,7 @@ def unify(
     ``(reg_norm, crawl_norm, answer)`` or the ``confirmer`` function; with
     neither, only exact and high-confidence matches are kept.
     """
-    st = match_stages(registry, crawl, cfg)
+    st = stages if stages is not None else match_stages(registry, crawl, cfg)
     fuzzy = typed_fuzzy_pairs(st.scored, cfg, verdicts, confirmer)
     pairs = st.exact_pairs.unionByName(fuzzy)
     out = best_per_company_domain(expand_pairs(pairs, st))

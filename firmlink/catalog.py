@@ -24,6 +24,7 @@ from firmlink.plans.unify import exact_matches, match_stages, unify
 from firmlink.schemas import CRAWL_FIELDS, REGISTRY_FIELDS
 from firmlink.sources.index_hits import parse_hit_lines
 from firmlink.sources.registry_xml import flatten_registry, parse_registry_xml
+from firmlink.sources.tables import read_table, scratch_path, write_table
 
 CFG = MatchConfig()
 
@@ -163,6 +164,16 @@ def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [load.metrics, crawl, unified])
 
 
+def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write a whole table through ``write_table`` (overwrite, then append of
+    nothing) and read it back through ``read_table``."""
+    src = fx.table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "roundtrip")
+    write_table(src, "parquet", "overwrite", path)
+    write_table(src.limit(0), "parquet", "append", path)
+    return read_table(spark, "parquet", path)
+
+
 QUERIES = {
     "normalize_names": q_normalize_names,
     "url_domain_hash": q_url_domain_hash,
@@ -181,6 +192,7 @@ QUERIES = {
     "registry_quarantine": q_registry_quarantine,
     "date_normalize": q_date_normalize,
     "load_metrics": q_load_metrics,
+    "table_roundtrip": q_table_roundtrip,
 }
 
 __all__ = ["QUERIES", "CRAWL_FIELDS"]

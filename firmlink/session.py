@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "firmlink", master: str | None = None, shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, checkpoint: bool = True) -> SparkSession:
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -30,7 +30,8 @@ def get_spark(app: str = "firmlink", master: str | None = None, shuffle_partitio
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
     return spark
 
 

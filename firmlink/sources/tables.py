@@ -28,6 +28,17 @@ def write_table(df: DataFrame, fmt: str = "parquet", mode: str = "append", path:
     w.save(path) if path is not None else w.save()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder (else the
+    warehouse folder) for intermediate tables."""
+    import uuid
+
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
+        or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/firmlink-{name}-{uuid.uuid4().hex}"
+
+
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Fetched pages ``(url, http_status, html)``: one row per URL, status NULL
     for a failed fetch."""

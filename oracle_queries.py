@@ -388,4 +388,5 @@ SELECT key, page_id, url, 1 AS load FROM l1 UNION ALL SELECT key, page_id, url,
         "registry_quarantine": registry_quarantine_sql(),
         "date_normalize": _dates_sql(),
         "load_metrics": _load_metrics_sql(),
+        "table_roundtrip": "SELECT * FROM customer",
     }

@@ -21,6 +21,8 @@ class MatchConfig:
     ``score >= hi`` is accepted without confirmation.
     ``confirm_limit`` caps the distinct name pairs handed to a confirmation
     *function* (it costs per call); a verdict table is never capped.
+    ``write_mode`` for the unified table: ``append`` (every run adds its
+    rows), ``overwrite``, or ``insert_if_absent`` on ``(abn, domain)``.
     """
 
     block_chars: int = DEFAULT_BLOCK_CHARS
@@ -30,6 +32,8 @@ class MatchConfig:
     write_mode: str = DEFAULT_WRITE_MODE
 
     def __post_init__(self):
+        if self.write_mode not in ("append", "overwrite", "insert_if_absent"):
+            raise ValueError("write_mode must be append, overwrite or insert_if_absent")
         if not (0.0 < self.lo <= self.hi <= 1.0):
             raise ValueError("need 0 < lo <= hi <= 1")
         if self.block_chars < 1:

@@ -12,12 +12,23 @@ from firmlink.functions.text import _c
 NETLOC_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
+# A bracketed host must be an IPv6 address (hex groups, optional embedded
+# IPv4 and zone) or an IPvFuture literal; anything else makes the parser raise.
+BRACKETED_HOST = r"^[^\[\]]*\[(v[0-9A-Fa-f]+\.[^\[\]]+|[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(%[^\[\]]+)?)\](:[^\[\]]*)?$"
+
+
 def url_domain(url: Column | str) -> Column:
     """Lower-cased network location; ``""`` without ``//``; NULL for NULL and
-    for an unbalanced IPv6 bracket (where the URL parser raises)."""
+    where the URL parser raises (unbalanced or invalid bracketed host).
+
+    As the parser does, tab/CR/LF are removed anywhere and leading C0 control
+    characters and spaces are dropped first.
+    """
     u = _c(url)
-    netloc = F.regexp_extract(u, NETLOC_PATTERN, 1)
-    bad = netloc.contains("[") != netloc.contains("]")
+    cleaned = F.regexp_replace(F.regexp_replace(u, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+    netloc = F.regexp_extract(cleaned, NETLOC_PATTERN, 1)
+    has_open, has_close = netloc.contains("["), netloc.contains("]")
+    bad = (has_open != has_close) | ((has_open | has_close) & ~netloc.rlike(BRACKETED_HOST))
     return F.when(u.isNull() | bad, F.lit(None).cast("string")).otherwise(F.lower(netloc))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
+from firmlink.operators.dedup import insert_if_absent
 from firmlink.plans.stage_crawl import stage_crawl
 from firmlink.plans.stage_registry import stage_registry
 from firmlink.plans.unify import unify
@@ -68,9 +69,15 @@ def run_all(
 
     registry = spark.read.schema(REGISTRY).parquet(reg_path)
     crawl = spark.read.schema(CRAWL).parquet(crawl_path)
-    unified = unify(registry, crawl, cfg, verdicts=verdicts)
-    mode = "overwrite" if cfg.write_mode == "overwrite" else "append"
-    unified.select([f.name for f in UNIFIED.fields]).write.mode(mode).parquet(unified_path)
+    unified = unify(registry, crawl, cfg, verdicts=verdicts).select([f.name for f in UNIFIED.fields])
+    if cfg.write_mode == "insert_if_absent":
+        # keep rows already in the table; add only new (abn, domain) pairs
+        existing = _existing(spark, unified_path, UNIFIED)
+        unified = insert_if_absent(unified, existing, ["abn", "domain"], ["match_type"])
+        mode = "append"
+    else:
+        mode = "overwrite" if cfg.write_mode == "overwrite" else "append"
+    unified.write.mode(mode).parquet(unified_path)
 
     counts = {}
     for name, path in (("registry", reg_path), ("crawl", crawl_path), ("unified", unified_path)):

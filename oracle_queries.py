@@ -23,8 +23,12 @@ def decode(x: str) -> str:
 
 
 def domain(u: str) -> str:
-    n = rf"regexp_extract({u}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1)"
-    return f"(CASE WHEN contains({n}, '[') <> contains({n}, ']') THEN NULL ELSE lower({n}) END)"
+    cleaned = rf"regexp_replace(regexp_replace({u}, '[\t\r\n]', '', 'g'), '^[\x00-\x20]+', '')"
+    n = rf"regexp_extract({cleaned}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1)"
+    bracket_ok = (rf"regexp_matches({n}, '^[^\[\]]*\[(v[0-9A-Fa-f]+\.[^\[\]]+|[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*"
+                  rf"(%[^\[\]]+)?)\](:[^\[\]]*)?$')")
+    return (f"(CASE WHEN contains({n}, '[') <> contains({n}, ']') THEN NULL "
+            f"WHEN (contains({n}, '[') OR contains({n}, ']')) AND NOT {bracket_ok} THEN NULL ELSE lower({n}) END)")
 
 
 def norm(x: str) -> str:

@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from firmlink.config import MatchConfig
 from firmlink.plans.run_all import run_all
 from firmlink.streaming import crawl_hits_stream
 
@@ -60,4 +61,7 @@ def test_run_all_twice_loads_once(spark, tmpdir_fresh):
     assert unified == {("1", "alpha.com", "EXACT"), ("2", "beta.com", "FUZZY_HIGH")}
     second = run_all(spark, **args)
     assert second["registry"] == 2 and second["crawl"] == 2
+    assert second["unified"] == 4  # append mode adds the rows again
+    third = run_all(spark, cfg=MatchConfig(write_mode="insert_if_absent"), **args)
+    assert third["unified"] == 4
     assert len(os.listdir(os.path.join(out, "quarantine"))) >= 1

@@ -11,6 +11,8 @@ URLS = [
     "https://Example.COM/a?b#c", "http://user:pw@host.example.com:8080/x", "//cdn.example.org/p",
     "example.com/path", "localhost:8080//x", "mailto:a@b.c", "HTTP://A_B.com", "http://[::1]:80/",
     "", "ftp://files.example.net", "https://host?q=1", "https://host#frag",
+    "  https://Lead.Space/x", "ht\ttp://tab.example.com/", "https://new\nline.com/", "\x01http://ctl.com/",
+    "http://[2001:db8::1]:8080/p", "http://[v1.fe]/", "http://u@[::ffff:1.2.3.4]/",
 ]
 
 
@@ -28,8 +30,10 @@ def test_url_domain_matches_urlparse(spark):
 
 
 def test_url_domain_unbalanced_bracket_is_null(spark):
-    df = spark.createDataFrame([("http://[::1/x",), (None,)], "u string")
-    assert [r.d for r in df.select(url_domain("u").alias("d")).collect()] == [None, None]
+    bad = ["http://[::1/x", "http://[abc]/", "http://a]b/"]
+    df = spark.createDataFrame([(u,) for u in bad] + [(None,)], "u string")
+    assert [r.d for r in df.select(url_domain("u").alias("d")).collect()] == [model_domain(u) for u in bad] + [None]
+    assert all(model_domain(u) is None for u in bad)
 
 
 def test_url_and_row_hash(spark):

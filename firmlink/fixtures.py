@@ -46,8 +46,9 @@ def crawl_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_names(cc: DataFrame) -> DataFrame:
-    """``reg``: registry rows derived from crawl names by ``page_id % 4``:
-    exact (+ suffix), two characters short, three quarters, reversed."""
+    """``reg``: one registry row per crawl row, its name derived by
+    ``page_id % 4``: exact (+ suffix), two characters short, three quarters,
+    reversed (no match). ``page_id % 10 = 6`` has no company number."""
     pid = F.col("page_id")
     nm = F.col("extracted_name")
     ln = F.length(nm)
@@ -60,7 +61,7 @@ def registry_names(cc: DataFrame) -> DataFrame:
     abn = F.when(pid % 10 == 6, F.lit(None).cast("string")).otherwise(
         (F.lit(10_000_000_000) + pid).cast("string")
     )
-    return cc.filter((pid % 2 == 0) | (pid % 5 < 3)).select(
+    return cc.select(
         "page_id",
         abn.alias("abn"),
         name.alias("entity_name"),

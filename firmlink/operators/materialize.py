@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame
 
 
 def checkpoint_dir(df: DataFrame) -> str | None:
+    """The session's checkpoint folder, or None (also when the session has no
+    SparkContext, as with a remote client)."""
     spark = df.sparkSession
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current

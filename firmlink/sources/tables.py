@@ -33,9 +33,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     warehouse folder) for intermediate tables."""
     import uuid
 
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
-        or spark.conf.get("spark.sql.warehouse.dir")
+    try:
+        ckpt = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - remote session
+        ckpt = None
+    base = ckpt or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/firmlink-{name}-{uuid.uuid4().hex}"
 
 

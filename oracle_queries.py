@@ -77,7 +77,7 @@ REG = f"""reg AS (
          'Unit ' || CAST(page_id AS VARCHAR) || ' Example Street' AS address,
          lpad(CAST(page_id % 9000 AS VARCHAR), 4, '0') AS postcode,
          {STATES}[page_id % 8 + 1] AS state
-  FROM cc WHERE page_id % 2 = 0 OR page_id % 5 < 3)"""
+  FROM cc)"""
 
 OVERLAP = (
     "list_sum(list_transform(list_distinct(string_split(r.norm, '')), lambda ch: "

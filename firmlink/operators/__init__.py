@@ -13,6 +13,8 @@ from firmlink.operators.match import (
 )
 from firmlink.operators.confirm import answer_is_yes, apply_verdicts, typed_fuzzy_pairs
 from firmlink.operators.metrics import band_counts, match_metrics, stage_metrics
+from firmlink.operators.materialize import materialize
+from firmlink.operators.project import project_once
 
 __all__ = [
     "insert_if_absent", "keep_first", "pick_best",
@@ -20,4 +22,5 @@ __all__ = [
     "prepare_registry", "registry_by_name", "score_pairs",
     "answer_is_yes", "apply_verdicts", "typed_fuzzy_pairs",
     "band_counts", "match_metrics", "stage_metrics",
+    "materialize", "project_once",
 ]

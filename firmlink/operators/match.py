@@ -19,6 +19,8 @@ exact and never enumerates all pairs of a block:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,15 +106,19 @@ def _prefix_tokens(names: DataFrame, side: str, rank: DataFrame, cfg: MatchConfi
     )
 
 
-def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig) -> DataFrame:
+def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
+                    hold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Distinct unequal name pairs in one block that pass the length and
     multiset bounds: ``(r_norm, c_norm, r_len, c_len, overlap)``.
 
     ``reg_names``/``cc_names`` hold one column ``norm`` of distinct non-NULL
-    names.
+    names. ``hold`` (e.g. :func:`materialize`) is applied to the two token
+    tables, which the frequency ranking and the prefix step both read.
     """
     r = name_table(reg_names, cfg, "r")
     c = name_table(cc_names, cfg, "c")
+    if hold is not None:
+        r, c = hold(r), hold(c)
     # Document frequency of each token over both name sets; a few thousand
     # rows at most (alphabet x longest name), so AQE broadcasts it at runtime.
     rank = (

@@ -1,14 +1,21 @@
 """Materialise an intermediate result that several branches of a job read.
 
-With ``spark.checkpoint.dir`` set (the cluster's shared folder) this is a
-reliable checkpoint: the rows are written once and the lineage is cut, so a
-lost executor costs a re-read, not a recomputation from the sources. Without
-one (a session that set no checkpoint folder) it falls back to
-``persist(MEMORY_AND_DISK)``, recomputed from lineage on loss.
+With a checkpoint folder (``spark.checkpoint.dir``, the cluster's shared
+storage) the rows are written once as a Parquet table under it and read back:
+the lineage is cut, so a lost executor costs a re-read, not a recomputation
+from the sources. A DataFrame write (unlike an RDD checkpoint of a cached
+plan) gets AQE's partition coalescing, computes the plan once, and the read
+back is split by file size and pruned by column.
+
+Without a checkpoint folder it falls back to ``persist(MEMORY_AND_DISK)``,
+recomputed from lineage on loss. The tables stay under the checkpoint folder
+until it is cleared with the job's other checkpoint data.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -20,7 +27,7 @@ def checkpoint_dir(df: DataFrame) -> str | None:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session
-        return None
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -30,7 +37,10 @@ def checkpoint_dir(df: DataFrame) -> str | None:
     return conf
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    if checkpoint_dir(df):
-        return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    base = checkpoint_dir(df)
+    if base:
+        path = f"{base.rstrip('/')}/firmlink-{name}-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     return df.persist(StorageLevel.MEMORY_AND_DISK)

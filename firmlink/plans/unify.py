@@ -46,12 +46,14 @@ class MatchStages:
     The per-name tables are materialised once (checkpoint in the cluster's
     checkpoint folder, else persisted): they feed the name sets, the
     candidate generation and the final join-back, and would otherwise each
-    re-read and re-normalise the source tables. The scored pairs (the one
-    Python step) are materialised on first use for the same reason.
+    re-read and re-normalise the source tables. The token tables of the
+    candidate generation and the scored pairs (the one Python step) are
+    materialised on first use for the same reason.
     """
 
     def __init__(self, registry: DataFrame, crawl: DataFrame, cfg: MatchConfig, materialize_stages: bool = True):
         self.cfg = cfg
+        self._materialize = materialize_stages
         self._mat = materialize if materialize_stages else (lambda d: d)
         self.reg_rows = prepare_registry(registry)       # (abn, attrs..., norm) per registry row
         self.crawl_rows = prepare_crawl(crawl)            # (domain, extracted_industry, norm)
@@ -60,9 +62,18 @@ class MatchStages:
         self.reg_names = self.reg_best.select("norm").distinct()
         self.crawl_names = self.crawl_best.select("norm").distinct()
         self.exact_pairs = exact_name_pairs(self.reg_names, self.crawl_names)
-        self.candidates = candidate_pairs(self.reg_names, self.crawl_names, cfg)
+        self._candidates = None
         self._scored = None
 
+    @property
+    def candidates(self) -> DataFrame:
+        """``(r_norm, c_norm, bk, r_len, c_len, overlap)``; the token tables
+        are materialised on first use."""
+        if self._candidates is None:
+            hold = self._mat if self._materialize else None
+            self._candidates = candidate_pairs(self.reg_names, self.crawl_names, self.cfg, hold=hold)
+        return self._candidates
+
     @property
     def scored(self) -> DataFrame:
         """``(r_norm, c_norm, fuzzy_score)`` with score ``>= lo``."""

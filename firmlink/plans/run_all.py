@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
 from firmlink.operators.dedup import insert_if_absent
+from firmlink.operators.materialize import materialize
 from firmlink.plans.stage_crawl import stage_crawl
 from firmlink.plans.stage_registry import stage_registry
 from firmlink.plans.unify import unify
@@ -54,9 +54,9 @@ def run_all(
 
     parsed = read_registry_xml(spark, registry_xml, layout, row_tags)
     flat = flatten_registry(parsed, layout, keep=ORDINAL)
-    # Both the table and the quarantine read the parsed records: keep them
-    # once (recomputed from the files if an executor is lost).
-    flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+    # Both the table and the quarantine read the parsed records: parse the
+    # XML once (a table under the checkpoint folder, else persisted).
+    flat = materialize(flat, "registry-parsed")
     load = stage_registry(flat, ORDINAL, target=_existing(spark, reg_path, REGISTRY))
     load.inserted.write.mode("append").parquet(reg_path)
     write_quarantine(load.quarantine, os.path.join(out_dir, "quarantine"))

@@ -17,9 +17,14 @@ ISO_DATE_TIME = (
 # shape test; month-first before day-first.
 LENIENT_FORMATS = (
     (r"^\d{8}$", ("yyyyMMdd",)),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", ("yyyy/M/d",)),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", ("M/d/yyyy", "d/M/yyyy")),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", ("M-d-yyyy", "d-M-yyyy")),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", ("M.d.yyyy", "d.M.yyyy")),
     (r"^\d{1,2} [A-Za-z]+ \d{4}$", ("d MMMM yyyy", "d MMM yyyy")),
+    (r"^\d{1,2}-[A-Za-z]+-\d{4}$", ("d-MMMM-yyyy", "d-MMM-yyyy")),
     (r"^[A-Za-z]+ \d{1,2}, \d{4}$", ("MMMM d, yyyy", "MMM d, yyyy")),
+    (r"^[A-Za-z]+ \d{1,2} \d{4}$", ("MMMM d yyyy", "MMM d yyyy")),
 )
 
 

@@ -38,3 +38,24 @@ def test_result_independent_of_partitioning(spark):
     c = _set(keep_first(df.repartition(5, "v"), ["key"], ["ord"]))
     d = _set(keep_first(df.coalesce(1), ["key"], ["ord"]))
     assert a == b and c == d
+
+
+def test_hot_key_is_pre_aggregated(spark):
+    # one key holds a third of all rows: the plan must combine it map-side
+    # (partial aggregation) instead of sorting the whole group in one task
+    from pyspark.sql import functions as F
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("key"),
+        F.col("id").alias("ord"),
+        (F.col("id") * 7 % 11).cast("string").alias("v"),
+    )
+    out = pick_best(df, ["key"], [F.col("v"), F.col("ord")])
+    hot = out.filter("key = 'hot'").collect()
+    assert len(hot) == 1 and (hot[0].v, hot[0].ord) == ("0", 0)
+    assert out.count() == 1 + (n - n // 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "Window" not in plan
+    kf = keep_first(df, ["key"], ["ord"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in kf and "Window" not in kf

@@ -65,6 +65,14 @@ def test_url_and_row_hash(spark):
         ("   ", None),
         (None, None),
         ("2024-01-01 junk", None),
+        ("2024/1/5", dt.date(2024, 1, 5)),
+        ("01-05-2024", dt.date(2024, 1, 5)),
+        ("13-05-2024", dt.date(2024, 5, 13)),
+        ("1.5.2024", dt.date(2024, 1, 5)),
+        ("5-Jan-2024", dt.date(2024, 1, 5)),
+        ("Jan 5 2024", dt.date(2024, 1, 5)),
+        ("September 30, 2023", dt.date(2023, 9, 30)),
+        ("2024", None),
     ],
 )
 def test_norm_date(spark, raw, expected):

@@ -17,7 +17,7 @@ from firmlink.config import MatchConfig
 from firmlink.operators.dedup import insert_if_absent
 from firmlink.operators.materialize import materialize
 from firmlink.plans.stage_crawl import stage_crawl
-from firmlink.plans.stage_registry import stage_registry
+from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.plans.unify import unify
 from firmlink.schemas import CRAWL, REGISTRY, UNIFIED
 from firmlink.sources.index_hits import read_index_hits
@@ -59,7 +59,7 @@ def run_all(
     flat = materialize(flat, "registry-parsed")
     load = stage_registry(flat, ORDINAL, target=_existing(spark, reg_path, REGISTRY))
     load.inserted.write.mode("append").parquet(reg_path)
-    write_quarantine(load.quarantine, os.path.join(out_dir, "quarantine"))
+    write_quarantine(load.quarantine, os.path.join(out_dir, "quarantine"), record_cols=RECORD_FIELDS)
     flat.unpersist()
 
     hits = read_index_hits(spark, index_hits)

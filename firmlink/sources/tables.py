@@ -53,12 +53,24 @@ def quarantine_time():
     return F.date_format(utc, "yyyyMMdd'T'HHmmss'Z'")
 
 
-def write_quarantine(bad: DataFrame, path: str, reason_col: str = "reason") -> None:
-    """Append rejected records as JSON lines, one folder per reason, each with
-    its quarantine time."""
-    (
-        bad.withColumn("quarantine_time", quarantine_time())
-        .write.mode("append")
-        .partitionBy(reason_col)
-        .json(path)
+def quarantine_lines(bad: DataFrame, record_cols: list[str], reason_col: str = "reason") -> DataFrame:
+    """``{"error": <reason>, "record": {<fields>}, "quarantine_time": ...}``
+    rows (plus ``reason_col`` for the folder split)."""
+    return bad.select(
+        F.col(reason_col).alias("error"),
+        F.struct(*record_cols).alias("record"),
+        quarantine_time().alias("quarantine_time"),
+        F.col(reason_col),
     )
+
+
+def write_quarantine(bad: DataFrame, path: str, reason_col: str = "reason",
+                     record_cols: list[str] | None = None) -> None:
+    """Append rejected records as JSON lines, one folder per reason. With
+    ``record_cols`` each line is ``{"error", "record", "quarantine_time"}``;
+    otherwise the columns are written flat with ``quarantine_time``."""
+    if record_cols is not None:
+        out = quarantine_lines(bad, record_cols, reason_col)
+    else:
+        out = bad.withColumn("quarantine_time", quarantine_time())
+    out.write.mode("append").partitionBy(reason_col).json(path)

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from firmlink.plans.stage_registry import stage_registry
+from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.sources.registry_xml import BULK_LAYOUT, flatten_registry, read_registry_xml
 from firmlink.sources.tables import write_quarantine
 from tests.conftest import SF001
@@ -70,10 +70,11 @@ def test_flatten_fallbacks_quarantine_and_keep_first(spark, tmpdir_fresh):
     assert metrics == {"registry_parsed": 6, "registry_quarantined": 1, "registry_inserted": 4}
 
     qdir = os.path.join(tmpdir_fresh, "quarantine")
-    write_quarantine(load.quarantine, qdir)
+    write_quarantine(load.quarantine, qdir, record_cols=RECORD_FIELDS)
     files = glob.glob(os.path.join(qdir, "reason=missing_key_fields", "*.json"))
     recs = [json.loads(line) for f in files for line in open(f, encoding="utf-8")]
-    assert len(recs) == 1 and recs[0]["state"] == "NSW"
+    assert len(recs) == 1 and recs[0]["error"] == "missing_key_fields"
+    assert recs[0]["record"]["state"] == "NSW" and recs[0]["record"]["entity_type"] == "IND"
     assert len(recs[0]["quarantine_time"]) == 16 and recs[0]["quarantine_time"].endswith("Z")
 
 

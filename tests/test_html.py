@@ -2,7 +2,6 @@
 status gate and size cap; nested-column and staged forms agree."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from firmlink.functions.html import (
     MAX_STORED_HTML_CHARS,

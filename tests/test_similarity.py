@@ -14,7 +14,6 @@ from firmlink.functions.similarity import (
     length_bound,
     min_overlap_py,
     multiset_bound,
-    ratio_py,
     ratio_udf,
 )
 from firmlink.operators.match import candidate_pairs

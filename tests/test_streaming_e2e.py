@@ -3,7 +3,6 @@
 import json
 import os
 
-import pytest
 
 from firmlink.config import MatchConfig
 from firmlink.plans.run_all import run_all

@@ -1,7 +1,6 @@
 """Unification semantics and plan shape."""
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
 from firmlink.plans.unify import unify

@@ -48,8 +48,13 @@ _ORG_REST = (
     r"""(?is)<[a-z][a-z0-9:_-]*\b(?=[^>]*\sitemtype\s*=\s*["']?[^"'>]*schema.org/Organization)"""
     r"""[^>]*>(.*)$"""
 )
+def _exact_value(value: str) -> str:
+    """Attribute value equal to ``value`` (case-sensitive), quoted or not."""
+    return rf"""(?-i:"{value}"|'{value}'|{value}(?=[\s/>]))"""
+
+
 _ITEMPROP_NAME = (
-    r"""(?is)<([a-z][a-z0-9:_-]*)\b(?=[^>]*\sitemprop\s*=\s*["']?(?-i:name)["'\s/>])[^>]*>"""
+    r"""(?is)<([a-z][a-z0-9:_-]*)\b(?=[^>]*\sitemprop\s*=\s*""" + _exact_value("name") + r""")[^>]*>"""
     r"""(.*?)</\1\s*>"""
 )
 
@@ -57,9 +62,7 @@ _ITEMPROP_NAME = (
 def _meta_tag(attr: str, value: str) -> str:
     """Regex of the first ``<meta>`` tag whose ``attr`` equals ``value``
     (attribute names case-insensitive, values case-sensitive)."""
-    return (
-        rf"""(?is)<meta\b(?=[^>]*\s{attr}\s*=\s*["']?(?-i:{value})["'\s/>])[^>]*>"""
-    )
+    return rf"""(?is)<meta\b(?=[^>]*\s{attr}\s*=\s*{_exact_value(value)})[^>]*>"""
 
 
 def decode_entities(col: Column | str) -> Column:

@@ -39,6 +39,11 @@ CASES = [
     ("<!-- <title>Hidden</title> --><script>var s='<title>No</title>'</script><title>Real</title>",
      "Real", None),
     ("<title></title>", None, None),
+    ('<div itemtype="https://schema.org/Organization"><span itemprop="name brand">Brand</span>'
+     '<b itemprop="name">Exact</b></div>', "Exact", None),
+    ('<meta property="og:site_name x" content="No"><meta property=og:title content=Yes>'
+     + PAGE.format(t="T", b=""), "Yes", None),
+    ('<meta property="OG:SITE_NAME" content="Upper">' + PAGE.format(t="T", b=""), "T", None),
 ]
 
 

@@ -6,6 +6,6 @@ micro-batch is staged against the target table, so a replayed batch (after
 a failure) inserts nothing twice.
 """
 
-from firmlink.streaming.incremental import crawl_hits_stream
+from firmlink.streaming.incremental import crawl_hits_stream, registry_xml_stream
 
-__all__ = ["crawl_hits_stream"]
+__all__ = ["crawl_hits_stream", "registry_xml_stream"]

@@ -46,3 +46,47 @@ def crawl_hits_stream(
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def registry_xml_stream(
+    spark: SparkSession,
+    xml_dir: str,
+    target_path: str,
+    quarantine_path: str,
+    checkpoint_location: str,
+    layout=None,
+    row_tag: str = "ABR",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Start a query that stages each new batch of register XML files:
+    valid records insert-if-absent on ``abn`` into ``target_path`` (Parquet),
+    rejected ones appended to the quarantine."""
+    from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
+    from firmlink.schemas import REGISTRY
+    from firmlink.sources.registry_xml import FLAT_LAYOUT, XML_OPTIONS, flatten_registry, layout_schema
+    from firmlink.sources.tables import write_quarantine
+
+    layout = layout or FLAT_LAYOUT
+    records = (
+        spark.readStream.format("xml")
+        .options(rowTag=row_tag, **XML_OPTIONS)
+        .schema(layout_schema(layout))
+        .load(xml_dir)
+        .select("*", F.col("_metadata.file_path").alias("_file"))
+    )
+
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        try:
+            target = spark.read.schema(REGISTRY).parquet(target_path)
+        except Exception:  # nothing loaded yet
+            target = spark.createDataFrame([], REGISTRY)
+        batch = batch.withColumn("_row", F.monotonically_increasing_id())
+        flat = flatten_registry(batch, layout, keep=["_file", "_row"])
+        load = stage_registry(flat, ["_file", "_row"], target=target)
+        load.inserted.write.mode("append").parquet(target_path)
+        write_quarantine(load.quarantine, quarantine_path, record_cols=RECORD_FIELDS)
+
+    writer = records.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -6,7 +6,7 @@ import os
 
 from firmlink.config import MatchConfig
 from firmlink.plans.run_all import run_all
-from firmlink.streaming import crawl_hits_stream
+from firmlink.streaming import crawl_hits_stream, registry_xml_stream
 
 
 def _hits(dir_, name, urls):
@@ -64,3 +64,21 @@ def test_run_all_twice_loads_once(spark, tmpdir_fresh):
     third = run_all(spark, cfg=MatchConfig(write_mode="insert_if_absent"), **args)
     assert third["unified"] == 4
     assert len(os.listdir(os.path.join(out, "quarantine"))) >= 1
+
+
+def test_registry_stream(spark, tmpdir_fresh):
+    xml_dir = os.path.join(tmpdir_fresh, "xml")
+    os.makedirs(xml_dir)
+    target = os.path.join(tmpdir_fresh, "registry")
+    quarantine = os.path.join(tmpdir_fresh, "quarantine")
+    ckpt = os.path.join(tmpdir_fresh, "ckpt")
+    with open(os.path.join(xml_dir, "a.xml"), "w") as fh:
+        fh.write(XML)
+    registry_xml_stream(spark, xml_dir, target, quarantine, ckpt, available_now=True).awaitTermination(120)
+    with open(os.path.join(xml_dir, "b.xml"), "w") as fh:
+        fh.write("<T><ABR><ABN>1</ABN><EntityName>Again</EntityName></ABR>"
+                 "<ABR><ABN>3</ABN><EntityName>Gamma</EntityName></ABR></T>")
+    registry_xml_stream(spark, xml_dir, target, quarantine, ckpt, available_now=True).awaitTermination(120)
+    rows = sorted((r.abn, r.entity_name) for r in spark.read.parquet(target).collect())
+    assert rows == [("1", "Alpha Pty Ltd"), ("2", "Beta Holdings"), ("3", "Gamma")]
+    assert os.path.isdir(os.path.join(quarantine, "reason=missing_key_fields"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
 from firmlink.functions.text import MATCH_FUZZY_HIGH, MATCH_FUZZY_LLM, py_strip
+from firmlink.operators.materialize import materialize
 
 
 def answer_is_yes(answer: Column | str) -> Column:
@@ -57,6 +58,8 @@ def _function_verdicts(
             )
 
     answered = asked.mapInPandas(run, "r_norm string, c_norm string, answer string")
+    # written once: re-running a plan that reads the answers must not ask again
+    answered = materialize(answered, "verdicts")
     return answered.select("r_norm", "c_norm", answer_is_yes("answer").alias("confirmed"))
 
 

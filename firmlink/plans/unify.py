@@ -43,7 +43,7 @@ from firmlink.schemas import UNIFIED_FIELDS
 class MatchStages:
     """Intermediate DataFrames of the matching plan.
 
-    The per-name tables are materialised once (checkpoint in the cluster's
+    The per-name tables are materialised once (a table under the cluster's
     checkpoint folder, else persisted): they feed the name sets, the
     candidate generation and the final join-back, and would otherwise each
     re-read and re-normalise the source tables. The token tables of the

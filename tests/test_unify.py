@@ -1,5 +1,7 @@
 """Unification semantics and plan shape."""
 
+import os
+
 import pandas as pd
 
 from firmlink.config import MatchConfig
@@ -56,16 +58,22 @@ def test_verdicts_and_null_abn(spark):
     assert "processed_at" in unify(reg, cc).columns
 
 
-def test_confirmer_function_with_limit(spark):
+def test_confirmer_function_with_limit(spark, tmpdir_fresh):
     reg, cc = _inputs(spark)
-    asked = []
+    log = os.path.join(tmpdir_fresh, "asked.txt")
 
     def confirmer(pdf: pd.DataFrame) -> pd.Series:
-        asked.extend(pdf.itertuples(index=False))
+        # runs in a Python worker: record each question in a file
+        with open(log, "a") as fh:
+            for r in pdf.itertuples(index=False):
+                fh.write(f"{r.reg_norm}|{r.crawl_norm}\n")
         return pd.Series(["Yes"] * len(pdf))
 
     out = unify(reg, cc, MatchConfig(confirm_limit=1), confirmer=confirmer, with_timestamp=False)
     assert ("4", "umbrella.org", "FUZZY_LLM", "Pharma") in _rows(out)
+    out.count()
+    # the best-scoring borderline pair only (cap 1), asked once however often the plan runs
+    assert open(log).read().splitlines() == ["umbrella holdings|umbrella holdin"]
     none = unify(reg, cc, MatchConfig(confirm_limit=0), confirmer=confirmer, with_timestamp=False)
     assert not any(r[2] == "FUZZY_LLM" for r in _rows(none))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
@@ -47,7 +47,9 @@ def run_all(
 ) -> dict[str, int]:
     """Load register and crawl into ``out_dir/{registry,crawl}``, quarantine
     bad records under ``out_dir/quarantine``, write ``out_dir/unified``.
-    Returns the row counts written."""
+    Returns the rows written by this run (``registry_inserted``,
+    ``registry_quarantined``, ``crawl_inserted``, ``unified_written``) and the
+    table sizes after it (``registry``, ``crawl``, ``unified``)."""
     reg_path = os.path.join(out_dir, "registry")
     crawl_path = os.path.join(out_dir, "crawl")
     unified_path = os.path.join(out_dir, "unified")
@@ -58,13 +60,16 @@ def run_all(
     # XML once (a table under the checkpoint folder, else persisted).
     flat = materialize(flat, "registry-parsed")
     load = stage_registry(flat, ORDINAL, target=_existing(spark, reg_path, REGISTRY))
-    load.inserted.write.mode("append").parquet(reg_path)
-    write_quarantine(load.quarantine, os.path.join(out_dir, "quarantine"), record_cols=RECORD_FIELDS)
+    inserted, reg_obs = _observed(load.inserted, "registry_inserted")
+    inserted.write.mode("append").parquet(reg_path)
+    bad, bad_obs = _observed(load.quarantine, "registry_quarantined")
+    write_quarantine(bad, os.path.join(out_dir, "quarantine"), record_cols=RECORD_FIELDS)
     flat.unpersist()
 
     hits = read_index_hits(spark, index_hits)
     new_crawl = stage_crawl(hits, read_pages(spark, pages), ORDINAL,
                             target=_existing(spark, crawl_path, CRAWL))
+    new_crawl, crawl_obs = _observed(new_crawl, "crawl_inserted")
     new_crawl.write.mode("append").parquet(crawl_path)
 
     registry = spark.read.schema(REGISTRY).parquet(reg_path)
@@ -77,9 +82,27 @@ def run_all(
         mode = "append"
     else:
         mode = "overwrite" if cfg.write_mode == "overwrite" else "append"
+    unified, uni_obs = _observed(unified, "unified_written")
     unified.write.mode(mode).parquet(unified_path)
 
-    counts = {}
+    # rows written by this run, observed during the writes (no extra pass)
+    counts = {o.name: o.get["rows"] for o in (reg_obs, bad_obs, crawl_obs, uni_obs)}
+    # table sizes after the run (Parquet footers)
     for name, path in (("registry", reg_path), ("crawl", crawl_path), ("unified", unified_path)):
         counts[name] = spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
     return counts
+
+
+class _NamedObservation:
+    def __init__(self, name: str):
+        self.name = name
+        self.obs = Observation(name)
+
+    @property
+    def get(self):
+        return self.obs.get
+
+
+def _observed(df: DataFrame, name: str):
+    o = _NamedObservation(name)
+    return df.observe(o.obs, F.count(F.lit(1)).alias("rows")), o

@@ -56,10 +56,13 @@ def test_run_all_twice_loads_once(spark, tmpdir_fresh):
                 pages=pages_path, out_dir=out)
     first = run_all(spark, **args)
     assert first["registry"] == 2 and first["crawl"] == 2
+    assert (first["registry_inserted"], first["registry_quarantined"], first["crawl_inserted"],
+            first["unified_written"]) == (2, 1, 2, 2)
     unified = {(r.abn, r.domain, r.match_type) for r in spark.read.parquet(os.path.join(out, "unified")).collect()}
     assert unified == {("1", "alpha.com", "EXACT"), ("2", "beta.com", "FUZZY_HIGH")}
     second = run_all(spark, **args)
     assert second["registry"] == 2 and second["crawl"] == 2
+    assert (second["registry_inserted"], second["crawl_inserted"]) == (0, 0)
     assert second["unified"] == 4  # append mode adds the rows again
     third = run_all(spark, cfg=MatchConfig(write_mode="insert_if_absent"), **args)
     assert third["unified"] == 4

@@ -8,17 +8,22 @@ Candidate generation (pairs that share the block key and may reach ``lo``) is
 exact and never enumerates all pairs of a block:
 
 1. both sides' names are encoded as character-occurrence tokens;
-2. tokens are ranked by how many names hold them (rarest first);
-3. each name keeps its first ``len - ceil(lo*len/(2-lo)) + 1`` tokens (its
-   prefix). Two names whose multiset overlap reaches the bound share at least
-   one prefix token (prefix-filter lemma), so the join on
-   ``(block_key, prefix token)`` loses no pair that can score ``>= lo``;
+2. the tokens of the block key are set aside: every name of a block holds
+   them, so they cannot tell its names apart (in a hot block they would pair
+   everything);
+3. the other tokens are ranked by how many names hold them (rarest first) and
+   each name keeps the first few as its prefix. Two names whose multiset
+   overlap reaches the bound share at least one prefix token (prefix-filter
+   lemma), so the join on ``(block_key, prefix token)`` loses no pair that can
+   score ``>= lo``; pairs of names so short that the shared key alone can
+   reach the bound are joined on the key (a bounded set per block);
 4. the length and multiset bounds are checked natively;
 5. the Arrow UDF scores only what is left.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -28,8 +33,8 @@ from firmlink.config import MatchConfig
 from firmlink.functions.similarity import (
     char_tokens,
     length_bound,
+    min_overlap,
     multiset_bound,
-    prefix_length,
     ratio_udf,
 )
 from firmlink.functions.text import MATCH_EXACT, block_key, norm_name
@@ -74,16 +79,27 @@ def crawl_by_name(crawl: DataFrame) -> DataFrame:
 
 
 def name_table(names: DataFrame, cfg: MatchConfig, prefix: str) -> DataFrame:
-    """Distinct names with block key, length and occurrence tokens."""
+    """Distinct names with block key, length, occurrence tokens and the
+    tokens outside the block key. Names shorter than the block key only
+    equal themselves (the exact path), so they are left out."""
     n = F.col("norm")
-    return names.select(
+    bk = block_key(n, cfg.block_chars)
+    toks = char_tokens(n)
+    return names.filter(F.length(n) >= cfg.block_chars).select(
         n.alias(f"{prefix}_norm"),
-        block_key(n, cfg.block_chars).alias("bk"),
+        bk.alias("bk"),
         F.length(n).alias(f"{prefix}_len"),
-        char_tokens(n).alias(f"{prefix}_toks"),
+        toks.alias(f"{prefix}_toks"),
+        F.array_except(toks, char_tokens(bk)).alias(f"{prefix}_rest"),
     )
 
 
+def short_pair_bound(cfg: MatchConfig) -> int:
+    """Largest ``la + lb`` at which the shared block key alone can reach the
+    multiset bound (``ceil(lo*(la+lb)/2) <= block_chars``)."""
+    return int(math.floor(2 * cfg.block_chars / cfg.lo + 1e-9))
+
+
 def exact_name_pairs(reg_names: DataFrame, cc_names: DataFrame) -> DataFrame:
     """Equal normalised names: score 1.0, type EXACT."""
     return reg_names.join(cc_names, "norm", "inner").select(
@@ -95,46 +111,89 @@ def exact_name_pairs(reg_names: DataFrame, cc_names: DataFrame) -> DataFrame:
 
 
 def _prefix_tokens(names: DataFrame, side: str, rank: DataFrame, cfg: MatchConfig) -> DataFrame:
-    norm, length, toks = f"{side}_norm", f"{side}_len", f"{side}_toks"
-    exploded = names.select(norm, "bk", length, toks, F.explode(toks).alias("tok"))
+    """First tokens outside the block key, rarest first.
+
+    Two names of one block share its ``block_chars`` key tokens, so a pair
+    needs ``t - block_chars`` more common tokens, where ``t`` is the overlap
+    the bound requires. The prefix holds ``len - block_chars - max(t -
+    block_chars, 1) + 1`` tokens; pairs whose bound is met by the key alone
+    take the short path of :func:`candidate_pairs`.
+    """
+    norm, length, rest = f"{side}_norm", f"{side}_len", f"{side}_rest"
+    exploded = names.select(
+        norm, "bk", length, f"{side}_toks", F.size(rest).alias(f"{side}_nrest"), F.explode(rest).alias("tok")
+    )
     w = Window.partitionBy(norm).orderBy("df", "tok")
+    bc = F.lit(cfg.block_chars)
+    keep = F.col(length) - bc - F.greatest(min_overlap(F.col(length), cfg.lo) - bc, F.lit(1)) + 1
     return (
         exploded.join(rank, "tok", "inner")
-        .withColumn("_pos", F.row_number().over(w))
-        .filter(F.col("_pos") <= prefix_length(F.col(length), cfg.lo))
-        .drop("_pos", "df")
+        .withColumn(f"{side}_pos", F.row_number().over(w))
+        .filter(F.col(f"{side}_pos") <= keep)
+        .drop("df")
+    )
+
+
+def _token_pairs(r: DataFrame, c: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Token path of :func:`candidate_pairs` (one row per shared prefix
+    token that passes the positional and length filters)."""
+    # Document frequency of each token over both name sets; a few thousand
+    # rows at most (alphabet x longest name), so AQE broadcasts it at runtime.
+    rank = (
+        r.select(F.explode("r_rest").alias("tok"))
+        .unionByName(c.select(F.explode("c_rest").alias("tok")))
+        .groupBy("tok")
+        .agg(F.count(F.lit(1)).alias("df"))
+    )
+    rp = _prefix_tokens(r, "r", rank, cfg)
+    cp = _prefix_tokens(c, "c", rank, cfg)
+    # Positional filter: at a shared token at prefix positions (i, j), the
+    # rest overlap is at most 1 + min(rest_r - i, rest_c - j); it must reach
+    # what the pair itself needs beyond the key. Each valid pair keeps at
+    # least the row of its first shared token, so the filter is exact.
+    need = F.ceil(F.lit(cfg.lo / 2.0) * (F.col("r_len") + F.col("c_len")) - F.lit(1e-9)) - F.lit(cfg.block_chars)
+    reach = F.lit(1) + F.least(F.col("r_nrest") - F.col("r_pos"), F.col("c_nrest") - F.col("c_pos"))
+    return (
+        rp.join(cp, ["bk", "tok"], "inner")
+        .filter((reach >= need) & (length_bound(F.col("r_len"), F.col("c_len")) >= F.lit(cfg.lo)))
+        .select("r_norm", "c_norm", "bk", "r_len", "c_len", "r_toks", "c_toks")
     )
 
 
 def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
                     hold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Distinct unequal name pairs in one block that pass the length and
-    multiset bounds: ``(r_norm, c_norm, r_len, c_len, overlap)``.
+    multiset bounds: ``(r_norm, c_norm, bk, r_len, c_len, overlap)``.
 
     ``reg_names``/``cc_names`` hold one column ``norm`` of distinct non-NULL
     names. ``hold`` (e.g. :func:`materialize`) is applied to the two token
     tables, which the frequency ranking and the prefix step both read.
+
+    Two paths, both exact:
+
+    * token path: join on ``(block key, prefix token)`` over the tokens
+      outside the block key (which every name of the block shares);
+    * short path: pairs with ``la + lb <= short_pair_bound`` may need no
+      token beyond the key; they are joined on the block key among names of
+      at most ``short_pair_bound - block_chars`` characters (a bounded set
+      per block: the key plus a few characters).
     """
     r = name_table(reg_names, cfg, "r")
     c = name_table(cc_names, cfg, "c")
     if hold is not None:
         r, c = hold(r), hold(c)
-    # Document frequency of each token over both name sets; a few thousand
-    # rows at most (alphabet x longest name), so AQE broadcasts it at runtime.
-    rank = (
-        r.select(F.explode("r_toks").alias("tok"))
-        .unionByName(c.select(F.explode("c_toks").alias("tok")))
-        .groupBy("tok")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    rp = _prefix_tokens(r, "r", rank, cfg)
-    cp = _prefix_tokens(c, "c", rank, cfg)
+    by_token = _token_pairs(r, c, cfg)
+    cols = ["r_norm", "c_norm", "bk", "r_len", "c_len", "r_toks", "c_toks"]
+    s = short_pair_bound(cfg)
+    short_len = s - cfg.block_chars
+    rs = r.filter(F.col("r_len") <= short_len).drop("r_rest")
+    cs = c.filter(F.col("c_len") <= short_len).drop("c_rest")
+    short = rs.join(cs, "bk", "inner").filter(F.col("r_len") + F.col("c_len") <= s).select(*cols)
     lo = F.lit(cfg.lo)
     pairs = (
-        rp.join(cp, ["bk", "tok"], "inner")
+        by_token.unionByName(short)
         .filter(F.col("r_norm") != F.col("c_norm"))
         .filter(length_bound(F.col("r_len"), F.col("c_len")) >= lo)
-        .drop("tok")
         .dropDuplicates(["r_norm", "c_norm"])
     )
     return pairs.filter(

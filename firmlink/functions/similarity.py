@@ -73,10 +73,5 @@ def min_overlap(length: Column, lo: float) -> Column:
     return F.ceil(length * F.lit(lo / (2.0 - lo)) - F.lit(1e-6)).cast("int")
 
 
-def prefix_length(length: Column, lo: float) -> Column:
-    """Prefix-filter length: ``length - min_overlap + 1`` (at least 1)."""
-    return F.greatest(length - min_overlap(length, lo) + 1, F.lit(1))
-
-
 def min_overlap_py(length: int, lo: float) -> int:
     return math.ceil(length * lo / (2.0 - lo) - 1e-6)

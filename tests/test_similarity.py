@@ -85,6 +85,9 @@ def test_candidates_equal_brute_force_hot_block(spark):
     for lo in (0.5, 0.8, 0.95):
         cfg = MatchConfig(lo=lo, hi=max(lo, 0.95))
         assert _cands(spark, reg, cc, cfg) == _brute(reg, cc, cfg)
+    for bc in (1, 2, 4):
+        cfg = MatchConfig(block_chars=bc)
+        assert _cands(spark, reg, cc, cfg) == _brute(reg, cc, cfg)
 
 
 def test_candidates_equal_brute_force_fixture(spark):

@@ -7,6 +7,16 @@ with confidence bands, verdicts for borderline pairs, and one best row per
 (company number, domain).
 """
 
-from firmlink.config import MatchConfig
+import sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Python code of this package that runs in tasks (the similarity UDF, the
+# confirmation mapper) is shipped by value, so Python workers need no
+# installed copy of the package (also when the driver imported it from a
+# path that executors do not have).
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from firmlink.config import MatchConfig  # noqa: E402
 
 __all__ = ["MatchConfig"]

@@ -29,3 +29,30 @@ def test_oracle_sf0001(spark, name):
     hs, rs = digest(s)
     ho, ro = digest(o)
     assert rs == ro and hs == ho
+
+
+SCRIPT = """
+import importlib.util, sys
+spec = importlib.util.spec_from_file_location("entry_mod", sys.argv[1])
+E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("ROWS", E.queries()["fuzzy_scores"](spark, sys.argv[2]).count())
+"""
+
+
+def test_entry_loaded_by_path_from_another_folder(tmpdir_fresh):
+    # the driver imports __spark_entry__.py by path from its own folder:
+    # Python workers must not need the package on their path
+    import os
+    import subprocess
+    import sys
+
+    script = os.path.join(tmpdir_fresh, "run.py")
+    with open(script, "w") as fh:
+        fh.write(SCRIPT)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    entry = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    out = subprocess.run([sys.executable, script, entry, SF001], cwd=tmpdir_fresh, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-3000:]

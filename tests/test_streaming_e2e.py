@@ -85,3 +85,29 @@ def test_registry_stream(spark, tmpdir_fresh):
     rows = sorted((r.abn, r.entity_name) for r in spark.read.parquet(target).collect())
     assert rows == [("1", "Alpha Pty Ltd"), ("2", "Beta Holdings"), ("3", "Gamma")]
     assert os.path.isdir(os.path.join(quarantine, "reason=missing_key_fields"))
+
+
+def test_cli_commands(spark, tmpdir_fresh):
+    from firmlink.cli import main
+
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "abr.xml"), "w") as fh:
+        fh.write(XML)
+    _hits(os.path.join(src, "hits"), "h.jsonl", ["https://alpha.com/", "https://beta.com/x"])
+    pages = os.path.join(src, "pages")
+    spark.createDataFrame(
+        [("https://alpha.com/", 200, "<title>Alpha | Home</title>"),
+         ("https://beta.com/x", 200, "<title>Beta Holding</title>")],
+        "url string, http_status int, html string").write.parquet(pages)
+    out = os.path.join(tmpdir_fresh, "out")
+    assert main(["stage-registry", "--xml", os.path.join(src, "abr.xml"), "--out", out], spark) == {"registry": 2}
+    assert main(["stage-crawl", "--hits", os.path.join(src, "hits"), "--pages", pages, "--out", out],
+                spark) == {"crawl": 2}
+    assert main(["stage-crawl", "--hits", os.path.join(src, "hits"), "--pages", pages, "--out", out],
+                spark) == {"crawl": 2}
+    uni = os.path.join(out, "unified")
+    args = ["unify", "--registry", os.path.join(out, "registry"), "--crawl", os.path.join(out, "crawl"),
+            "--out", uni, "--mode", "insert_if_absent"]
+    assert main(args, spark) == {"unified": 2}
+    assert main(args, spark) == {"unified": 2}

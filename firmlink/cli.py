@@ -2,7 +2,8 @@
 
     python -m firmlink stage-registry --xml PATH --out DIR [--row-tag ABR] [--layout flat|bulk]
     python -m firmlink stage-crawl --hits PATH --pages PATH --out DIR
-    python -m firmlink unify --registry PATH --crawl PATH --out PATH [--verdicts PATH] [--mode append]
+    python -m firmlink unify --registry PATH --crawl PATH --out PATH [--verdicts PATH | --confirmer mod:fn]
+                             [--mode append|overwrite|insert_if_absent]
     python -m firmlink run-all --xml PATH --hits PATH --pages PATH --out DIR [--verdicts PATH]
 
 Tables are Parquet. Staging is insert-if-absent against what ``--out``
@@ -31,7 +32,17 @@ LAYOUTS = {"flat": FLAT_LAYOUT, "bulk": BULK_LAYOUT}
 
 
 def _config(args) -> MatchConfig:
-    return MatchConfig(block_chars=args.block_chars, lo=args.lo, hi=args.hi, write_mode=args.mode)
+    return MatchConfig(block_chars=args.block_chars, lo=args.lo, hi=args.hi, write_mode=args.mode,
+                       confirm_limit=args.confirm_limit)
+
+
+def _confirmer(spec: str | None):
+    if not spec:
+        return None
+    import importlib
+
+    module, _, name = spec.partition(":")
+    return getattr(importlib.import_module(module), name)
 
 
 def _verdicts(spark: SparkSession, path: str | None):
@@ -44,6 +55,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     def match_opts(sp):
         sp.add_argument("--verdicts", help="Parquet table (reg_norm, crawl_norm, answer)")
+        sp.add_argument("--confirmer", help="module:function, pandas (reg_norm, crawl_norm) -> answers")
+        sp.add_argument("--confirm-limit", type=int, default=MatchConfig.confirm_limit)
         sp.add_argument("--block-chars", type=int, default=MatchConfig.block_chars)
         sp.add_argument("--lo", type=float, default=MatchConfig.lo)
         sp.add_argument("--hi", type=float, default=MatchConfig.hi)
@@ -94,7 +107,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.cmd == "unify":
         cfg = _config(args)
         out = unify(spark.read.parquet(args.registry), spark.read.parquet(args.crawl), cfg,
-                    verdicts=_verdicts(spark, args.verdicts))
+                    verdicts=_verdicts(spark, args.verdicts), confirmer=_confirmer(args.confirmer))
         out = out.select([f.name for f in UNIFIED.fields])
         if cfg.write_mode == "insert_if_absent":
             from firmlink.operators.dedup import insert_if_absent

@@ -8,10 +8,19 @@ from firmlink.sources.registry_xml import (
     read_registry_xml,
 )
 from firmlink.sources.index_hits import parse_hit_lines, read_index_hits
-from firmlink.sources.tables import read_pages, read_table, write_quarantine, write_table
+from firmlink.sources.tables import (
+    jdbc_read_options,
+    read_jdbc,
+    read_pages,
+    read_table,
+    write_jdbc,
+    write_quarantine,
+    write_table,
+)
 
 __all__ = [
     "BULK_LAYOUT", "FLAT_LAYOUT", "flatten_registry", "parse_registry_xml", "read_registry_xml",
     "parse_hit_lines", "read_index_hits",
-    "read_pages", "read_table", "write_quarantine", "write_table",
+    "jdbc_read_options", "read_jdbc", "read_pages", "read_table", "write_jdbc", "write_quarantine",
+    "write_table",
 ]

@@ -74,3 +74,39 @@ def write_quarantine(bad: DataFrame, path: str, reason_col: str = "reason",
     else:
         out = bad.withColumn("quarantine_time", quarantine_time())
     out.write.mode("append").partitionBy(reason_col).json(path)
+
+
+def jdbc_read_options(url: str, table: str, user: str | None = None, password: str | None = None,
+                      driver: str | None = None, partition_column: str | None = None,
+                      lower_bound: int | None = None, upper_bound: int | None = None,
+                      num_partitions: int | None = None, fetchsize: int | None = None) -> dict[str, str]:
+    """Options of a parallel JDBC table read. Without a partition column the
+    source reads the whole table in one task; with one, all of the bounds and
+    the partition count are required (rows outside the bounds are still read,
+    by the first and last partitions)."""
+    opts = {"url": url, "dbtable": table}
+    for k, v in (("user", user), ("password", password), ("driver", driver), ("fetchsize", fetchsize)):
+        if v is not None:
+            opts[k] = str(v)
+    if partition_column is not None:
+        if None in (lower_bound, upper_bound, num_partitions):
+            raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
+        opts.update(partitionColumn=partition_column, lowerBound=str(lower_bound),
+                    upperBound=str(upper_bound), numPartitions=str(num_partitions))
+    return opts
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
+    return spark.read.format("jdbc").options(**jdbc_read_options(url, table, **kwargs)).load()
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", user: str | None = None,
+               password: str | None = None, driver: str | None = None, batchsize: int = 1000,
+               num_partitions: int | None = None) -> None:
+    """Append or overwrite a database table in batches; ``num_partitions``
+    bounds the number of concurrent connections."""
+    opts = {"url": url, "dbtable": table, "batchsize": str(batchsize)}
+    for k, v in (("user", user), ("password", password), ("driver", driver), ("numPartitions", num_partitions)):
+        if v is not None:
+            opts[k] = str(v)
+    df.write.format("jdbc").mode(mode).options(**opts).save()

@@ -13,8 +13,8 @@ tolerant HTML parser on well-formed pages:
   ``<meta name="industry">``.
 
 Comments, ``<script>`` and ``<style>`` blocks are removed first. Known gaps
-(documented in the README): ``>`` inside attribute values, numeric entities,
-nested equal tags inside the name element, a void element carrying
+(documented in the README): ``>`` inside attribute values, named entities
+beyond the common ones, nested equal tags inside the name element, a void element carrying
 ``itemprop="name"``.
 """
 
@@ -65,8 +65,29 @@ def _meta_tag(attr: str, value: str) -> str:
     return rf"""(?is)<meta\b(?=[^>]*\s{attr}\s*=\s*{_exact_value(value)})[^>]*>"""
 
 
+_NUMERIC_REF = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+
+def _numeric_char(ref: Column) -> Column:
+    """The character of one numeric reference (``&#38;``, ``&#x26;``);
+    invalid code points (zero, surrogates, above U+10FFFF) become U+FFFD."""
+    body = F.regexp_extract(ref, r"&#([xX]?)([0-9a-fA-F]+);", 2)
+    is_hex = F.regexp_extract(ref, r"&#([xX]?)", 1) != ""
+    cp = F.when(is_hex, F.conv(body, 16, 10)).otherwise(body).cast("long")
+    ok = (cp > 0) & (cp <= 0x10FFFF) & ~((cp >= 0xD800) & (cp <= 0xDFFF))
+    cp = F.when(ok, cp).otherwise(F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+
+
 def decode_entities(col: Column | str) -> Column:
+    """Decode numeric references, then the named entities (``&amp;`` last).
+    Meant for short extracted strings (names, attribute values)."""
     out = _c(col)
+    refs = F.array_distinct(F.regexp_extract_all(out, F.lit(_NUMERIC_REF), 0))
+    out = F.when(
+        out.contains("&#"),
+        F.aggregate(refs, out, lambda acc, ref: F.replace(acc, ref, _numeric_char(ref))),
+    ).otherwise(out)
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

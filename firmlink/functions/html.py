@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from firmlink.functions.text import _c, py_strip
 from firmlink.operators.project import project_once
 
-# Named entities decoded in text and attribute values;
-# '&amp;' is decoded last so that '&amp;lt;' gives '&lt;'.
+# Named entities decoded in text and attribute values (the
+# common ones of page titles and meta content); '&amp;' is decoded last so
+# that '&amp;lt;' gives '&lt;'.
 ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
@@ -35,6 +36,28 @@ ENTITIES = (
     ("&#39;", "'"),
     ("&apos;", "'"),
     ("&nbsp;", "\u00a0"),
+    ("&ndash;", "\u2013"),
+    ("&mdash;", "\u2014"),
+    ("&lsquo;", "\u2018"),
+    ("&rsquo;", "\u2019"),
+    ("&ldquo;", "\u201c"),
+    ("&rdquo;", "\u201d"),
+    ("&hellip;", "\u2026"),
+    ("&bull;", "\u2022"),
+    ("&middot;", "\u00b7"),
+    ("&laquo;", "\u00ab"),
+    ("&raquo;", "\u00bb"),
+    ("&copy;", "\u00a9"),
+    ("&reg;", "\u00ae"),
+    ("&trade;", "\u2122"),
+    ("&eacute;", "\u00e9"),
+    ("&egrave;", "\u00e8"),
+    ("&agrave;", "\u00e0"),
+    ("&ccedil;", "\u00e7"),
+    ("&auml;", "\u00e4"),
+    ("&ouml;", "\u00f6"),
+    ("&uuml;", "\u00fc"),
+    ("&szlig;", "\u00df"),
     ("&amp;", "&"),
 )
 

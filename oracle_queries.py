@@ -5,6 +5,7 @@ Tables ``pages customer orders`` are pre-registered views."""
 
 from __future__ import annotations
 
+from firmlink.functions.html import ENTITIES
 from firmlink.functions.text import PY_WHITESPACE_CLASS, SUFFIX_PATTERN
 
 WS = PY_WHITESPACE_CLASS
@@ -16,9 +17,8 @@ def strip(x: str) -> str:
 
 def decode(x: str) -> str:
     out = x
-    for ent, ch in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"),
-                    ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
-        out = f"replace({out}, '{ent}', {ch})"
+    for ent, ch in ENTITIES:
+        out = f"replace({out}, '{ent}', chr({ord(ch)}))"
     return out
 
 

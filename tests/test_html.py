@@ -41,6 +41,7 @@ CASES = [
     ("<title></title>", None, None),
     ("<title>Smith &#038; Sons &#8211; Home &#x27;s &#X41;&#0;</title>", "Smith & Sons \u2013 Home 's A\ufffd", None),
     ("<title>&#128512; Emoji &amp;#39;</title>", "\U0001F600 Emoji &#39;", None),
+    ("<title>Caf&eacute; &ndash; Bistro&trade;</title>", "Caf\u00e9 \u2013 Bistro\u2122", None),
     ('<div itemtype="https://schema.org/Organization"><span itemprop="name brand">Brand</span>'
      '<b itemprop="name">Exact</b></div>', "Exact", None),
     ('<meta property="og:site_name x" content="No"><meta property=og:title content=Yes>'

@@ -126,12 +126,19 @@ def q_keep_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the whole ``pages`` table: first keyed by domain, then
+    keyed by the domain without a ``www.``/``m.``/``blog.`` prefix (so some
+    keys exist already) with a NULL key for every tenth page."""
     p = fx.table(spark, sf_dir, "pages")
     pid = F.col("page_id")
-    rows = p.select(url_domain("url").alias("key"), "page_id", "url")
-    first_load = keep_first(rows.filter(pid % 3 != 0), ["key"], ["page_id"])
-    batch = rows.withColumn("key", F.when(pid % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("key")))
-    second_load = insert_if_absent(batch, first_load, ["key"], ["page_id"])
+    domain = url_domain("url")
+    first = p.select(domain.alias("key"), "page_id", "url")
+    bare = F.regexp_replace(domain, r"^(www|m|blog)\.", "")
+    second = p.select(
+        F.when(pid % 10 == 0, F.lit(None).cast("string")).otherwise(bare).alias("key"), "page_id", "url"
+    )
+    first_load = keep_first(first, ["key"], ["page_id"])
+    second_load = insert_if_absent(second, first_load, ["key"], ["page_id"])
     return first_load.withColumn("load", F.lit(1)).unionByName(second_load.withColumn("load", F.lit(2)))
 
 

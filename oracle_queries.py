@@ -380,9 +380,10 @@ WHERE fuzzy_score < 0.95::DOUBLE AND length(r_norm) % 3 = 0""",
 WHERE rk = 1 OR domain IS NULL""",
         "insert_if_absent": f"""WITH r AS (SELECT {domain('url')} AS key, page_id, url FROM pages),
 l1 AS (SELECT key, page_id, url FROM (
-         SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id) AS rk FROM r WHERE page_id % 3 <> 0)
+         SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id) AS rk FROM r)
        WHERE rk = 1 OR key IS NULL),
-b2 AS (SELECT CASE WHEN page_id % 10 = 0 THEN NULL ELSE key END AS key, page_id, url FROM r),
+b2 AS (SELECT CASE WHEN page_id % 10 = 0 THEN NULL
+                   ELSE regexp_replace(key, '^(www|m|blog)\\.', '') END AS key, page_id, url FROM r),
 f2 AS (SELECT key, page_id, url FROM (
          SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id) AS rk FROM b2)
        WHERE rk = 1 OR key IS NULL),

@@ -48,13 +48,23 @@ ratio_udf = F.pandas_udf(_ratio_batch, T.DoubleType()).asNondeterministic()
 
 
 def char_tokens(name: Column | str) -> Column:
-    """Array of distinct tokens ``char#k`` (k-th occurrence of ``char``)."""
-    chars = F.split(_c(name), "")
-    return F.transform(
-        chars,
-        lambda c, i: F.concat(
-            c, F.lit("#"), F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")
-        ),
+    """Array of distinct tokens ``char#k`` (k-th occurrence of ``char``).
+
+    Per distinct character, its count comes from native string functions
+    (``length - length(replace)``) and ``char#1..char#count`` are emitted:
+    work proportional to length x distinct characters, no per-position
+    sub-arrays. Token order is irrelevant to every consumer.
+    """
+    n = _c(name)
+    distinct_chars = F.array_distinct(F.split(n, ""))
+    return F.flatten(
+        F.transform(
+            distinct_chars,
+            lambda c: F.transform(
+                F.sequence(F.lit(1), F.length(n) - F.length(F.replace(n, c, F.lit("")))),
+                lambda k: F.concat(c, F.lit("#"), k.cast("string")),
+            ),
+        )
     )
 
 

@@ -98,3 +98,14 @@ def test_partitioning_independent_and_plan_shape(spark):
     splan = scoring._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert splan.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in splan
     assert "CartesianProduct" not in splan and "BroadcastNestedLoopJoin" not in splan
+
+
+def test_empty_and_null_name_inputs(spark):
+    reg, cc = _inputs(spark)
+    empty_reg = reg.limit(0)
+    empty_cc = cc.limit(0)
+    assert unify(empty_reg, cc, with_timestamp=False).count() == 0
+    assert unify(reg, empty_cc, with_timestamp=False).count() == 0
+    nulls = spark.createDataFrame([("9", "Pty Ltd", None, None, None, None), ("8", None, None, None, None, None)],
+                                  reg.schema)
+    assert unify(nulls, cc, with_timestamp=False).count() == 0

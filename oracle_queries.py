@@ -130,11 +130,11 @@ MATCH_CTES = "WITH RECURSIVE " + MATCH + SEG + SCORED
 
 
 def unified_sql(with_verdicts: bool, exact_only: bool = False) -> str:
-    llm = "WHEN length(r_norm) % 3 = 0 THEN 'FUZZY_LLM'" if with_verdicts else ""
+    confirmed_case = "WHEN length(r_norm) % 3 = 0 THEN 'FUZZY_LLM'" if with_verdicts else ""
     fuzzy = "" if exact_only else f"""
     UNION ALL
     SELECT * FROM (SELECT r_norm, c_norm, fuzzy_score,
-                          CASE WHEN fuzzy_score >= 0.95::DOUBLE THEN 'FUZZY_HIGH' {llm} END AS match_type
+                          CASE WHEN fuzzy_score >= 0.95::DOUBLE THEN 'FUZZY_HIGH' {confirmed_case} END AS match_type
                    FROM scored) WHERE match_type IS NOT NULL"""
     return MATCH_CTES + f""",
 pairs AS (

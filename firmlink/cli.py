@@ -25,7 +25,13 @@ from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.plans.unify import unify
 from firmlink.schemas import CRAWL, REGISTRY, UNIFIED
 from firmlink.sources.index_hits import read_index_hits
-from firmlink.sources.registry_xml import BULK_LAYOUT, FLAT_LAYOUT, flatten_registry, read_registry_xml
+from firmlink.sources.registry_xml import (
+    BULK_LAYOUT,
+    FLAT_LAYOUT,
+    discover_layout,
+    flatten_registry,
+    read_registry_xml,
+)
 from firmlink.sources.tables import read_pages, write_quarantine
 
 LAYOUTS = {"flat": FLAT_LAYOUT, "bulk": BULK_LAYOUT}
@@ -67,7 +73,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     r.add_argument("--xml", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--row-tag", action="append", dest="row_tags")
-    r.add_argument("--layout", choices=sorted(LAYOUTS), default="flat")
+    r.add_argument("--layout", choices=sorted(LAYOUTS) + ["auto"], default="flat")
+    r.add_argument("--sampling-ratio", type=float, default=0.01, help="for --layout auto")
     c = sub.add_parser("stage-crawl")
     c.add_argument("--hits", required=True)
     c.add_argument("--pages", required=True)
@@ -83,16 +90,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     a.add_argument("--pages", required=True)
     a.add_argument("--out", required=True)
     a.add_argument("--row-tag", action="append", dest="row_tags")
-    a.add_argument("--layout", choices=sorted(LAYOUTS), default="flat")
+    a.add_argument("--layout", choices=sorted(LAYOUTS) + ["auto"], default="flat")
+    a.add_argument("--sampling-ratio", type=float, default=0.01, help="for --layout auto")
     match_opts(a)
     args = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"firmlink-{args.cmd}").getOrCreate()
     result: dict = {}
     if args.cmd == "stage-registry":
-        layout = LAYOUTS[args.layout]
-        flat = flatten_registry(read_registry_xml(spark, args.xml, layout, args.row_tags or ["ABR"]),
-                                layout, keep=ORDINAL)
+        tags = args.row_tags or ["ABR"]
+        layout = (discover_layout(spark, args.xml, tags[0], args.sampling_ratio) if args.layout == "auto"
+                  else LAYOUTS[args.layout])
+        flat = flatten_registry(read_registry_xml(spark, args.xml, layout, tags), layout, keep=ORDINAL)
         target_path = os.path.join(args.out, "registry")
         load = stage_registry(flat, ORDINAL, target=_existing(spark, target_path, REGISTRY))
         load.inserted.write.mode("append").parquet(target_path)
@@ -120,7 +129,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = {"unified": spark.read.parquet(args.out).count()}
     else:
         result = run_all(spark, args.xml, args.hits, args.pages, args.out, _config(args),
-                         verdicts=_verdicts(spark, args.verdicts), layout=LAYOUTS[args.layout],
-                         row_tags=tuple(args.row_tags or ["ABR"]))
+                         verdicts=_verdicts(spark, args.verdicts),
+                         layout="auto" if args.layout == "auto" else LAYOUTS[args.layout],
+                         row_tags=tuple(args.row_tags or ["ABR"]), auto_sampling_ratio=args.sampling_ratio)
     print(json.dumps(result))
     return result

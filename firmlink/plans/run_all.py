@@ -21,7 +21,7 @@ from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.plans.unify import unify
 from firmlink.schemas import CRAWL, REGISTRY, UNIFIED
 from firmlink.sources.index_hits import read_index_hits
-from firmlink.sources.registry_xml import FLAT_LAYOUT, flatten_registry, read_registry_xml
+from firmlink.sources.registry_xml import FLAT_LAYOUT, discover_layout, flatten_registry, read_registry_xml
 from firmlink.sources.tables import read_pages, write_quarantine
 
 ORDINAL = ["_file", "_block", "_row"]
@@ -44,9 +44,12 @@ def run_all(
     verdicts: DataFrame | None = None,
     layout=FLAT_LAYOUT,
     row_tags=("ABR",),
+    auto_sampling_ratio: float = 0.01,
 ) -> dict[str, int]:
     """Load register and crawl into ``out_dir/{registry,crawl}``, quarantine
     bad records under ``out_dir/quarantine``, write ``out_dir/unified``.
+    ``layout`` is a layout map, or ``"auto"`` to find the field elements at
+    any depth from a sample of the records (``auto_sampling_ratio``).
     Returns the rows written by this run (``registry_inserted``,
     ``registry_quarantined``, ``crawl_inserted``, ``unified_written``) and the
     table sizes after it (``registry``, ``crawl``, ``unified``)."""
@@ -54,6 +57,8 @@ def run_all(
     crawl_path = os.path.join(out_dir, "crawl")
     unified_path = os.path.join(out_dir, "unified")
 
+    if layout == "auto":
+        layout = discover_layout(spark, registry_xml, row_tags[0], auto_sampling_ratio)
     parsed = read_registry_xml(spark, registry_xml, layout, row_tags)
     flat = flatten_registry(parsed, layout, keep=ORDINAL)
     # Both the table and the quarantine read the parsed records: parse the

@@ -2,6 +2,8 @@
 
 from firmlink.sources.registry_xml import (
     BULK_LAYOUT,
+    AutoLayout,
+    discover_layout,
     FLAT_LAYOUT,
     flatten_registry,
     parse_registry_xml,
@@ -19,7 +21,7 @@ from firmlink.sources.tables import (
 )
 
 __all__ = [
-    "BULK_LAYOUT", "FLAT_LAYOUT", "flatten_registry", "parse_registry_xml", "read_registry_xml",
+    "AutoLayout", "BULK_LAYOUT", "FLAT_LAYOUT", "discover_layout", "flatten_registry", "parse_registry_xml", "read_registry_xml",
     "parse_hit_lines", "read_index_hits",
     "jdbc_read_options", "read_jdbc", "read_pages", "read_table", "write_jdbc", "write_quarantine",
     "write_table",

@@ -63,9 +63,71 @@ BULK_LAYOUT: dict[str, tuple[str, ...]] = {
 }
 
 
+class AutoLayout(dict):
+    """Layout found in the data: field -> SQL expressions (first match at any
+    depth), plus the all-string read schema of the discovered structure."""
+
+    def __init__(self, paths: dict, schema: T.StructType):
+        super().__init__(paths)
+        self.schema = schema
+
+
+def _stringify(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _stringify(f.dataType), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_stringify(dt.elementType), True)
+    return T.StringType()
+
+
+def discover_layout(spark: SparkSession, path: str, row_tag: str = "ABR",
+                    sampling_ratio: float = 1.0) -> AutoLayout:
+    """Find where the field elements occur, at any depth.
+
+    One inference pass over a sample of the records (``sampling_ratio``; keep
+    it small on large inputs) gives the element structure. Values are then
+    read with an all-string schema of that structure (inferred value types
+    would drop leading zeros). For each field the candidate element names
+    keep their order of preference; several paths of one name are tried
+    shallowest first; a repeated element gives its first occurrence and an
+    element with attributes its text (``_VALUE``).
+    """
+    inferred = (
+        spark.read.format("xml")
+        .options(rowTag=row_tag, ignoreNamespace="true", samplingRatio=str(sampling_ratio))
+        .load(path)
+        .schema
+    )
+    schema = T.StructType([f for f in _stringify(inferred).fields if not f.name.startswith("_corrupt")])
+    wanted = {name for names in FIELD_ELEMENTS.values() for name in names}
+    found: dict[str, list[tuple[int, str]]] = {name: [] for name in wanted}
+
+    def walk(struct: T.StructType, prefix: str, depth: int) -> None:
+        for f in struct.fields:
+            expr = f"{prefix}`{f.name}`"
+            dt = f.dataType
+            if isinstance(dt, T.ArrayType):
+                expr, dt = f"try_element_at({expr}, 1)", dt.elementType
+            if isinstance(dt, T.StructType):
+                if f.name in wanted and "_VALUE" in dt.names:
+                    found[f.name].append((depth, f"{expr}.`_VALUE`"))
+                walk(dt, f"{expr}.", depth + 1)
+            elif f.name in wanted:
+                found[f.name].append((depth, expr))
+
+    walk(schema, "", 0)
+    paths = {
+        field: tuple(expr for name in names for _, expr in sorted(found[name]))
+        for field, names in FIELD_ELEMENTS.items()
+    }
+    return AutoLayout(paths, schema.add(T.StructField(CORRUPT_COLUMN, T.StringType(), True)))
+
+
 def layout_schema(layout: Mapping[str, Sequence[str]]) -> T.StructType:
     """Read schema with every path of the layout as a string leaf (never
     inferred: leading zeros of numbers and postcodes must survive)."""
+    if isinstance(layout, AutoLayout):
+        return layout.schema
     tree: dict = {}
     for paths in layout.values():
         for path in paths:
@@ -137,8 +199,9 @@ def parse_registry_xml(
     return df.select(*others, F.inline(F.array(parsed)))
 
 
-def _element_value(path: str) -> Column:
-    return py_strip(F.nullif(F.col(path), F.lit("")))
+def _element_value(path: str, expression: bool = False) -> Column:
+    value = F.expr(path) if expression else F.col(path)
+    return py_strip(F.nullif(value, F.lit("")))
 
 
 def flatten_registry(parsed: DataFrame, layout: Mapping[str, Sequence[str]] = FLAT_LAYOUT,
@@ -146,12 +209,20 @@ def flatten_registry(parsed: DataFrame, layout: Mapping[str, Sequence[str]] = FL
     """Registry fields by the layout's fallback chains. ``start_date_raw`` is
     the date text as found; ``parse_failed`` marks malformed records."""
     fields = {}
+    expression = isinstance(layout, AutoLayout)
     for name, paths in layout.items():
         value = (
-            or_chain(*[_element_value(p) for p in paths]) if paths else F.lit(None).cast("string")
+            or_chain(*[_element_value(p, expression) for p in paths]) if paths
+            else F.lit(None).cast("string")
         )
         fields["start_date_raw" if name == "start_date" else name] = value
     fields["parse_failed"] = F.col(CORRUPT_COLUMN).isNotNull()
+    if expression:
+        # A Generate over arrays of structs meets a nested-schema-pruning
+        # failure in Spark's optimizer when a union reads it later; the scan
+        # has already parsed the records, so a plain projection costs nothing
+        # extra here.
+        return parsed.select(*keep, *[v.alias(k) for k, v in fields.items()])
     return project_once(parsed, list(keep), fields)
 
 

@@ -121,3 +121,32 @@ def test_bulk_layout(spark, tmpdir_fresh):
         ("11111111111", None, "Individual/Sole Trader", "VIC", "3000", None),
         ("53004085616", "WIDGETS LIMITED", "Australian Public Company", "NSW", "2153", None),
     ]
+
+
+MIXED = """<Transfer>
+<ABR><ABN>00012</ABN><NonIndividualNameText>Flat Co</NonIndividualNameText><Postcode>0200</Postcode></ABR>
+<ABR recordLastUpdatedDate="20240101">
+  <ABN status="ACT">53004085616</ABN>
+  <EntityType><EntityTypeInd>PUB</EntityTypeInd><EntityTypeText>Public Company</EntityTypeText></EntityType>
+  <MainEntity><NonIndividualName type="MN"><NonIndividualNameText>Nested Ltd</NonIndividualNameText></NonIndividualName>
+    <BusinessAddress><AddressDetails><State>NSW</State><Postcode>2153</Postcode></AddressDetails></BusinessAddress>
+  </MainEntity>
+  <OtherEntity><NonIndividualName><NonIndividualNameText>Trading Name A</NonIndividualNameText></NonIndividualName></OtherEntity>
+  <OtherEntity><NonIndividualName><NonIndividualNameText>Trading Name B</NonIndividualNameText></NonIndividualName></OtherEntity>
+</ABR>
+</Transfer>"""
+
+
+def test_auto_layout_finds_fields_at_any_depth(spark, tmpdir_fresh):
+    from firmlink.sources.registry_xml import discover_layout
+
+    path = os.path.join(tmpdir_fresh, "mixed.xml")
+    _write(path, MIXED)
+    layout = discover_layout(spark, path)
+    flat = flatten_registry(read_registry_xml(spark, path, layout=layout), layout, keep=ORD)
+    rows = sorted((r.abn, r.entity_name, r.entity_type, r.postcode, r.state)
+                  for r in stage_registry(flat, ORD, audit=False).inserted.collect())
+    assert rows == [
+        ("00012", "Flat Co", None, "0200", None),
+        ("53004085616", "Nested Ltd", "Public Company", "2153", "NSW"),
+    ]

@@ -111,3 +111,17 @@ def test_cli_commands(spark, tmpdir_fresh):
             "--out", uni, "--mode", "insert_if_absent"]
     assert main(args, spark) == {"unified": 2}
     assert main(args, spark) == {"unified": 2}
+
+
+def test_run_all_auto_layout(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "abr.xml"), "w") as fh:
+        fh.write(XML)
+    _hits(os.path.join(src, "hits"), "h.jsonl", ["https://alpha.com/"])
+    pages = os.path.join(src, "pages")
+    spark.createDataFrame([("https://alpha.com/", 200, "<title>Alpha</title>")],
+                          "url string, http_status int, html string").write.parquet(pages)
+    out = run_all(spark, os.path.join(src, "abr.xml"), os.path.join(src, "hits"), pages,
+                  os.path.join(tmpdir_fresh, "out"), layout="auto", auto_sampling_ratio=1.0)
+    assert out["registry"] == 2 and out["unified_written"] == 1

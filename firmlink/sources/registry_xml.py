@@ -84,8 +84,10 @@ def discover_layout(spark: SparkSession, path: str, row_tag: str = "ABR",
                     sampling_ratio: float = 1.0) -> AutoLayout:
     """Find where the field elements occur, at any depth.
 
-    One inference pass over a sample of the records (``sampling_ratio``; keep
-    it small on large inputs) gives the element structure. Values are then
+    One inference pass over a sample of the records gives the element
+    structure. Inference still reads every file under ``path`` (it samples
+    records, not files), so on large inputs pass a few representative files
+    here and read the whole input with the returned layout. Values are then
     read with an all-string schema of that structure (inferred value types
     would drop leading zeros). For each field the candidate element names
     keep their order of preference; several paths of one name are tried

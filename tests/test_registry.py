@@ -150,3 +150,13 @@ def test_auto_layout_finds_fields_at_any_depth(spark, tmpdir_fresh):
         ("00012", "Flat Co", None, "0200", None),
         ("53004085616", "Nested Ltd", "Public Company", "2153", "NSW"),
     ]
+
+
+def test_several_record_tags(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "tags.xml")
+    _write(path, "<T><ABR><ABN>1</ABN><EntityName>One</EntityName></ABR>"
+                 "<entity><ABN>2</ABN><EntityName>Two</EntityName></entity>"
+                 "<record><ABN>3</ABN><EntityName>Three</EntityName></record></T>")
+    flat = flatten_registry(read_registry_xml(spark, path, row_tags=("ABR", "entity", "record")), keep=ORD)
+    rows = sorted((r.abn, r.entity_name) for r in stage_registry(flat, ORD, audit=False).inserted.collect())
+    assert rows == [("1", "One"), ("2", "Two"), ("3", "Three")]

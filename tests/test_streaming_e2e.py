@@ -125,3 +125,35 @@ def test_run_all_auto_layout(spark, tmpdir_fresh):
     out = run_all(spark, os.path.join(src, "abr.xml"), os.path.join(src, "hits"), pages,
                   os.path.join(tmpdir_fresh, "out"), layout="auto", auto_sampling_ratio=1.0)
     assert out["registry"] == 2 and out["unified_written"] == 1
+
+
+def test_stream_replay_with_fresh_checkpoint_adds_nothing(spark, tmpdir_fresh):
+    # losing the stream checkpoint replays every file: insert-if-absent keeps
+    # the table exactly as it was
+    hits_dir = os.path.join(tmpdir_fresh, "hits")
+    target = os.path.join(tmpdir_fresh, "crawl")
+    pages = spark.createDataFrame([("https://a.com/", 200, "<title>A</title>")],
+                                  "url string, http_status int, html string")
+    _hits(hits_dir, "0.jsonl", ["https://a.com/", "https://b.com/"])
+    crawl_hits_stream(spark, hits_dir, pages, target, os.path.join(tmpdir_fresh, "ck1"),
+                      available_now=True).awaitTermination(120)
+    before = sorted(r.url_hash for r in spark.read.parquet(target).collect())
+    crawl_hits_stream(spark, hits_dir, pages, target, os.path.join(tmpdir_fresh, "ck2"),
+                      available_now=True).awaitTermination(120)
+    after = sorted(r.url_hash for r in spark.read.parquet(target).collect())
+    assert before == after and len(after) == 2
+
+
+def test_run_all_overwrite_mode(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "abr.xml"), "w") as fh:
+        fh.write(XML)
+    _hits(os.path.join(src, "hits"), "h.jsonl", ["https://alpha.com/"])
+    pages = os.path.join(src, "pages")
+    spark.createDataFrame([("https://alpha.com/", 200, "<title>Alpha</title>")],
+                          "url string, http_status int, html string").write.parquet(pages)
+    args = dict(registry_xml=os.path.join(src, "abr.xml"), index_hits=os.path.join(src, "hits"),
+                pages=pages, out_dir=os.path.join(tmpdir_fresh, "out"), cfg=MatchConfig(write_mode="overwrite"))
+    assert run_all(spark, **args)["unified"] == 1
+    assert run_all(spark, **args)["unified"] == 1

@@ -37,6 +37,31 @@ from firmlink.sources.tables import read_pages, write_quarantine
 LAYOUTS = {"flat": FLAT_LAYOUT, "bulk": BULK_LAYOUT}
 
 
+def parse_options(pairs: list[str]) -> dict[str, str]:
+    """``["k=v", ...]`` -> ``{"k": "v"}`` (values may contain ``=``)."""
+    out = {}
+    for pair in pairs:
+        key, sep, value = pair.partition("=")
+        if not sep or not key:
+            raise ValueError(f"option must be KEY=VALUE: {pair!r}")
+        out[key] = value
+    return out
+
+
+def read_named(spark: SparkSession, fmt: str, name: str, opts: dict[str, str]):
+    """A path for file formats; a table name (``dbtable``) for JDBC."""
+    if fmt == "jdbc":
+        return spark.read.format("jdbc").options(**opts, dbtable=name).load()
+    return spark.read.format(fmt).options(**opts).load(name)
+
+
+def write_named(df, fmt: str, name: str, mode: str, opts: dict[str, str]) -> None:
+    if fmt == "jdbc":
+        df.write.format("jdbc").mode(mode).options(**opts, dbtable=name).save()
+    else:
+        df.write.format(fmt).mode(mode).options(**opts).save(name)
+
+
 def _config(args) -> MatchConfig:
     return MatchConfig(block_chars=args.block_chars, lo=args.lo, hi=args.hi, write_mode=args.mode,
                        confirm_limit=args.confirm_limit)
@@ -80,9 +105,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     c.add_argument("--pages", required=True)
     c.add_argument("--out", required=True)
     u = sub.add_parser("unify")
-    u.add_argument("--registry", required=True)
-    u.add_argument("--crawl", required=True)
-    u.add_argument("--out", required=True)
+    u.add_argument("--registry", required=True, help="path, or table name with --format jdbc")
+    u.add_argument("--crawl", required=True, help="path, or table name with --format jdbc")
+    u.add_argument("--out", required=True, help="path, or table name with --format jdbc")
+    u.add_argument("--format", default="parquet", help="storage format of the three tables (parquet, jdbc, ...)")
+    u.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                   help="reader/writer option, e.g. url=jdbc:postgresql://host/db, user=..., numPartitions=8")
     match_opts(u)
     a = sub.add_parser("run-all")
     a.add_argument("--xml", required=True)
@@ -115,18 +143,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = {"crawl": spark.read.parquet(target_path).count()}
     elif args.cmd == "unify":
         cfg = _config(args)
-        out = unify(spark.read.parquet(args.registry), spark.read.parquet(args.crawl), cfg,
+        opts = parse_options(args.option)
+        read = lambda name: read_named(spark, args.format, name, opts)
+        out = unify(read(args.registry), read(args.crawl), cfg,
                     verdicts=_verdicts(spark, args.verdicts), confirmer=_confirmer(args.confirmer))
         out = out.select([f.name for f in UNIFIED.fields])
         if cfg.write_mode == "insert_if_absent":
             from firmlink.operators.dedup import insert_if_absent
 
-            out = insert_if_absent(out, _existing(spark, args.out, UNIFIED), ["abn", "domain"], ["match_type"])
+            try:
+                existing = read(args.out)
+            except Exception:  # first run: no table yet
+                existing = spark.createDataFrame([], UNIFIED)
+            out = insert_if_absent(out, existing, ["abn", "domain"], ["match_type"])
             mode = "append"
         else:
             mode = cfg.write_mode
-        out.write.mode(mode).parquet(args.out)
-        result = {"unified": spark.read.parquet(args.out).count()}
+        write_named(out, args.format, args.out, mode, opts)
+        result = {"unified": read(args.out).count()}
     else:
         result = run_all(spark, args.xml, args.hits, args.pages, args.out, _config(args),
                          verdicts=_verdicts(spark, args.verdicts),

@@ -25,3 +25,12 @@ def test_jdbc_read_options():
     assert "partitionColumn" not in jdbc_read_options("jdbc:x", "t")
     with pytest.raises(ValueError):
         jdbc_read_options("jdbc:x", "t", partition_column="id")
+
+
+def test_cli_option_parsing():
+    from firmlink.cli import parse_options
+
+    assert parse_options(["url=jdbc:postgresql://h/db?ssl=true", "user=u"]) == {
+        "url": "jdbc:postgresql://h/db?ssl=true", "user": "u"}
+    with pytest.raises(ValueError):
+        parse_options(["novalue"])

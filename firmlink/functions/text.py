@@ -26,7 +26,9 @@ MATCH_FUZZY_LLM = "FUZZY_LLM"
 MATCH_FUZZY_HIGH = "FUZZY_HIGH"
 PRECEDENCE = {MATCH_EXACT: 3, MATCH_FUZZY_LLM: 2, MATCH_FUZZY_HIGH: 1}
 
-# Name normalisation, as (pattern, replacement) steps after lower-casing.
+# Name normalisation, as (pattern, replacement) steps after
+# lower-casing (parenthesised text, suffix words, punctuation except '&',
+# repeated spaces), plus two steps of our own that make them portable.
 # Steps 2 and 3 make the string ASCII while keeping Python's Unicode word
 # boundaries: non-ASCII characters that are not letters/digits are non-word
 # characters (-> space); non-ASCII letters/digits are word characters

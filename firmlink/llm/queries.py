@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from firmlink.llm import lang_id
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -16,8 +17,16 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", lang_id.held_out_fold())
+    model = lang_id.train(docs.where("NOT held_out"))
+    return lang_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op4_url_filters": op4_url_filters,
+    "op6_language_id": op6_language_id,
 }
 
 ORACLES = {

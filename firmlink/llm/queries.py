@@ -4,8 +4,9 @@ parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from firmlink.llm import lang_id
+from firmlink.llm import lang_id, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -24,9 +25,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.held_out_fold())
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    net = toxicity.train(docs.where("NOT held_out").join(labels, "doc_id"))
+    return toxicity.score(docs, net).select(
+        "doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op6_language_id": op6_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {

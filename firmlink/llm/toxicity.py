@@ -28,17 +28,17 @@ from pyspark.sql import functions as F
 from firmlink.llm.common import free_name, id_text
 
 WINDOW, STRIDE = 32, 16
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 800, 1600, 20_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 500, 1000, 10_000
 CELLS = 1 << 16
 WORD_DIM, CHAR_DIM, HIDDEN = 4, 6, 8
 MIN_DF_WORD, MIN_DF_GRAM = 3, 5
-EPOCHS, RATE = 10, 0.01
-WORDS_AT_ONCE, WINDOWS_AT_ONCE = 400_000, 4096
+EPOCHS, RATE = 5, 0.01
+WORDS_AT_ONCE, WINDOWS_AT_ONCE = 1_500_000, 1024
 WORD = re.compile(r"\w+")
 
 
 def gram_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the character n-grams (2 to 5, with boundary marks) of each
+    """Cells of the character n-grams (3 to 5, with boundary marks) of each
     word, flat, and each word's first position in it."""
     marked = [f"^{w}$" for w in words]
     n = np.array([len(w) for w in marked], np.int64)
@@ -50,7 +50,7 @@ def gram_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros(len(a), np.uint32)
     for k in range(1, 6):
         h = h[: len(a) - k + 1] * np.uint32(0x01000193) + a[k - 1:] + np.uint32(k)
-        if k >= 2:
+        if k >= 3:
             ok = np.flatnonzero(left[: len(h)] >= k)
             x = h[ok] * np.uint32(0x9E3779B1)
             cells.append((x ^ (x >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(16))
@@ -69,7 +69,11 @@ def windows(n: int) -> np.ndarray:
 
 
 def sigmoid(x):
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
+    """Logistic function; saturates where the exponential overflows."""
+    with np.errstate(over="ignore"):
+        y = np.exp(-x)
+    y += 1
+    return np.reciprocal(y, out=y)
 
 
 @dataclass
@@ -243,11 +247,14 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: float
     who, what = pairs // len(uniques), pairs % len(uniques)
     g1, g0 = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
     ends = np.append(np.searchsorted(who, np.arange(len(texts))), len(who))
+    seen_in = np.zeros(CELLS, bool)
     for i in range(len(texts)):
         ws = what[ends[i]:ends[i + 1]]
-        if len(ws):
-            span = np.concatenate([cells[first[w]:first[w] + num[w]] for w in ws])
-            (g1 if toxic[i] else g0)[np.unique(span)] += 1
+        size = num[ws]
+        span = cells[np.repeat(first[ws] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        seen_in[span] = True
+        (g1 if toxic[i] else g0)[seen_in] += 1
+        seen_in[span] = False
     p["gram_weight"] = class_weight(g1, g0, n1, n0, MIN_DF_GRAM)
 
     idx, of = window_rows(codes, n)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import lang_id, toxicity
+from firmlink.llm import lang_id, simhash, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -25,6 +25,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.held_out_fold())
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -36,6 +40,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op6_language_id": op6_language_id,
+    "op7_simhash": op7_simhash,
     "op10_toxicity": op10_toxicity,
 }
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import lang_id, simhash, toxicity
+from firmlink.llm import decontaminate, lang_id, simhash, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -29,6 +29,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items",
+                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.held_out_fold())
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -41,6 +47,7 @@ QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import decontaminate, lang_id, packing, simhash, toxicity
+from firmlink.llm import decontaminate, lang_id, packing, simhash, topk, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -23,6 +23,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows, rows.where("vec_id % 100 = 0"), k=10, scale=1024)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", lang_id.held_out_fold())
@@ -51,6 +56,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_url_filters": op4_url_filters,
+    "op5_topk": op5_topk,
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
     "op9_decontamination": op9_decontamination,
@@ -58,6 +64,19 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, r.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id % 100 = 0 AND r.vec_id <> q.vec_id AND len(q.e) = len(r.e))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+""",
     "op4_url_filters": r"""
 WITH RECURSIVE
 rules(kind, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),

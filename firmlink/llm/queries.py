@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import decontaminate, lang_id, packing, simhash, topk, toxicity
+from firmlink.llm import decontaminate, lang_id, packing, simhash, substring, topk, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -19,6 +19,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs, window=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -55,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_substring": op3_substring,
     "op4_url_filters": op4_url_filters,
     "op5_topk": op5_topk,
     "op6_language_id": op6_language_id,

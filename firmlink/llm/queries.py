@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import decontaminate, lang_id, packing, simhash, substring, topk, toxicity
+from firmlink.llm import decontaminate, lang_id, lm_score, packing, simhash, substring, topk, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -45,6 +45,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"), order=3, alpha=0.4)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     return judged.select("doc_id", "n_words", "n_hit", "n_items",
@@ -66,6 +70,7 @@ QUERIES = {
     "op5_topk": op5_topk,
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
+    "op8_lm_score": op8_lm_score,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }

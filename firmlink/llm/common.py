@@ -67,9 +67,12 @@ def id_text(col="doc_id"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def _changed(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return tuple(r)
+#: Edge tables of up to so many rows are handled in one partition, without shuffles.
+SMALL_EDGES = 200_000
+
+
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
 def components(edges: DataFrame, tables: Tables) -> DataFrame:
@@ -77,45 +80,53 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
     ``(id, component)`` for every node of an edge, ``component`` being the
     smallest id of the component.
 
-    Alternating large-star and small-star rounds (Kiveris et al. 2014). Every
-    round is two aggregations with map-side minima and joins, so a hub with
-    many edges neither meets in one task (the join's skewed partitions can be
-    split) nor reaches the driver; the number of rounds grows with the
-    logarithm of the longest path. An empty edge table gives no rows.
+    Union-find by alternating large-star and small-star rounds (Kiveris et al.
+    2014): a round hooks every node's larger neighbours, then the node itself,
+    to its smallest neighbour. Each is an aggregation with map-side minima and a
+    join, so a hub with many edges neither meets in one task (the join's skewed
+    partitions can be split) nor reaches the driver; the number of rounds grows
+    with the logarithm of the longest path. Up to ``SMALL_EDGES`` edges the same
+    rounds run in one partition, which saves the shuffles. An empty edge table
+    gives no rows.
     """
     a, b = F.col("a"), F.col("b")
     cur = tables.save(
         edges.where(a.isNotNull() & b.isNotNull() & (a != b))
         .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "cc")
-    state = _changed(cur)
+    state = _state(cur)
     while state[0]:
-        both = cur.unionByName(cur.select(b.alias("a"), a.alias("b")))
+        base = cur.coalesce(1) if state[0] <= SMALL_EDGES else cur
+        both = base.select(F.inline(F.array(F.struct(a, b), F.struct(b.alias("a"), a.alias("b")))))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(low, "a").where(b > a)
+        large = (both.where(b > a).join(low, "a")
                  .select(b.alias("a"), F.col("m").alias("b")).where(a != b).distinct())
         large = tables.save(large, "cc")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        base = large.coalesce(1) if state[0] <= SMALL_EDGES else large
+        low = base.groupBy("a").agg(F.min("b").alias("m"))
+        small = (base.join(low, "a").select(F.inline(F.array(
+            F.struct(b.alias("a"), F.col("m").alias("b")), F.struct(a, F.col("m").alias("b"))))).where(a != b).distinct())
         small = tables.save(small, "cc")
+        before, state = state, _state(small)
         tables.drop(cur, large)
-        cur, before, state = small, state, _changed(small)
+        cur = small
         if state == before:
             break
     out = cur.select(a.alias("id"), b.alias("component"))
     return out.unionByName(out.select(F.col("component").alias("id"), "component").distinct())
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], tables: Tables) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], tables: Tables,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
     """Components of the graph whose edges are the pairs of one bucket that
     ``verify`` accepts, without listing all pairs of a bucket.
 
-    ``members``: distinct rows ``(key, id)``; ``verify``: keeps the accepted
-    rows of a table of distinct pairs ``(a, b)``. Three steps:
+    ``members``: rows ``(key, id, *carry)``, distinct in key and id; ``verify``
+    keeps the accepted rows of a table of distinct pairs ``(a, b)`` with the
+    carried columns of both sides as ``a_x, b_x``. Steps:
 
-    1. each member is compared with the bucket's smallest id;
-    2. members not yet connected with that hub are compared with the bucket's
-       smallest unconnected id, and so is every other member;
+    1. each member is compared with the bucket's smallest id (its hub);
+    2. members not connected with their hub yet are compared with the smallest
+       such id of the bucket, and so is every other member;
     3. what is still unconnected is compared with every member of another
        component in its bucket.
 
@@ -126,35 +137,47 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], t
 
     Returns ``(id, component)`` for ids that have a link.
     """
-    k = F.col("key")
-    hubs = members.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
+    side = lambda p: [F.col(c).alias(f"{p}_{c}") for c in carry]
+    hubs = members.groupBy("key").agg(F.min(F.struct("id", *carry)).alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     live = tables.save(members.join(hubs, "key"), "bucket")
-    star = live.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    edges = tables.save(verify(star), "edges")
+    star = live.where("id != hub.id").select(
+        F.col("hub.id").alias("a"), F.col("id").alias("b"),
+        *[F.col("hub")[c].alias(f"a_{c}") for c in carry], *side("b")).dropDuplicates(["a", "b"])
+    edges = tables.save(verify(star).select("a", "b"), "edges")
 
     def labelled(comp):
         c1 = comp.select("id", F.col("component").alias("c"))
-        c2 = comp.select(F.col("id").alias("hub"), F.col("component").alias("hc"))
-        return (live.join(c1, "id", "left").join(c2, "hub", "left")
-                .select("key", "id", "hub", F.coalesce("c", "id").alias("c"), F.coalesce("hc", "hub").alias("hc")))
+        c2 = comp.select(F.col("id").alias("h"), F.col("component").alias("hc"))
+        out = live.join(c1, "id", "left").join(c2, F.col("hub.id") == F.col("h"), "left")
+        return out.select("key", "id", *carry, F.col("hub.id").alias("hub"), F.coalesce("c", "id").alias("c"),
+                          F.coalesce("hc", "hub.id").alias("hc"))
+
+    def pairs(left, left_id, right):
+        """Pairs of one bucket across components, the smaller id first."""
+        swap = F.col(left_id) > F.col("id")
+        both = left.join(right, "key").where("c != sc")
+        return both.select(
+            F.least(left_id, "id").alias("a"), F.greatest(left_id, "id").alias("b"),
+            *[F.when(swap, F.col(c)).otherwise(F.col(f"s_{c}")).alias(f"a_{c}") for c in carry],
+            *[F.when(swap, F.col(f"s_{c}")).otherwise(F.col(c)).alias(f"b_{c}") for c in carry])
 
     comp = tables.save(components(edges, tables), "comp")
     lab = tables.save(labelled(comp), "labelled")
     rest = lab.where("c != hc")
     if rest.isEmpty():
         return comp
-    second = rest.groupBy("key").agg(F.min(F.struct("id", "c")).alias("s")).select("key", "s.id", F.col("s.c").alias("sc"))
-    second = second.withColumnRenamed("id", "s")
-    star = (lab.where("id != hub").join(second, "key").where("c != sc")
-            .select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")).distinct())
-    edges2 = tables.save(verify(star), "edges")
-    edges = edges.unionByName(edges2)
-    comp = tables.save(components(edges, tables), "comp")
-    lab = tables.save(labelled(comp), "labelled")
-    rest = lab.where("c != hc").select(k, F.col("id").alias("s"), F.col("c").alias("sc"))
-    pairs = (rest.join(lab.where("id != hub").select("key", "id", "c"), "key").where("c != sc")
-             .select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")).distinct())
-    edges3 = tables.save(verify(pairs), "edges")
-    if edges3.isEmpty():
+    second = rest.groupBy("key").agg(F.min(F.struct("id", "c", *carry)).alias("s")).select(
+        "key", F.col("s.id").alias("s"), F.col("s.c").alias("sc"), *[F.col("s")[c].alias(f"s_{c}") for c in carry])
+    mine = lab.where("id != hub").select("key", "id", "c", *carry)
+    edges2 = tables.save(verify(pairs(second, "s", mine).dropDuplicates(["a", "b"])).select("a", "b"), "edges")
+    known = comp.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    if not edges2.isEmpty():
+        comp = tables.save(components(known.unionByName(edges2), tables), "comp")
+        lab = tables.save(labelled(comp), "labelled")
+        known = comp.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        mine = lab.where("id != hub").select("key", "id", "c", *carry)
+    rest = lab.where("c != hc").select("key", F.col("id").alias("s"), F.col("c").alias("sc"), *side("s"))
+    if rest.isEmpty():
         return comp
-    return tables.save(components(edges.unionByName(edges3), tables), "comp")
+    edges3 = tables.save(verify(pairs(rest, "s", mine).dropDuplicates(["a", "b"])).select("a", "b"), "edges")
+    return comp if edges3.isEmpty() else tables.save(components(known.unionByName(edges3), tables), "comp")

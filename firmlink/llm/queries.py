@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import decontaminate, lang_id, lm_score, packing, simhash, substring, topk, toxicity
+from firmlink.llm import decontaminate, lang_id, line_dedup, lm_score, packing, simhash, substring, topk, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=1024).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -64,6 +68,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op3_substring": op3_substring,
     "op4_url_filters": op4_url_filters,

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlink.llm.common import Tables, free_name
+from firmlink.llm.common import Tables, free_name, ordered
 
 WINDOW = 20
 ROUNDS = 4
@@ -227,21 +227,6 @@ def receive(pdf: pd.DataFrame):
     return pd.DataFrame({"ord": doc[head], "ranges": [pairs[a:b].tobytes() for a, b in zip(head.tolist(), ends.tolist())]})
 
 
-def ordered(docs: DataFrame, id_col: str, tables: Tables) -> tuple[DataFrame, str]:
-    """``docs`` with a long column that orders its rows by id: the id itself
-    where it is a whole number, present and unique; otherwise row numbers of a
-    table sorted by id (nulls first) and text, so rows of one id count as
-    different documents."""
-    ord_col = free_name(docs, "ord")
-    if docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
-        bad = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1))
-        if bad.isEmpty():
-            return docs.withColumn(ord_col, F.col(id_col).cast("long")), ord_col
-    keys = [F.col(id_col), *[F.col(c) for c in docs.columns if c != id_col and docs.schema[c].dataType.typeName() == "string"]]
-    in_order = docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return tables.save(in_order.withColumn(ord_col, F.monotonically_increasing_id()), "ordered"), ord_col
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    rounds: int = ROUNDS, part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (the words that

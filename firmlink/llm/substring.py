@@ -193,9 +193,9 @@ def send(ords: list[int], words: list[list[bytes]], part: int, parts: int, windo
                ords[dd].tobytes(), df.astype(np.uint32).tobytes(), dc.astype(np.uint32).tobytes())
 
 
-def receive(pdf: pd.DataFrame):
-    """Repeated windows among the anchors of one part: for each document its
-    ranges of window starts, as int32 pairs."""
+def receive(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Repeated windows among the anchors of one part: ranges of window starts,
+    packed for the bucket of their document."""
     cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
     ords = cat([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(m, np.uint32)) for d, m in zip(pdf["docs"], pdf["per_doc"])], np.int64)
     key, first, count, place, sums = (cat([unplanes(b, w) for b in pdf[c]], np.uint64) for c, w in (
@@ -221,10 +221,23 @@ def receive(pdf: pd.DataFrame):
     n = cat([np.ones(int(again.sum()), np.int64), *[np.frombuffer(b, np.uint32).astype(np.int64) for b in pdf["done_count"]]], np.int64)
     by = np.lexsort((at, doc))
     doc, at, n = runs(doc[by], at[by], n[by])
-    head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
+    to = mix(doc.astype(np.uint64)).astype(np.int64) % buckets
+    by = np.argsort(to, kind="stable")
+    used, head = np.unique(to[by], return_index=True)
+    return pd.DataFrame([(b, doc[x].tobytes(), planes(at[x], 4), planes(n[x], 4)) for b, x in zip(used.tolist(), np.split(by, head[1:]))],
+                        columns=["bucket", "docs", "at", "n"])
+
+
+def by_document(pdf: pd.DataFrame) -> pd.DataFrame:
+    """All ranges of the documents of a bucket: one row for each document, with
+    int32 pairs (first window, number of windows)."""
+    doc = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["docs"]])
+    at, n = (np.concatenate([unplanes(b, 4) for b in pdf[c]]).astype(np.int64) for c in ("at", "n"))
+    by = np.lexsort((at, doc))
+    doc, at, n = runs(doc[by], at[by], n[by])
+    head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     pairs = np.stack([at, n], axis=1).astype(np.int32)
-    ends = np.append(head[1:], len(doc))
-    return pd.DataFrame({"ord": doc[head], "ranges": [pairs[a:b].tobytes() for a, b in zip(head.tolist(), ends.tolist())]})
+    return pd.DataFrame({"ord": doc[head], "ranges": [x.tobytes() for x in np.split(pairs, head[1:])]})
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -270,22 +283,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield flush()
 
     src = docs.select(F.col(ord_col).alias("o"), F.col(text_col).alias("t"))
-    found = src.mapInPandas(run, BLOCK_SCHEMA).groupBy("p").applyInPandas(receive, "ord long, ranges binary")
-    found = tables.save(found, "ranges").groupBy("ord").agg(F.collect_list("ranges").alias("ranges"))
+    found = src.mapInPandas(run, BLOCK_SCHEMA).groupBy("p").applyInPandas(
+        lambda pdf: receive(pdf, parts), "bucket int, docs binary, at binary, n binary")
+    found = tables.save(found.groupBy("bucket").applyInPandas(by_document, "ord long, ranges binary"), "ranges")
 
     @F.pandas_udf("n_words long, n_removed long, kept_text string")
     def keep(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
         out = []
-        for t, rs in zip(texts, ranges):
+        for t, found in zip(texts, ranges):
             words = t.encode().split() if t else []
-            if rs is None or not len(rs):
+            if found is None:
                 out.append((len(words), 0, b" ".join(words).decode()))
                 continue
             gone = np.zeros(len(words) + 1, np.int32)
-            for r in rs:
-                at, n = np.frombuffer(r, np.int32).reshape(-1, 2).T
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + n - 1 + window, -1)
+            at, n = np.frombuffer(found, np.int32).reshape(-1, 2).T
+            np.add.at(gone, at, 1)
+            np.add.at(gone, at + n - 1 + window, -1)
             stay = np.cumsum(gone)[:-1] == 0
             left = [w for w, s in zip(words, stay.tolist()) if s]
             out.append((len(words), len(words) - len(left), b" ".join(left).decode()))

@@ -2,9 +2,9 @@
 
 Lines (texts split at line feeds) are near-duplicates at a Jaccard similarity of
 0.8 or more of their character shingles. A shingle is the ``SHINGLE`` characters
-from a word's start; in scripts written without spaces, from every character. (At
-one shingle a word a line's set is about six times smaller than with all
-positions; the same sets serve the signatures and the exact check.)
+from a word's start; beyond U+0DFF, where scripts write few spaces, from every
+character. (At one shingle a word a line's set is about six times smaller than
+with all positions; the same sets serve the signatures and the exact check.)
 
 1. *Signatures*: minima of ``ROWS * BANDS`` permutations of the shingles' 64-bit
    hashes, per distinct line.
@@ -40,25 +40,23 @@ ROWS, BANDS = 4, 8
 #: Ids of lines whose text is fetched are broadcast up to so many (8 bytes each).
 BROADCAST_IDS = 2_000_000
 
-#: Fixed value: scripts written without spaces between words (Thai, Lao,
-#: Burmese, Khmer, CJK ideographs, kana).
-NO_SPACES = r"฀-໿က-႟ក-៿⺀-鿿豈-﫿"
-
-
 def shingles(line, size: int = SHINGLE):
-    """Array of a line's character shingles, repeats included; a line of one
-    word has one, a blank line none."""
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?:(?<!\S)|(?<=[{NO_SPACES}]))(?=(\S.{{0,{size - 1}}}))"), F.lit(1))
+    """Array of a line's character shingles, repeats included: from the start of
+    each run of characters up to U+0DFF (words of scripts that write spaces) and
+    from every character beyond (ideographs, kana, Thai and others). A line of
+    one word has one, a blank line none."""
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(\S.{{0,{size - 1}}}))(?:[!-\u0DFF]++|.)"), F.lit(1))
 
 
 def permuted_minima(h, n: int, seed: int = 17) -> list:
-    """Minima over a group of ``n`` permutations of the hash ``h``: rotations by
-    different amounts, masked; the upper 32 bits of each."""
-    rng, out = random.Random(seed), []
+    """Minima over a group of ``n`` permutations of the hash ``h``: its upper and
+    lower 32 bits, each under ``n / 2`` masks. The masks' leading bits differ, so
+    each looks for the hash nearest to another point."""
+    rng, out, half = random.Random(seed), [], (n + 1) // 2
+    words = (F.shiftright(h, 32).cast("int"), F.shiftright(F.shiftleft(h, 32), 32).cast("int"))
     for k in range(n):
-        s = (k * 64 // n) % 64
-        turned = h if not s else F.shiftleft(h, s).bitwiseOR(F.shiftrightunsigned(h, 64 - s))
-        out.append(F.min(F.shiftright(turned.bitwiseXOR(F.lit(rng.getrandbits(63))), 32).cast("int")).alias(f"m{k}"))
+        mask = ((k % half << 32) // half + rng.getrandbits(20)) % (1 << 32) - (1 << 31)
+        out.append(F.min(words[k // half].bitwiseXOR(F.lit(mask).cast("int"))).alias(f"m{k}"))
     return out
 
 

@@ -134,7 +134,7 @@ def score_chunk(row, totals: np.ndarray, corpus_words: int, order: int, alpha: f
             _, inv, own = np.unique(doc[real] * len(distinct) + place[real], return_inverse=True, return_counts=True)
             c[real] -= own[inv]
         have.append(c)
-    base = np.maximum(corpus_words - (n if leave_out else 0), 1)[doc]
+    base = np.maximum(corpus_words - (n if leave_out else 0 * n), 1)[doc]
     value = np.log(np.maximum(have[0], 1) / base) + (order - 1) * np.log(alpha)
     done = np.zeros(len(doc), bool)
     for k in range(order - 1, 0, -1):

@@ -71,7 +71,7 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
 
 
 def _segment(x, seg):
-    return F.shiftrightunsigned(x, seg[0]).bitwiseAND(F.lit((1 << seg[1]) - 1))
+    return x if seg[1] == 64 else F.shiftrightunsigned(x, seg[0]).bitwiseAND(F.lit((1 << seg[1]) - 1))
 
 
 def chain_keys(fp, max_bits: int = MAX_BITS):

@@ -31,7 +31,7 @@ class Sets:
 
 
 def line_shingles(line, size=12):
-    return set(re.findall(r"(?s)(?<!\S)(?=(\S.{0,%d}))" % (size - 1), line))
+    return set(re.findall(r"(?s)(?=([^ \t\n\x0b\f\r].{0,%d}))(?:[!-\u0DFF]+|.)" % (size - 1), line))
 
 
 def line_classes(docs):

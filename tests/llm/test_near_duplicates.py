@@ -99,7 +99,7 @@ def test_drop_duplicate_lines_keeps_columns_and_order(spark):
 
 
 def test_scripts_without_spaces(spark):
-    line = "数据清洗流水线需要去除重复的行以及近似重复的行内容然后再继续处理"
+    line = "数据清洗流水线需要去除重复的行以及近似重复的行内容然后再继续处理其余文档并写出结果供后面各个阶段使用直到全部完成为止"
     rows = [(1, line), (2, line[:-1] + "吧"), (3, "完全不同的另外一行文字没有任何共同之处可言")]
     got = {r.doc_id: r.component_doc for r in line_dedup.dedup_lines(docs_of(spark, rows), size=4).collect()}
     assert got == {1: 1, 2: 1, 3: 3}

@@ -36,7 +36,7 @@ from firmlink.llm.substring import mix, planes, unplanes
 ORDER = 3
 ALPHA = 0.4
 KEY_BITS = 48
-CHUNK_WORDS, PART_BYTES = 2_000_000, 16 << 20
+CHUNK_WORDS, PART_BYTES = 400_000, 4 << 20
 
 U = np.uint64
 CHUNK_SCHEMA = "chunk string, docs array<string>, n binary, vocabulary binary, codes binary"

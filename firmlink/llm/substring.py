@@ -35,7 +35,7 @@ from firmlink.llm.common import Tables, free_name, ordered
 WINDOW = 20
 ROUNDS = 4
 #: Words parsed at once in a task, and bytes of text behind one part of the hash space.
-CHUNK_WORDS, PART_BYTES = 1_500_000, 16 << 20
+CHUNK_WORDS, PART_BYTES = 400_000, 4 << 20
 #: Bytes of an anchor's key and of a window's checksum that are compared (together 88 bits).
 KEY_BYTES, SUM_BYTES = 6, 5
 

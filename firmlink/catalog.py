@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from firmlink import fixtures as fx
 from firmlink.config import MatchConfig
 from firmlink.functions.dates import norm_date
-from firmlink.functions.html import extract_company_fields
+from firmlink.functions.html import MAX_STORED_HTML_CHARS, extract_company_fields
 from firmlink.functions.text import block_key, norm_name
 from firmlink.functions.url import row_hash, url_domain, url_hash
 from firmlink.operators.confirm import apply_verdicts
@@ -46,7 +46,7 @@ def q_url_domain_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_page_company_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     fp = fx.fetched_pages(spark, sf_dir)
-    f = extract_company_fields(fp, "html", "http_status", keep=["page_id", "url", "http_status"])
+    f = extract_company_fields(fp, "html", "http_status", ["page_id", "url", "http_status"], MAX_STORED_HTML_CHARS)
     return f.select(
         "page_id", "url", url_domain("url").alias("domain"), "http_status",
         "extracted_name", "extracted_industry", F.length("raw_html").alias("raw_html_chars"),
@@ -61,7 +61,7 @@ def _hits_and_pages(spark: SparkSession, sf_dir: str):
 
 def q_index_hits_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits, pages = _hits_and_pages(spark, sf_dir)
-    return crawl_rows(hits, pages, ["line_no"])
+    return crawl_rows(hits, pages, ["line_no"], max_stored_chars=MAX_STORED_HTML_CHARS)
 
 
 def q_exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Command line: the three jobs and the end-to-end run.
 
-    python -m firmlink stage-registry --xml PATH --out DIR [--row-tag ABR] [--layout flat|bulk]
+    python -m firmlink stage-registry --xml PATH --out DIR
     python -m firmlink stage-crawl --hits PATH --pages PATH --out DIR
     python -m firmlink unify --registry PATH --crawl PATH --out PATH [--verdicts PATH | --confirmer mod:fn]
                              [--mode append|overwrite|insert_if_absent]
@@ -19,22 +19,16 @@ import os
 from pyspark.sql import SparkSession
 
 from firmlink.config import MatchConfig
-from firmlink.plans.run_all import ORDINAL, _existing, run_all
+from firmlink.operators.dedup import insert_if_absent
+from firmlink.operators.materialize import materialize, release
+from firmlink.plans.run_all import ORDINAL, run_all
 from firmlink.plans.stage_crawl import stage_crawl
 from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.plans.unify import unify
 from firmlink.schemas import CRAWL, REGISTRY, UNIFIED
 from firmlink.sources.index_hits import read_index_hits
-from firmlink.sources.registry_xml import (
-    BULK_LAYOUT,
-    FLAT_LAYOUT,
-    discover_layout,
-    flatten_registry,
-    read_registry_xml,
-)
-from firmlink.sources.tables import read_pages, write_quarantine
-
-LAYOUTS = {"flat": FLAT_LAYOUT, "bulk": BULK_LAYOUT}
+from firmlink.sources.registry_xml import flatten_registry, read_registry_xml
+from firmlink.sources.tables import existing_table, read_pages, write_quarantine
 
 
 def parse_options(pairs: list[str]) -> dict[str, str]:
@@ -97,13 +91,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     r = sub.add_parser("stage-registry")
     r.add_argument("--xml", required=True)
     r.add_argument("--out", required=True)
-    r.add_argument("--row-tag", action="append", dest="row_tags")
-    r.add_argument("--layout", choices=sorted(LAYOUTS) + ["auto"], default="flat")
-    r.add_argument("--sampling-ratio", type=float, default=0.01, help="for --layout auto")
     c = sub.add_parser("stage-crawl")
     c.add_argument("--hits", required=True)
     c.add_argument("--pages", required=True)
     c.add_argument("--out", required=True)
+    c.add_argument("--max-stored-chars", type=int, help="leave longer pages out of the stored HTML")
     u = sub.add_parser("unify")
     u.add_argument("--registry", required=True, help="path, or table name with --format jdbc")
     u.add_argument("--crawl", required=True, help="path, or table name with --format jdbc")
@@ -117,28 +109,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     a.add_argument("--hits", required=True)
     a.add_argument("--pages", required=True)
     a.add_argument("--out", required=True)
-    a.add_argument("--row-tag", action="append", dest="row_tags")
-    a.add_argument("--layout", choices=sorted(LAYOUTS) + ["auto"], default="flat")
-    a.add_argument("--sampling-ratio", type=float, default=0.01, help="for --layout auto")
+    a.add_argument("--max-stored-chars", type=int, help="leave longer pages out of the stored HTML")
     match_opts(a)
     args = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"firmlink-{args.cmd}").getOrCreate()
     result: dict = {}
     if args.cmd == "stage-registry":
-        tags = args.row_tags or ["ABR"]
-        layout = (discover_layout(spark, args.xml, tags[0], args.sampling_ratio) if args.layout == "auto"
-                  else LAYOUTS[args.layout])
-        flat = flatten_registry(read_registry_xml(spark, args.xml, layout, tags), layout, keep=ORDINAL)
+        flat = materialize(flatten_registry(read_registry_xml(spark, args.xml), keep=ORDINAL), "registry-parsed")
         target_path = os.path.join(args.out, "registry")
-        load = stage_registry(flat, ORDINAL, target=_existing(spark, target_path, REGISTRY))
+        load = stage_registry(flat, ORDINAL, target=existing_table(spark, target_path, REGISTRY))
         load.inserted.write.mode("append").parquet(target_path)
         write_quarantine(load.quarantine, os.path.join(args.out, "quarantine"), record_cols=RECORD_FIELDS)
         result = {"registry": spark.read.parquet(target_path).count()}
     elif args.cmd == "stage-crawl":
         target_path = os.path.join(args.out, "crawl")
         rows = stage_crawl(read_index_hits(spark, args.hits), read_pages(spark, args.pages), ORDINAL,
-                           target=_existing(spark, target_path, CRAWL))
+                           target=existing_table(spark, target_path, CRAWL), max_stored_chars=args.max_stored_chars)
         rows.write.mode("append").parquet(target_path)
         result = {"crawl": spark.read.parquet(target_path).count()}
     elif args.cmd == "unify":
@@ -149,13 +136,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                     verdicts=_verdicts(spark, args.verdicts), confirmer=_confirmer(args.confirmer))
         out = out.select([f.name for f in UNIFIED.fields])
         if cfg.write_mode == "insert_if_absent":
-            from firmlink.operators.dedup import insert_if_absent
-
-            try:
-                existing = read(args.out)
-            except Exception:  # first run: no table yet
-                existing = spark.createDataFrame([], UNIFIED)
-            out = insert_if_absent(out, existing, ["abn", "domain"], ["match_type"])
+            existing = read(args.out) if args.format == "jdbc" else existing_table(spark, args.out, UNIFIED, args.format, **opts)
+            out = insert_if_absent(out, existing, ["abn", "domain"], ["match_type"], nulls_equal=True)
             mode = "append"
         else:
             mode = cfg.write_mode
@@ -164,7 +146,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     else:
         result = run_all(spark, args.xml, args.hits, args.pages, args.out, _config(args),
                          verdicts=_verdicts(spark, args.verdicts),
-                         layout="auto" if args.layout == "auto" else LAYOUTS[args.layout],
-                         row_tags=tuple(args.row_tags or ["ABR"]), auto_sampling_ratio=args.sampling_ratio)
+                         max_stored_chars=args.max_stored_chars)
+    release(spark)
     print(json.dumps(result))
     return result

@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # Defaults of the matching job (block prefix length, score
-# bands, cap on pairs sent to a confirmation function, write mode).
+# bands, write mode).
 DEFAULT_BLOCK_CHARS = 3
 DEFAULT_THRESHOLD_LO = 0.80
 DEFAULT_THRESHOLD_HI = 0.95
-DEFAULT_CONFIRM_LIMIT = 2000
 DEFAULT_WRITE_MODE = "append"
 
 
@@ -19,8 +18,9 @@ class MatchConfig:
 
     ``lo <= score < hi`` is the borderline band (closed below, open above);
     ``score >= hi`` is accepted without confirmation.
-    ``confirm_limit`` caps the distinct name pairs handed to a confirmation
-    *function* (it costs per call); a verdict table is never capped.
+    ``confirm_limit`` bounds the distinct name pairs handed to a confirmation
+    *function*; by default all are asked, and a bound warns with the number of
+    pairs left out. A verdict table is never capped.
     ``write_mode`` for the unified table: ``append`` (every run adds its
     rows), ``overwrite``, or ``insert_if_absent`` on ``(abn, domain)``.
     """
@@ -28,7 +28,7 @@ class MatchConfig:
     block_chars: int = DEFAULT_BLOCK_CHARS
     lo: float = DEFAULT_THRESHOLD_LO
     hi: float = DEFAULT_THRESHOLD_HI
-    confirm_limit: int | None = DEFAULT_CONFIRM_LIMIT
+    confirm_limit: int | None = None
     write_mode: str = DEFAULT_WRITE_MODE
 
     def __post_init__(self):

@@ -100,7 +100,7 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pid = F.col("page_id")
     sid = pid.cast("string")
     snippet = (
-        F.when(pid % 5 == 1, F.concat(F.lit('<meta property="og:site_name" content="Site '), sid, F.lit('">')))
+        F.when(pid % 5 == 1, F.concat(F.lit('<meta property="og:site_name" content="Site &euro;&ntilde; &#8364;&#x41; &amp;lt; '), sid, F.lit('">')))
         .when(pid % 5 == 2, F.lit('<meta property="og:site_name" content=""><meta property="og:title" content="X">'))
         .when(
             pid % 5 == 3,

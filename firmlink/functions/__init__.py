@@ -8,7 +8,6 @@ from firmlink.functions.dates import norm_date
 from firmlink.functions.html import (
     decode_entities,
     extract_company_fields,
-    html_company_fields,
     html_industry,
     html_meta_name,
     html_org_name,
@@ -18,6 +17,6 @@ from firmlink.functions.html import (
 __all__ = [
     "block_key", "norm_name", "or_chain", "precedence", "py_strip",
     "row_hash", "url_domain", "url_hash", "norm_date",
-    "decode_entities", "extract_company_fields", "html_company_fields", "html_industry", "html_meta_name",
+    "decode_entities", "extract_company_fields", "html_industry", "html_meta_name",
     "html_org_name", "html_title_name",
 ]

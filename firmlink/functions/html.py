@@ -13,55 +13,28 @@ tolerant HTML parser on well-formed pages:
   ``<meta name="industry">``.
 
 Comments, ``<script>`` and ``<style>`` blocks are removed first. Known gaps
-(documented in the README): ``>`` inside attribute values, named entities
-beyond the common ones, nested equal tags inside the name element, a void element carrying
-``itemprop="name"``.
+(documented in the README): ``>`` inside attribute values, references without
+their semicolon, nested equal tags inside the name element, a void element
+carrying ``itemprop="name"``.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlink.functions.text import _c, py_strip
 from firmlink.operators.project import project_once
 
-# Named entities decoded in text and attribute values (the
-# common ones of page titles and meta content); '&amp;' is decoded last so
-# that '&amp;lt;' gives '&lt;'.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&ndash;", "\u2013"),
-    ("&mdash;", "\u2014"),
-    ("&lsquo;", "\u2018"),
-    ("&rsquo;", "\u2019"),
-    ("&ldquo;", "\u201c"),
-    ("&rdquo;", "\u201d"),
-    ("&hellip;", "\u2026"),
-    ("&bull;", "\u2022"),
-    ("&middot;", "\u00b7"),
-    ("&laquo;", "\u00ab"),
-    ("&raquo;", "\u00bb"),
-    ("&copy;", "\u00a9"),
-    ("&reg;", "\u00ae"),
-    ("&trade;", "\u2122"),
-    ("&eacute;", "\u00e9"),
-    ("&egrave;", "\u00e8"),
-    ("&agrave;", "\u00e0"),
-    ("&ccedil;", "\u00e7"),
-    ("&auml;", "\u00e4"),
-    ("&ouml;", "\u00f6"),
-    ("&uuml;", "\u00fc"),
-    ("&szlig;", "\u00df"),
-    ("&amp;", "&"),
-)
+# The named character references of HTML with their characters, from Python's
+# table of the standard (names that end in ';').
+ENTITIES = {f"&{name}": text for name, text in sorted(html5.items()) if name.endswith(";")}
 
-# Pages at or above this many characters are not stored.
+# Fixed value: the original job stored no page of this many characters or more
+# (an opt-in here: ``max_stored_chars``).
 MAX_STORED_HTML_CHARS = 200_000
 
 _NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
@@ -89,6 +62,7 @@ def _meta_tag(attr: str, value: str) -> str:
 
 
 _NUMERIC_REF = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+_REFERENCE = _NUMERIC_REF + r"|&[A-Za-z][A-Za-z0-9]*;"
 
 
 def _numeric_char(ref: Column) -> Column:
@@ -103,17 +77,18 @@ def _numeric_char(ref: Column) -> Column:
 
 
 def decode_entities(col: Column | str) -> Column:
-    """Decode numeric references, then the named entities (``&amp;`` last).
+    """Decode numeric and named character references (those of ``ENTITIES``,
+    with their semicolon; others stay), in one pass: the text between the
+    references and their characters are joined, so nothing is decoded twice.
     Meant for short extracted strings (names, attribute values)."""
-    out = _c(col)
-    refs = F.array_distinct(F.regexp_extract_all(out, F.lit(_NUMERIC_REF), 0))
-    out = F.when(
-        out.contains("&#"),
-        F.aggregate(refs, out, lambda acc, ref: F.replace(acc, ref, _numeric_char(ref))),
-    ).otherwise(out)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    text = _c(col)
+    refs = F.regexp_extract_all(text, F.lit(_REFERENCE), 0)
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+    chars = F.transform(refs, lambda r: F.when(F.rlike(r, F.lit(_NUMERIC_REF)), _numeric_char(r))
+                        .otherwise(F.coalesce(F.try_element_at(names, r), r)))
+    between = F.split(text, _REFERENCE)
+    joined = F.array_join(F.zip_with(between, chars, lambda t, c: F.concat(t, F.coalesce(c, F.lit("")))), "")
+    return F.when(F.rlike(text, F.lit(_REFERENCE)), joined).otherwise(text)
 
 
 def strip_noise(html: Column | str) -> Column:
@@ -171,34 +146,19 @@ def html_name(html: Column | str) -> Column:
     return F.coalesce(html_org_name(h), F.nullif(meta, F.lit("")), html_title_name(h), meta)
 
 
-def html_company_fields(html: Column | str, http_status: Column | str) -> dict[str, Column]:
-    """Crawl-row fields from a fetch result, as plain column expressions.
-
-    The body is used only for status 200; extraction runs on any non-empty
-    body; ``raw_html`` keeps bodies shorter than the size cap (in characters).
-    Prefer :func:`extract_company_fields` on DataFrames: it evaluates each
-    whole-document regex once, where these nested expressions repeat them.
-    """
-    body = F.when(_c(http_status) == 200, _c(html))
-    usable = body.isNotNull() & (body != "")
-    clean = strip_noise(body)
-    size = F.length(body)
-    return {
-        "extracted_name": F.when(usable, html_name(clean)),
-        "extracted_industry": F.when(usable, html_industry(clean)),
-        "raw_html": F.when((size > 0) & (size < MAX_STORED_HTML_CHARS), body),
-    }
-
-
 def extract_company_fields(df: DataFrame, html: str = "html", http_status: str = "http_status",
-                           keep: list[str] | None = None) -> DataFrame:
+                           keep: list[str] | None = None, max_stored_chars: int | None = None) -> DataFrame:
     """``keep`` columns (default: all but ``html``) plus ``extracted_name``,
     ``extracted_industry`` and ``raw_html``.
 
+    The body is used only for status 200; an empty one is stored as NULL, and
+    with ``max_stored_chars`` so is one of that many characters or more (its
+    fields are extracted all the same).
+
     Three once-evaluated projections: clean the document; run each
     whole-document regex once; combine the short strings. (Spark does not
-    share sub-expressions that sit inside conditional branches, so the nested
-    form of :func:`html_company_fields` would rescan the page per use.)
+    share sub-expressions that sit inside conditional branches, so one nested
+    expression would rescan the page per use.)
     """
     keep = [c for c in df.columns if c != html] if keep is None else list(keep)
     body = F.when(F.col(http_status) == 200, F.col(html))
@@ -206,7 +166,7 @@ def extract_company_fields(df: DataFrame, html: str = "html", http_status: str =
     s1 = project_once(df, keep, {
         "_clean": strip_noise(body),
         "_usable": body.isNotNull() & (body != ""),
-        "raw_html": F.when((size > 0) & (size < MAX_STORED_HTML_CHARS), body),
+        "raw_html": F.when((size > 0) & (F.lit(True) if max_stored_chars is None else size < max_stored_chars), body),
     })
     clean = F.col("_clean")
     org_rest = F.regexp_extract(clean, _ORG_REST, 1)

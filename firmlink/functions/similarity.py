@@ -3,12 +3,14 @@ before it is computed.
 
 ``ratio(a, b) = 2*M / (len(a) + len(b))`` where ``M`` is the number of
 characters in the matching blocks found by :class:`difflib.SequenceMatcher`
-(registry name first; the measure is not symmetric). Two bounds hold for every
+(registry name first; the measure is not symmetric). Three bounds hold for every
 pair and cost no Python:
 
 * length bound: ``2*min(la, lb) / (la + lb) >= ratio``;
 * multiset bound: ``2*overlap / (la + lb) >= ratio``, where ``overlap`` is the
-  size of the multiset intersection of the two character bags.
+  size of the multiset intersection of the two character bags;
+* edit bound: replacing what lies between the matching blocks turns one text
+  into the other, so ``levenshtein(a, b) <= (1 - ratio) * (la + lb)``.
 
 Characters are encoded as tokens ``"<char>#<k>"`` (k-th occurrence), so the
 multiset intersection is a plain ``array_intersect`` of token arrays.
@@ -28,15 +30,20 @@ from pyspark.sql import types as T
 from firmlink.functions.text import _c
 
 
-def ratio_py(a: str | None, b: str | None) -> float:
-    """Reference measure on two Python strings; 0.0 when either is empty."""
-    if not a or not b:
-        return 0.0
-    return float(SequenceMatcher(None, a, b).ratio())
-
-
 def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = np.fromiter((ratio_py(x, y) for x, y in zip(a, b)), dtype="float64", count=len(a))
+    """Ratios of a batch. The matcher indexes its second text, so the pairs are
+    taken in the order of those and each is indexed once."""
+    out = np.zeros(len(a))
+    matcher, indexed = SequenceMatcher(None), None
+    first, second = a.to_numpy(dtype=object), b.to_numpy(dtype=object)
+    for i in sorted(range(len(second)), key=lambda k: second[k] or ""):
+        if not first[i] or not second[i]:
+            continue
+        if second[i] != indexed:
+            indexed = second[i]
+            matcher.set_seq2(indexed)
+        matcher.set_seq1(first[i])
+        out[i] = matcher.ratio()
     return pd.Series(out)
 
 

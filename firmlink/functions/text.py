@@ -18,7 +18,7 @@ PY_WHITESPACE_CLASS = (
 SUFFIX_WORDS = (
     "pty", "pvt", "ltd", "plc", "inc", "co", "company", "limited", "llc", "corporation", "corp",
 )
-SUFFIX_PATTERN = r"\b(" + "|".join(SUFFIX_WORDS) + r"|pty\.? ltd\.?)\b"
+SUFFIX_PATTERN = r"\b(" + "|".join(SUFFIX_WORDS) + r")\b"
 
 # Match types and their precedence (higher wins).
 MATCH_EXACT = "EXACT"

@@ -6,8 +6,10 @@ distinct name pair, on executors. Two ways to answer:
 * a verdict table ``(reg_norm, crawl_norm, answer)``, joined on the names;
 * a vectorised function ``pandas.DataFrame(reg_norm, crawl_norm) -> Series of
   answers`` applied with ``mapInPandas`` (no network client in the engine;
-  the caller supplies it). Only the ``limit`` best-scoring pairs are asked
-  (deterministic top-k), since each call has a cost.
+  the caller supplies it). All pairs are asked, spread over the session's
+  shuffle partitions by the pair's hash. A caller may set ``limit``: then the
+  best-scoring pairs are asked (deterministic top-k) and a warning gives the
+  number of pairs that were not.
 
 An answer confirms when, stripped and lower-cased, it starts with ``yes``;
 anything else (including no answer) does not. With neither a table nor a
@@ -16,6 +18,7 @@ function, no borderline pair is confirmed.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 import pandas as pd
@@ -44,7 +47,14 @@ def _function_verdicts(
 ) -> DataFrame:
     asked = borderline.select("r_norm", "c_norm", "fuzzy_score")
     if limit is not None:
+        left_out = asked.count() - limit
+        if left_out > 0:
+            warnings.warn(f"{left_out} borderline pairs are not asked (confirm_limit={limit})", stacklevel=4)
         asked = asked.orderBy(F.desc("fuzzy_score"), "r_norm", "c_norm").limit(limit)
+    # an explicit partition count: adaptive coalescing would put few pairs,
+    # however costly to ask, into one task
+    parts = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = asked.repartition(parts, "r_norm", "c_norm")
 
     def run(batches):
         for pdf in batches:

@@ -205,9 +205,12 @@ def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
 
 
 def score_pairs(cands: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Similarity of each candidate pair, kept when ``>= lo``."""
+    """Similarity of each candidate pair, kept when ``>= lo``; pairs beyond the
+    edit bound are dropped before the UDF."""
+    room = F.lit(1.0 - cfg.lo) * (F.length("r_norm") + F.length("c_norm")) + F.lit(1e-6)
+    near = cands.where(F.levenshtein("r_norm", "c_norm") <= room)
     return (
-        cands.select("r_norm", "c_norm", ratio_udf("r_norm", "c_norm").alias("fuzzy_score"))
+        near.select("r_norm", "c_norm", ratio_udf("r_norm", "c_norm").alias("fuzzy_score"))
         .filter(F.col("fuzzy_score") >= F.lit(cfg.lo))
     )
 

@@ -2,8 +2,9 @@
 
 Storage is Parquet by default (any DataFrame source/sink works through
 ``read_table``/``write_table``). Staging is insert-if-absent, so a rerun
-after a failure loads nothing twice; each write is one Spark job whose
-failed tasks are retried by Spark.
+after a failure loads no row of the three tables twice (the quarantine is a log:
+a rerun appends its rejects again); each write is one Spark job whose failed
+tasks are retried by Spark.
 """
 
 from __future__ import annotations
@@ -15,25 +16,18 @@ from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
 from firmlink.operators.dedup import insert_if_absent
-from firmlink.operators.materialize import materialize
+from firmlink.operators.materialize import materialize, release
 from firmlink.plans.stage_crawl import stage_crawl
 from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.plans.unify import unify
 from firmlink.schemas import CRAWL, REGISTRY, UNIFIED
 from firmlink.sources.index_hits import read_index_hits
-from firmlink.sources.registry_xml import FLAT_LAYOUT, discover_layout, flatten_registry, read_registry_xml
-from firmlink.sources.tables import read_pages, write_quarantine
+from firmlink.sources.registry_xml import flatten_registry, read_registry_xml
+from firmlink.sources.tables import existing_table, read_pages, write_quarantine
 
 ORDINAL = ["_file", "_block", "_row"]
 
 
-def _existing(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # first load: the table does not exist yet
-        return spark.createDataFrame([], schema)
-
-
 def run_all(
     spark: SparkSession,
     registry_xml: str,
@@ -42,14 +36,12 @@ def run_all(
     out_dir: str,
     cfg: MatchConfig = MatchConfig(),
     verdicts: DataFrame | None = None,
-    layout=FLAT_LAYOUT,
-    row_tags=("ABR",),
-    auto_sampling_ratio: float = 0.01,
+    max_stored_chars: int | None = None,
 ) -> dict[str, int]:
     """Load register and crawl into ``out_dir/{registry,crawl}``, quarantine
     bad records under ``out_dir/quarantine``, write ``out_dir/unified``.
-    ``layout`` is a layout map, or ``"auto"`` to find the field elements at
-    any depth from a sample of the records (``auto_sampling_ratio``).
+    ``max_stored_chars`` leaves longer pages out of the stored HTML. Intermediate
+    tables are deleted at the end.
     Returns the rows written by this run (``registry_inserted``,
     ``registry_quarantined``, ``crawl_inserted``, ``unified_written``) and the
     table sizes after it (``registry``, ``crawl``, ``unified``)."""
@@ -57,23 +49,19 @@ def run_all(
     crawl_path = os.path.join(out_dir, "crawl")
     unified_path = os.path.join(out_dir, "unified")
 
-    if layout == "auto":
-        layout = discover_layout(spark, registry_xml, row_tags[0], auto_sampling_ratio)
-    parsed = read_registry_xml(spark, registry_xml, layout, row_tags)
-    flat = flatten_registry(parsed, layout, keep=ORDINAL)
     # Both the table and the quarantine read the parsed records: parse the
-    # XML once (a table under the checkpoint folder, else persisted).
-    flat = materialize(flat, "registry-parsed")
-    load = stage_registry(flat, ORDINAL, target=_existing(spark, reg_path, REGISTRY))
+    # XML once, into a table under the shared folder.
+    flat = materialize(flatten_registry(read_registry_xml(spark, registry_xml), keep=ORDINAL), "registry-parsed")
+    load = stage_registry(flat, ORDINAL, target=existing_table(spark, reg_path, REGISTRY))
     inserted, reg_obs = _observed(load.inserted, "registry_inserted")
     inserted.write.mode("append").parquet(reg_path)
     bad, bad_obs = _observed(load.quarantine, "registry_quarantined")
     write_quarantine(bad, os.path.join(out_dir, "quarantine"), record_cols=RECORD_FIELDS)
-    flat.unpersist()
 
     hits = read_index_hits(spark, index_hits)
     new_crawl = stage_crawl(hits, read_pages(spark, pages), ORDINAL,
-                            target=_existing(spark, crawl_path, CRAWL))
+                            target=existing_table(spark, crawl_path, CRAWL),
+                            max_stored_chars=max_stored_chars)
     new_crawl, crawl_obs = _observed(new_crawl, "crawl_inserted")
     new_crawl.write.mode("append").parquet(crawl_path)
 
@@ -82,8 +70,8 @@ def run_all(
     unified = unify(registry, crawl, cfg, verdicts=verdicts).select([f.name for f in UNIFIED.fields])
     if cfg.write_mode == "insert_if_absent":
         # keep rows already in the table; add only new (abn, domain) pairs
-        existing = _existing(spark, unified_path, UNIFIED)
-        unified = insert_if_absent(unified, existing, ["abn", "domain"], ["match_type"])
+        existing = existing_table(spark, unified_path, UNIFIED)
+        unified = insert_if_absent(unified, existing, ["abn", "domain"], ["match_type"], nulls_equal=True)
         mode = "append"
     else:
         mode = "overwrite" if cfg.write_mode == "overwrite" else "append"
@@ -95,6 +83,7 @@ def run_all(
     # table sizes after the run (Parquet footers)
     for name, path in (("registry", reg_path), ("crawl", crawl_path), ("unified", unified_path)):
         counts[name] = spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+    release(spark)
     return counts
 
 

@@ -40,15 +40,6 @@ UNIFIED = T.StructType(
 )
 UNIFIED_FIELDS = [f.name for f in UNIFIED.fields if f.name != "processed_at"]
 
-# Confirmed pairs, as handed back by a confirmation step.
-CONFIRMED = T.StructType(
-    _strings("abn", "domain", "extracted_industry")
-    + [T.StructField("fuzzy_score", T.DoubleType(), True)]
-)
-
-# Verdict table: one answer per distinct (registry name, crawl name) pair.
-VERDICTS = T.StructType(_strings("reg_norm", "crawl_norm", "answer"))
-
 # Fetched pages: the result of fetching each URL (status NULL = failed fetch).
 PAGES = T.StructType(
     [
@@ -65,11 +56,8 @@ def with_audit(df: DataFrame, column: str = "inserted_at", value: Column | None
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast ``df`` to ``schema``; missing columns become NULL."""
-    have = set(df.columns)
-    return df.select(
-        [
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    """Select and cast ``df`` to ``schema``; a missing column is an error."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -36,14 +36,17 @@ def get_spark(app: str = "firmlink", master: str | None = None, shuffle_partitio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir`` if set; otherwise (local runs
-    and tests only) a fresh local scratch folder."""
+    """The cluster's ``spark.checkpoint.dir`` if set; otherwise a fresh local
+    scratch folder for a ``local[..]`` master, and an error for any other, whose
+    executors would not share such a folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="firmlink-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

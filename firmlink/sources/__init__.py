@@ -1,13 +1,10 @@
 """Scans and sinks."""
 
 from firmlink.sources.registry_xml import (
-    BULK_LAYOUT,
-    AutoLayout,
-    discover_layout,
-    FLAT_LAYOUT,
     flatten_registry,
     parse_registry_xml,
     read_registry_xml,
+    records_from_pieces,
 )
 from firmlink.sources.index_hits import parse_hit_lines, read_index_hits
 from firmlink.sources.tables import (
@@ -21,7 +18,7 @@ from firmlink.sources.tables import (
 )
 
 __all__ = [
-    "AutoLayout", "BULK_LAYOUT", "FLAT_LAYOUT", "discover_layout", "flatten_registry", "parse_registry_xml", "read_registry_xml",
+    "flatten_registry", "parse_registry_xml", "read_registry_xml", "records_from_pieces",
     "parse_hit_lines", "read_index_hits",
     "jdbc_read_options", "read_jdbc", "read_pages", "read_table", "write_jdbc", "write_quarantine",
     "write_table",

@@ -1,31 +1,36 @@
 """Business-register XML: scan, parse and flatten to registry records.
 
-Spark's built-in XML source reads one row per record element (``rowTag``),
-namespace prefixes ignored, in PERMISSIVE mode: a malformed record keeps the
-fields read so far and sets ``_corrupt``. Fields are located through a
-*layout* (output field -> element paths in order of preference); each element
-value is stripped, an absent or empty element is NULL and a whitespace-only
-one is ``""``; the fallback chain takes the first non-empty value, else the
-last candidate as it is.
+A record is an element whose local name is one of ``RECORD_TAGS``, in any case and
+under any namespace prefix. The files are read as text that is split at ``>``, so a
+large file is split over tasks whatever its line breaks are, and all record names
+are found in the same pass; the pieces between a record's start tag and the next
+one are put together again, across file blocks too.
+
+A field is the first element with its (case-sensitive) local name at any depth of
+the record, in document order: its own leading text, stripped. An absent or empty
+element is NULL, one of white space ``""``. The fallback chain of a field takes the
+first non-empty value, else the last candidate as it is.
+
+Limits: ``>`` inside attribute values or comments, and a record inside a record
+(the inner one is read; what is left of the outer one counts as malformed).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from firmlink.functions.dates import with_norm_date
+from firmlink.functions.html import decode_entities
 from firmlink.functions.text import or_chain, py_strip
 from firmlink.operators.project import project_once
 
 CORRUPT_COLUMN = "_corrupt"
 
-# Record element names. Spark's rowTag is one exact name, so
-# each spelling used by the files costs one scan; pass only those present.
-RECORD_TAGS = ("ABR", "entity", "entityrecord", "record")
+# Local names of record elements (any case).
+RECORD_TAGS = ("abr", "entity", "entityrecord", "record")
 
 # Output field -> elements, in order of preference.
 FIELD_ELEMENTS = {
@@ -39,193 +44,82 @@ FIELD_ELEMENTS = {
     "start_date": ("ABNStatusFromDate", "StartDate"),
 }
 
-# Every field element is a direct child of the record.
-FLAT_LAYOUT: dict[str, tuple[str, ...]] = dict(FIELD_ELEMENTS)
-
-# The nesting of the public bulk extract: names, type and address sit below
-# grouping elements; the company number carries attributes (text in _VALUE).
-BULK_LAYOUT: dict[str, tuple[str, ...]] = {
-    "abn": ("ABN._VALUE",),
-    "entity_name": ("MainEntity.NonIndividualName.NonIndividualNameText",),
-    "entity_type": ("EntityType.EntityTypeText",),
-    # status and start date are attributes of ABN there; only elements are read
-    "entity_status": (),
-    "address": (),
-    "postcode": (
-        "MainEntity.BusinessAddress.AddressDetails.Postcode",
-        "LegalEntity.BusinessAddress.AddressDetails.Postcode",
-    ),
-    "state": (
-        "MainEntity.BusinessAddress.AddressDetails.State",
-        "LegalEntity.BusinessAddress.AddressDetails.State",
-    ),
-    "start_date": (),
-}
+XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "ignoreNamespace": "true"}
 
+_PREFIX = r"(?:[\w.\-]+:)?"
+_FILE_COLUMNS = ("_metadata.file_path", "_metadata.file_block_start")
 
-class AutoLayout(dict):
-    """Layout found in the data: field -> SQL expressions (first match at any
-    depth), plus the all-string read schema of the discovered structure."""
 
-    def __init__(self, paths: dict, schema: T.StructType):
-        super().__init__(paths)
-        self.schema = schema
+def _names(tags: Sequence[str]) -> str:
+    return "(?:" + "|".join(tags) + ")"
 
 
-def _stringify(dt: T.DataType) -> T.DataType:
-    if isinstance(dt, T.StructType):
-        return T.StructType([T.StructField(f.name, _stringify(f.dataType), True) for f in dt.fields])
-    if isinstance(dt, T.ArrayType):
-        return T.ArrayType(_stringify(dt.elementType), True)
-    return T.StringType()
+def xml_pieces(reader, path: str) -> DataFrame:
+    """``(value, _file, _block)``: the text before each ``>`` of the files.
+    ``reader``: ``spark.read`` or ``spark.readStream``."""
+    file_path, block = _FILE_COLUMNS
+    return reader.format("text").option("lineSep", ">").load(path).select(
+        "value", F.col(file_path).alias("_file"), F.col(block).alias("_block"))
 
 
-def discover_layout(spark: SparkSession, path: str, row_tag: str = "ABR",
-                    sampling_ratio: float = 1.0) -> AutoLayout:
-    """Find where the field elements occur, at any depth.
+def records_from_pieces(pieces: DataFrame, tags: Sequence[str] = RECORD_TAGS) -> DataFrame:
+    """Record texts ``(xml, _file, _block, _row)``; the last three give the
+    input order.
 
-    One inference pass over a sample of the records gives the element
-    structure. Inference still reads every file under ``path`` (it samples
-    records, not files), so on large inputs pass a few representative files
-    here and read the whole input with the returned layout. Values are then
-    read with an all-string schema of that structure (inferred value types
-    would drop leading zeros). For each field the candidate element names
-    keep their order of preference; several paths of one name are tried
-    shallowest first; a repeated element gives its first occurrence and an
-    element with attributes its text (``_VALUE``).
+    Start tags are numbered within each file block, and a file's blocks are
+    offset by the start tags before them (one row per block), so a record that
+    crosses blocks is one group and no file is numbered by one task.
     """
-    inferred = (
-        spark.read.format("xml")
-        .options(rowTag=row_tag, ignoreNamespace="true", samplingRatio=str(sampling_ratio))
-        .load(path)
-        .schema
-    )
-    schema = T.StructType([f for f in _stringify(inferred).fields if not f.name.startswith("_corrupt")])
-    wanted = {name for names in FIELD_ELEMENTS.values() for name in names}
-    found: dict[str, list[tuple[int, str]]] = {name: [] for name in wanted}
-
-    def walk(struct: T.StructType, prefix: str, depth: int) -> None:
-        for f in struct.fields:
-            expr = f"{prefix}`{f.name}`"
-            dt = f.dataType
-            if isinstance(dt, T.ArrayType):
-                expr, dt = f"try_element_at({expr}, 1)", dt.elementType
-            if isinstance(dt, T.StructType):
-                if f.name in wanted and "_VALUE" in dt.names:
-                    found[f.name].append((depth, f"{expr}.`_VALUE`"))
-                walk(dt, f"{expr}.", depth + 1)
-            elif f.name in wanted:
-                found[f.name].append((depth, expr))
-
-    walk(schema, "", 0)
-    paths = {
-        field: tuple(expr for name in names for _, expr in sorted(found[name]))
-        for field, names in FIELD_ELEMENTS.items()
-    }
-    return AutoLayout(paths, schema.add(T.StructField(CORRUPT_COLUMN, T.StringType(), True)))
-
-
-def layout_schema(layout: Mapping[str, Sequence[str]]) -> T.StructType:
-    """Read schema with every path of the layout as a string leaf (never
-    inferred: leading zeros of numbers and postcodes must survive)."""
-    if isinstance(layout, AutoLayout):
-        return layout.schema
-    tree: dict = {}
-    for paths in layout.values():
-        for path in paths:
-            node = tree
-            parts = path.split(".")
-            for p in parts[:-1]:
-                node = node.setdefault(p, {})
-            node.setdefault(parts[-1], None)
-
-    def build(node: dict) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField(k, T.StringType() if v is None else build(v), True)
-                for k, v in node.items()
-            ]
-        )
-
-    schema = build(tree)
-    return schema.add(T.StructField(CORRUPT_COLUMN, T.StringType(), True))
-
-
-XML_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-    "ignoreNamespace": "true",
-    "ignoreSurroundingSpaces": "false",
-}
-
-
-def read_registry_xml(
-    spark: SparkSession,
-    path: str,
-    layout: Mapping[str, Sequence[str]] = FLAT_LAYOUT,
-    row_tags: Sequence[str] = ("ABR",),
-) -> DataFrame:
-    """Scan XML files into parsed records plus an input-order ordinal
-    ``(_file, _block, _row)`` for keep-first loads."""
-    schema = layout_schema(layout)
-    frames = []
-    for tag in row_tags:
-        df = (
-            spark.read.format("xml")
-            .options(rowTag=tag, **XML_OPTIONS)
-            .schema(schema)
-            .load(path)
-            .select(
-                "*",
-                F.col("_metadata.file_path").alias("_file"),
-                F.col("_metadata.file_block_start").alias("_block"),
-                F.monotonically_increasing_id().alias("_row"),
-            )
-        )
-        frames.append(df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def parse_registry_xml(
-    df: DataFrame, xml_col: str = "xml", layout: Mapping[str, Sequence[str]] = FLAT_LAYOUT
-) -> DataFrame:
-    """Parse one XML record per row of a string column (same options as the
-    file scan); other columns are kept."""
-    parsed = F.from_xml(F.col(xml_col), layout_schema(layout), XML_OPTIONS)
-    others = [c for c in df.columns if c != xml_col]
+    start = F.rlike("value", F.lit(rf"(?is)<{_PREFIX}{_names(tags)}(?:\s[^<]*)?$")) & ~F.endswith("value", F.lit("/"))
+    p = pieces.withColumn("_row", F.monotonically_increasing_id()).withColumn("_start", start.cast("int"))
+    in_block = Window.partitionBy("_file", "_block").orderBy("_row")
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = p.groupBy("_file", "_block").agg(F.sum("_start").alias("_n"))
+    blocks = blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = p.withColumn("_nr", F.sum("_start").over(in_block)).join(blocks, ["_file", "_block"])
+    numbered = numbered.withColumn("_nr", F.col("_nr") + F.col("_before")).where("_nr > 0")
+    text = F.when(F.col("_start") == 1, F.concat(F.lit("<"), F.substring_index("value", "<", -1))).otherwise(F.col("value"))
+    whole = numbered.groupBy("_file", "_nr").agg(
+        F.sort_array(F.collect_list(F.struct("_block", "_row", text.alias("text")))).alias("parts"))
+    xml = F.concat(F.array_join(F.col("parts.text"), ">"), F.lit(">"))
+    closed = F.regexp_extract("_all", rf"(?is)^(.*</{_PREFIX}{_names(tags)}\s*>)", 1)
+    return whole.select("_file", F.col("parts")[0]["_block"].alias("_block"), F.col("parts")[0]["_row"].alias("_row"), xml.alias("_all")).select(
+        F.when(closed != "", closed).otherwise(F.col("_all")).alias("xml"), "_file", "_block", "_row")
+
+
+def read_registry_xml(spark: SparkSession, path: str, tags: Sequence[str] = RECORD_TAGS) -> DataFrame:
+    """The records of XML files, parsed (see ``parse_registry_xml``), with an
+    input-order ordinal ``(_file, _block, _row)`` for keep-first loads."""
+    return parse_registry_xml(records_from_pieces(xml_pieces(spark.read, path), tags))
+
+
+def parse_registry_xml(df: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """Check one XML record per row of a string column: ``_corrupt`` holds the
+    text of a malformed one. Prefixes are dropped first: they may be declared
+    outside the record."""
+    bare = F.regexp_replace(F.regexp_replace(F.col(xml_col), r"(</?)[\w.\-]+:", "$1"), r"\s[\w.\-]+:(?=[\w.\-]+\s*=)", " ")
+    parsed = F.from_xml(bare, f"_any string, {CORRUPT_COLUMN} string", XML_OPTIONS)
+    others = [c for c in df.columns if c != CORRUPT_COLUMN]
     # inline() makes the parse a Generate node: it runs once per record even
-    # when later filters read several of its fields.
-    return df.select(*others, F.inline(F.array(parsed)))
+    # when later filters read its result.
+    return df.select(*others, F.inline(F.array(parsed))).drop("_any")
 
 
-def _element_value(path: str, expression: bool = False) -> Column:
-    value = F.expr(path) if expression else F.col(path)
+def element_text(xml: Column, name: str) -> Column:
+    """Leading text of the first element with a local name, stripped; NULL when
+    there is none or it is empty."""
+    pattern = rf"(?s)<{_PREFIX}{name}(?:\s[^>]*?)?(?:/>|>([^<]*)(?:<!\[CDATA\[(.*?)\]\]>)?)"
+    value = F.concat(decode_entities(F.regexp_extract(xml, pattern, 1)), F.regexp_extract(xml, pattern, 2))
     return py_strip(F.nullif(value, F.lit("")))
 
 
-def flatten_registry(parsed: DataFrame, layout: Mapping[str, Sequence[str]] = FLAT_LAYOUT,
-                     keep: Sequence[str] = ()) -> DataFrame:
-    """Registry fields by the layout's fallback chains. ``start_date_raw`` is
-    the date text as found; ``parse_failed`` marks malformed records."""
-    fields = {}
-    expression = isinstance(layout, AutoLayout)
-    for name, paths in layout.items():
-        value = (
-            or_chain(*[_element_value(p, expression) for p in paths]) if paths
-            else F.lit(None).cast("string")
-        )
-        fields["start_date_raw" if name == "start_date" else name] = value
-    fields["parse_failed"] = F.col(CORRUPT_COLUMN).isNotNull()
-    if expression:
-        # A Generate over arrays of structs meets a nested-schema-pruning
-        # failure in Spark's optimizer when a union reads it later; the scan
-        # has already parsed the records, so a plain projection costs nothing
-        # extra here.
-        return parsed.select(*keep, *[v.alias(k) for k, v in fields.items()])
-    return project_once(parsed, list(keep), fields)
+def flatten_registry(parsed: DataFrame, keep: Sequence[str] = (), xml_col: str = "xml") -> DataFrame:
+    """Registry fields by their fallback chains. ``start_date_raw`` is the date
+    text as found; ``parse_failed`` marks malformed records."""
+    names = sorted({n for ns in FIELD_ELEMENTS.values() for n in ns})
+    texts = project_once(parsed, [*keep, CORRUPT_COLUMN], {f"_e_{n}": element_text(F.col(xml_col), n) for n in names})
+    fields = {"start_date_raw" if f == "start_date" else f: or_chain(*[f"_e_{n}" for n in ns]) for f, ns in FIELD_ELEMENTS.items()}
+    return texts.select(*keep, *[v.alias(k) for k, v in fields.items()], F.col(CORRUPT_COLUMN).isNotNull().alias("parse_failed"))
 
 
 def with_start_date(flat: DataFrame) -> DataFrame:

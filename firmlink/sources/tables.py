@@ -3,10 +3,14 @@ quarantine sink."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlink.schemas import PAGES, conform
+from firmlink.session import ensure_checkpoint_dir
 
 
 def read_table(spark: SparkSession, fmt: str = "parquet", path: str | None = None, **options) -> DataFrame:
@@ -29,16 +33,21 @@ def write_table(df: DataFrame, fmt: str = "parquet", mode: str = "append", path:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder (else the
-    warehouse folder) for intermediate tables."""
-    import uuid
+    """A fresh folder under the cluster's shared checkpoint folder for
+    intermediate tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/firmlink-{name}-{uuid.uuid4().hex}"
+
 
+def existing_table(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
+    """The table at ``path``, or an empty one when nothing is stored there yet.
+    Any other read error is raised: an unreachable store is not an empty
+    table."""
     try:
-        ckpt = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - remote session
-        ckpt = None
-    base = ckpt or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/firmlink-{name}-{uuid.uuid4().hex}"
+        return spark.read.format(fmt).options(**options).schema(schema).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -65,7 +74,7 @@ def quarantine_lines(bad: DataFrame, record_cols: list[str], reason_col: str = "
 
 
 def write_quarantine(bad: DataFrame, path: str, reason_col: str = "reason",
-                     record_cols: list[str] | None = None) -> None:
+                     record_cols: list[str] | None = None, mode: str = "append") -> None:
     """Append rejected records as JSON lines, one folder per reason. With
     ``record_cols`` each line is ``{"error", "record", "quarantine_time"}``;
     otherwise the columns are written flat with ``quarantine_time``."""
@@ -73,7 +82,7 @@ def write_quarantine(bad: DataFrame, path: str, reason_col: str = "reason",
         out = quarantine_lines(bad, record_cols, reason_col)
     else:
         out = bad.withColumn("quarantine_time", quarantine_time())
-    out.write.mode("append").partitionBy(reason_col).json(path)
+    out.write.mode(mode).partitionBy(reason_col).json(path)
 
 
 def jdbc_read_options(url: str, table: str, user: str | None = None, password: str | None = None,

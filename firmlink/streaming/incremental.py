@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from firmlink.operators.materialize import materialize
 from firmlink.plans.stage_crawl import stage_crawl
-from firmlink.schemas import CRAWL
+from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
+from firmlink.schemas import CRAWL, REGISTRY
 from firmlink.sources.index_hits import parse_hit_lines
+from firmlink.sources.registry_xml import flatten_registry, parse_registry_xml, records_from_pieces, xml_pieces
+from firmlink.sources.tables import existing_table, write_quarantine
 
 ORDINAL = ["_file", "_row"]
 
@@ -31,10 +35,7 @@ def crawl_hits_stream(
     lines = reader.load(hits_dir).select("value", F.col("_metadata.file_path").alias("_file"))
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        try:
-            target = spark.read.schema(CRAWL).parquet(target_path)
-        except Exception:  # nothing loaded yet
-            target = spark.createDataFrame([], CRAWL)
+        target = existing_table(spark, target_path, CRAWL)
         # the row ordinal is taken per micro-batch (a static DataFrame)
         batch = batch.withColumn("_row", F.monotonically_increasing_id())
         rows = stage_crawl(parse_hit_lines(batch), pages, ORDINAL, target=target)
@@ -54,39 +55,23 @@ def registry_xml_stream(
     target_path: str,
     quarantine_path: str,
     checkpoint_location: str,
-    layout=None,
-    row_tag: str = "ABR",
     available_now: bool = False,
 ) -> StreamingQuery:
     """Start a query that stages each new batch of register XML files:
     valid records insert-if-absent on ``abn`` into ``target_path`` (Parquet),
     rejected ones appended to the quarantine."""
-    from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
-    from firmlink.schemas import REGISTRY
-    from firmlink.sources.registry_xml import FLAT_LAYOUT, XML_OPTIONS, flatten_registry, layout_schema
-    from firmlink.sources.tables import write_quarantine
-
-    layout = layout or FLAT_LAYOUT
-    records = (
-        spark.readStream.format("xml")
-        .options(rowTag=row_tag, **XML_OPTIONS)
-        .schema(layout_schema(layout))
-        .load(xml_dir)
-        .select("*", F.col("_metadata.file_path").alias("_file"))
-    )
+    pieces = xml_pieces(spark.readStream, xml_dir)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        try:
-            target = spark.read.schema(REGISTRY).parquet(target_path)
-        except Exception:  # nothing loaded yet
-            target = spark.createDataFrame([], REGISTRY)
-        batch = batch.withColumn("_row", F.monotonically_increasing_id())
-        flat = flatten_registry(batch, layout, keep=["_file", "_row"])
-        load = stage_registry(flat, ["_file", "_row"], target=target)
+        target = existing_table(spark, target_path, REGISTRY)
+        order = ["_file", "_block", "_row"]
+        flat = materialize(flatten_registry(parse_registry_xml(records_from_pieces(batch)), keep=order), "registry-parsed")
+        load = stage_registry(flat, order, target=target)
         load.inserted.write.mode("append").parquet(target_path)
-        write_quarantine(load.quarantine, quarantine_path, record_cols=RECORD_FIELDS)
+        # one folder per batch, replaced when the batch is replayed
+        write_quarantine(load.quarantine, f"{quarantine_path}/batch={epoch_id}", record_cols=RECORD_FIELDS, mode="overwrite")
 
-    writer = records.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
+    writer = pieces.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

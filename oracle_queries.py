@@ -5,10 +5,14 @@ Tables ``pages customer orders`` are pre-registered views."""
 
 from __future__ import annotations
 
-from firmlink.functions.html import ENTITIES
-from firmlink.functions.text import PY_WHITESPACE_CLASS, SUFFIX_PATTERN
-
-WS = PY_WHITESPACE_CLASS
+# Fixed values, written out here so that a wrong table in the engine shows: white
+# space that name and text stripping removes, corporate suffix words, and the
+# character references that the pages and fixtures hold ('&amp;' last).
+WS = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+SUFFIX_PATTERN = r"\b(pty|pvt|ltd|plc|inc|co|company|limited|llc|corporation|corp)\b"
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+            ("&euro;", "\u20ac"), ("&ntilde;", "\u00f1"), ("&#8364;", "\u20ac"), ("&#x41;", "A"), ("&amp;", "&"))
 
 
 def strip(x: str) -> str:
@@ -176,7 +180,7 @@ def content(tag: str) -> str:
 
 def fetched_pages() -> str:
     snippet = """CASE page_id % 5
-      WHEN 1 THEN '<meta property="og:site_name" content="Site ' || CAST(page_id AS VARCHAR) || '">'
+      WHEN 1 THEN '<meta property="og:site_name" content="Site &euro;&ntilde; &#8364;&#x41; &amp;lt; ' || CAST(page_id AS VARCHAR) || '">'
       WHEN 2 THEN '<meta property="og:site_name" content=""><meta property="og:title" content="X">'
       WHEN 3 THEN '<div itemtype="https://schema.org/Organization"><span itemprop="name"> Org '
                   || CAST(page_id AS VARCHAR) || ' </span></div>'

@@ -17,14 +17,15 @@ from firmlink.functions.url import row_hash, url_domain, url_hash
 from firmlink.operators.confirm import apply_verdicts
 from firmlink.operators.dedup import insert_if_absent, keep_first
 from firmlink.operators.match import band
+from firmlink.operators.materialize import materialize
 from firmlink.operators.metrics import band_counts, match_metrics, stage_metrics
-from firmlink.plans.stage_crawl import crawl_rows
-from firmlink.plans.stage_registry import stage_registry
+from firmlink.plans.stage_crawl import crawl_rows, stage_crawl
+from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
 from firmlink.plans.unify import exact_matches, match_stages, unify
-from firmlink.schemas import CRAWL_FIELDS, REGISTRY_FIELDS
+from firmlink.schemas import CRAWL, CRAWL_FIELDS, REGISTRY_FIELDS, UNIFIED
 from firmlink.sources.index_hits import parse_hit_lines
-from firmlink.sources.registry_xml import flatten_registry, parse_registry_xml
-from firmlink.sources.tables import read_table, scratch_path, write_table
+from firmlink.sources.registry_xml import flatten_registry, parse_registry_xml, read_registry_xml
+from firmlink.sources.tables import existing_table, read_table, scratch_path, write_quarantine, write_table
 
 CFG = MatchConfig()
 
@@ -89,31 +90,35 @@ def q_match_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return band_counts(pairs, st.reg_best, st.crawl_best)
 
 
-def q_confirmed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reg, cc = fx.unify_inputs(spark, sf_dir)
-    st = match_stages(reg, cc, CFG)
-    verdicts = fx.verdict_table(_borderline(st))
-    judged = apply_verdicts(st.scored, CFG, verdicts=verdicts)
+def _confirmed(judged: DataFrame) -> DataFrame:
     return judged.filter("confirmed").select(
         F.col("r_norm").alias("reg_norm"), F.col("c_norm").alias("crawl_norm"), "fuzzy_score"
     )
 
 
-def q_unify_no_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_confirmed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts from a table that also holds unknown pairs, repeated and
+    contradicting answers."""
     reg, cc = fx.unify_inputs(spark, sf_dir)
-    return unify(reg, cc, CFG, with_timestamp=False)
+    st = match_stages(reg, cc, CFG)
+    return _confirmed(apply_verdicts(st.scored, CFG, verdicts=fx.verdict_table(reg, cc)))
 
 
-def _borderline(st) -> DataFrame:
-    s = F.col("fuzzy_score")
-    return st.scored.filter((s >= CFG.lo) & (s < CFG.hi))
+def q_confirmed_by_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of every borderline pair from a function that runs in the tasks."""
+    reg, cc = fx.unify_inputs(spark, sf_dir)
+    st = match_stages(reg, cc, CFG)
+    return _confirmed(apply_verdicts(st.scored, CFG, confirmer=fx.confirm_by_length))
+
+
+def q_unify_no_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg, cc = fx.unify_inputs(spark, sf_dir)
+    return unify(reg, cc, CFG, with_timestamp=False)
 
 
 def _unify_with_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg, cc = fx.unify_inputs(spark, sf_dir)
-    st = match_stages(reg, cc, CFG)
-    verdicts = fx.verdict_table(_borderline(st))
-    return unify(reg, cc, CFG, verdicts=verdicts, with_timestamp=False, stages=st)
+    return unify(reg, cc, CFG, verdicts=fx.verdict_table(reg, cc), with_timestamp=False)
 
 
 def q_unify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,9 +147,9 @@ def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_load.withColumn("load", F.lit(1)).unionByName(second_load.withColumn("load", F.lit(2)))
 
 
-def _registry_load(spark: SparkSession, sf_dir: str):
+def _registry_load(spark: SparkSession, sf_dir: str, hold=lambda df: df):
     recs = fx.registry_xml_records(spark, sf_dir)
-    flat = flatten_registry(parse_registry_xml(recs, "xml"), keep=["c_custkey"])
+    flat = hold(flatten_registry(parse_registry_xml(recs, "xml"), keep=["c_custkey"]))
     return flat, stage_registry(flat, ["c_custkey"], audit=False)
 
 
@@ -164,13 +169,56 @@ def q_date_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, load = _registry_load(spark, sf_dir)
-    hits, pages = _hits_and_pages(spark, sf_dir)
-    crawl = stage_metrics(crawl_hits=hits, crawl_inserted=crawl_rows(hits, pages, ["line_no"]))
+    """Counters of the three loads; the parsed records, the index hits and the
+    unified rows are each computed once."""
+    _, load = _registry_load(spark, sf_dir, lambda df: materialize(df, "registry-parsed"))
+    hits = parse_hit_lines(fx.hit_lines(spark, sf_dir)).select("line_no", url_hash("url").alias("url_hash"))
+    hits = materialize(hits, "hits")
+    crawl = stage_metrics(crawl_hits=hits, crawl_inserted=keep_first(hits, ["url_hash"], ["line_no"]))
     unified = match_metrics(_unify_with_verdicts(spark, sf_dir))
     return reduce(DataFrame.unionByName, [load.metrics, crawl, unified])
 
 
+def q_registry_xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """XML files with records of all names, cases, prefixes and nestings."""
+    flat = flatten_registry(read_registry_xml(spark, fx.registry_xml_files(spark, sf_dir)))
+    return flat.select("abn", "entity_name", "entity_status", "postcode", "state", "parse_failed")
+
+
+def q_quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records written to the JSON-lines quarantine and read back."""
+    _, load = _registry_load(spark, sf_dir)
+    path = scratch_path(spark, "quarantine")
+    write_quarantine(load.quarantine, path, record_cols=RECORD_FIELDS)
+    back = spark.read.schema("error string, record struct<abn:string,state:string>, reason string").json(path)
+    return back.select("error", "reason", "record.abn", "record.state")
+
+
+def q_rerun_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl staging and the unified table, each loaded twice into its own
+    target. Every sixth page was also fetched a second time without success, hits
+    repeat, and unified rows without a company number occur. The second load adds
+    nothing."""
+    hits, pages = _hits_and_pages(spark, sf_dir)
+    again = fx.table(spark, sf_dir, "pages").select(
+        "url", F.when(F.col("page_id") % 6 == 0, F.lit(503)).cast("int").alias("http_status"), F.lit(None).cast("string").alias("html"))
+    pages = pages.unionByName(again)
+    unified = materialize(_unify_with_verdicts(spark, sf_dir).withColumn("processed_at", F.current_timestamp()), "unified")
+    out = []
+    for kind, keys, shown, load in (
+        ("crawl", ["url_hash", "domain"], "extracted_name", lambda t: stage_crawl(hits, pages, ["line_no"], target=t)),
+        ("unified", ["abn", "domain"], "match_type",
+         lambda t: insert_if_absent(unified, t, ["abn", "domain"], ["match_type"], nulls_equal=True)),
+    ):
+        path, schema = scratch_path(spark, f"rerun-{kind}"), CRAWL if kind == "crawl" else UNIFIED
+        for n in (1, 2):
+            new = load(existing_table(spark, path, schema)).select(*schema.names)
+            write_table(new.withColumn("load", F.lit(n)), "parquet", "append", path)
+        rows = spark.read.parquet(path)
+        out.append(rows.select(F.lit(kind).alias("kind"), "load", F.col(keys[0]).alias("key"), keys[1], F.col(shown).alias("value")))
+    return out[0].unionByName(out[1])
+
+
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a whole table through ``write_table`` and read it back through
     ``read_table``."""
@@ -198,6 +246,10 @@ QUERIES = {
     "registry_quarantine": q_registry_quarantine,
     "date_normalize": q_date_normalize,
     "load_metrics": q_load_metrics,
+    "registry_xml_scan": q_registry_xml_scan,
+    "quarantine_sink": q_quarantine_sink,
+    "rerun_loads": q_rerun_loads,
+    "confirmed_by_function": q_confirmed_by_function,
     "table_roundtrip": q_table_roundtrip,
 }
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from firmlink.functions.html import html_title_name
 from firmlink.functions.text import norm_name
 from firmlink.functions.url import url_domain
+from firmlink.sources.tables import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,15 +80,27 @@ def unify_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return registry_names(cc), cc
 
 
-def verdict_table(pairs: DataFrame) -> DataFrame:
-    """Answers for name pairs ``(r_norm, c_norm)`` (the borderline ones) by
-    ``length(reg_norm) % 3``: ``Yes.`` (0), ``No`` (1), no answer (2)."""
-    ln = F.length("r_norm") % 3
-    return pairs.filter(ln != 2).select(
-        F.col("r_norm").alias("reg_norm"),
-        F.col("c_norm").alias("crawl_norm"),
-        F.when(ln == 0, F.lit("Yes.")).otherwise(F.lit("No")).alias("answer"),
-    )
+def verdict_table(registry: DataFrame, crawl: DataFrame) -> DataFrame:
+    """Answers ``(reg_norm, crawl_norm, answer)`` from the names alone: for the
+    two names of every page, which need not be a borderline pair, or a pair of
+    the match at all. By ``length(reg_norm) % 3``: ``Yes.`` (0), ``No`` (1), no
+    answer (2). Where the length is a multiple of 6 the answer is given twice;
+    where it is odd and a multiple of 3 a ``no`` contradicts it. Pairs of the
+    name with itself reversed are unknown to every match."""
+    r = registry.select("page_id", norm_name("entity_name").alias("reg_norm"))
+    c = crawl.select("page_id", norm_name("extracted_name").alias("crawl_norm"))
+    pairs = r.join(c, "page_id").where("reg_norm IS NOT NULL AND crawl_norm IS NOT NULL").select("reg_norm", "crawl_norm").distinct()
+    ln = F.length("reg_norm")
+    yes, no = F.lit("  YES, the same"), F.lit("No")
+    answers = F.when(ln % 6 == 0, F.array(F.lit("Yes."), yes)).when(ln % 3 == 0, F.array(no, yes)).when(ln % 3 == 1, F.array(no))
+    strange = pairs.select("reg_norm", F.reverse("reg_norm").alias("crawl_norm"), F.lit("Yes.").alias("answer"))
+    return pairs.select("reg_norm", "crawl_norm", F.explode(answers).alias("answer")).unionByName(strange)
+
+
+def confirm_by_length(pairs):
+    """A confirmation function for tests and queries: ``yes`` when the registry
+    name's length is a multiple of 3."""
+    return pairs["reg_norm"].map(lambda n: "yes" if len(n) % 3 == 0 else "no, different")
 
 
 # --- fetched pages and index hits --------------------------------------------
@@ -229,6 +242,41 @@ def registry_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", xml.alias("xml"))
 
 
+def registry_xml_files(spark: SparkSession, sf_dir: str) -> str:
+    """Writes XML files (under the shared folder) with one record per customer
+    and returns their folder. By ``c_custkey % 6``: nested groups with attributes,
+    a lower-case record name, ``Entity``, ``EntityRecord`` under a prefix,
+    ``RECORD`` on several lines, a second nested name behind an empty one, and a self-closed element (the first, so no state)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    abn, name = F.lpad(k.cast("string"), 11, "0"), F.col("c_name")
+    state = _pick(STATES, F.col("c_nationkey") % 8)
+    pc = F.lpad((F.col("c_nationkey") * 100).cast("string"), 4, "0")
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    forms = [
+        text('<ABR recordLastUpdatedDate="20200101"><ABN status="ACT">', abn, "</ABN><MainEntity><NonIndividualName type=\"MN\">"
+             "<NonIndividualNameText>", name, "</NonIndividualNameText></NonIndividualName><BusinessAddress><AddressDetails><State>",
+             state, "</State><Postcode>", pc, "</Postcode></AddressDetails></BusinessAddress></MainEntity></ABR>"),
+        text("<abr><ABN>", abn, "</ABN><OtherEntity><NonIndividualName><NonIndividualNameText> A&amp;B ", name,
+             " </NonIndividualNameText></NonIndividualName></OtherEntity></abr>"),
+        text("<Entity><EntityName>", name, "</EntityName><ABN>", abn, "</ABN><State>", state, "</State></Entity>"),
+        text("<x:EntityRecord xmlns:x='urn:x'><x:Id><x:ABN x:a='1'>", abn, "</x:ABN></x:Id><x:OrganisationName>", name,
+             "</x:OrganisationName></x:EntityRecord>"),
+        text("<RECORD\n  kind='a'>\n <ABN>\n", abn, "\n</ABN>\n<deep><er><Postcode>", pc, "</Postcode></er></deep></RECORD>"),
+        text("<ABR><ABN>", abn, "</ABN><NonIndividualNameText/><Other><EntityName>", name, "</EntityName></Other><State />"
+             "<Inner><State>", state, "</State></Inner></ABR>"),
+    ]
+    record = F.lit(None).cast("string")
+    for i, f in enumerate(forms):
+        record = F.when(k % 6 == i, f).otherwise(record)
+    path = scratch_path(spark, "registry-xml")
+    c.select(record.alias("value")).write.text(path)
+    return path
+
+
 # --- dates ---------------------------------------------------------------------
 
 def date_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +315,6 @@ def name_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = [
-    "crawl_names", "registry_names", "unify_inputs", "verdict_table", "fetched_pages", "hit_lines",
+    "crawl_names", "registry_names", "unify_inputs", "verdict_table", "confirm_by_length", "registry_xml_files", "fetched_pages", "hit_lines",
     "registry_xml_records", "date_strings", "name_sources", "norm_name",
 ]

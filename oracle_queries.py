@@ -106,9 +106,15 @@ cands AS (
   SELECT * FROM block_pairs
   WHERE 2.0::DOUBLE * least(r_len, c_len) / (r_len + c_len) >= 0.8::DOUBLE
     AND 2.0::DOUBLE * overlap / (r_len + c_len) >= 0.8::DOUBLE),
+page_names AS (
+  SELECT DISTINCT {norm('entity_name')} AS r_norm, {norm('extracted_name')} AS c_norm FROM reg JOIN cc USING (page_id)),
 p AS (SELECT row_number() OVER () AS pid, r_norm AS a, c_norm AS b FROM cands),
 """
 
+# a verdict exists for the two names of a page; any yes counts
+CONFIRMED = ("length(s.r_norm) % 3 = 0 AND EXISTS "
+             "(SELECT 1 FROM page_names n WHERE n.r_norm = s.r_norm AND n.c_norm = s.c_norm)")
+
 SEG = """seg(pid, a, b, m) AS (
   SELECT pid, a, b, 0 FROM p
   UNION ALL
@@ -134,12 +140,12 @@ MATCH_CTES = "WITH RECURSIVE " + MATCH + SEG + SCORED
 
 
 def unified_sql(with_verdicts: bool, exact_only: bool = False) -> str:
-    confirmed_case = "WHEN length(r_norm) % 3 = 0 THEN 'FUZZY_LLM'" if with_verdicts else ""
+    confirmed_case = f"WHEN {CONFIRMED} THEN 'FUZZY_LLM'" if with_verdicts else ""
     fuzzy = "" if exact_only else f"""
     UNION ALL
     SELECT * FROM (SELECT r_norm, c_norm, fuzzy_score,
                           CASE WHEN fuzzy_score >= 0.95::DOUBLE THEN 'FUZZY_HIGH' {confirmed_case} END AS match_type
-                   FROM scored) WHERE match_type IS NOT NULL"""
+                   FROM scored s) WHERE match_type IS NOT NULL"""
     return MATCH_CTES + f""",
 pairs AS (
     SELECT r_norm, c_norm, 1.0::DOUBLE AS fuzzy_score, 'EXACT' AS match_type FROM exact_pairs{fuzzy}),
@@ -301,6 +307,16 @@ def registry_quarantine_sql() -> str:
 SELECT k AS c_custkey, reason FROM flat WHERE reason IS NOT NULL"""
 
 
+XML_SCAN = f"""SELECT abn,
+  CASE v WHEN 1 THEN 'A&B ' || name WHEN 4 THEN NULL ELSE name END AS entity_name,
+  CAST(NULL AS VARCHAR) AS entity_status,
+  CASE WHEN v IN (0, 4) THEN pc END AS postcode,
+  CASE WHEN v IN (0, 2) THEN st END AS state,
+  false AS parse_failed
+FROM (SELECT c_custkey % 6 AS v, lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS abn, c_name AS name,
+             lpad(CAST(c_nationkey * 100 AS VARCHAR), 4, '0') AS pc, {STATES}[c_nationkey % 8 + 1] AS st FROM customer)"""
+
+
 # --- assembled -------------------------------------------------------------
 
 def _names_sql() -> str:
@@ -374,8 +390,17 @@ cc2 AS (SELECT norm AS c_norm, count(*) AS rows_c FROM crawl_rows GROUP BY norm)
 SELECT band, count(*) AS name_pairs, CAST(sum(rows_r * rows_c) AS BIGINT) AS row_pairs
 FROM bp JOIN rc USING (r_norm) JOIN cc2 USING (c_norm) GROUP BY band""",
         "confirmed_pairs": MATCH_CTES + """
+SELECT r_norm AS reg_norm, c_norm AS crawl_norm, fuzzy_score FROM scored s
+WHERE fuzzy_score < 0.95::DOUBLE AND """ + CONFIRMED,
+        "confirmed_by_function": MATCH_CTES + """
 SELECT r_norm AS reg_norm, c_norm AS crawl_norm, fuzzy_score FROM scored
 WHERE fuzzy_score < 0.95::DOUBLE AND length(r_norm) % 3 = 0""",
+        "registry_xml_scan": XML_SCAN,
+        "quarantine_sink": f"""WITH {REGISTRY_BASE}
+SELECT reason AS error, reason, abn, state FROM flat WHERE reason IS NOT NULL""",
+        "rerun_loads": f"""WITH c AS ({crawl_stage_sql()}), u AS ({unified_sql(True)})
+SELECT 'crawl' AS kind, 1 AS load, url_hash AS key, domain, extracted_name AS value FROM c
+UNION ALL SELECT 'unified', 1, abn, domain, match_type FROM u""",
         "unify_no_verdicts": unified_sql(False),
         "unify": unified_sql(True),
         "keep_first_load": f"""SELECT domain, page_id, url FROM (

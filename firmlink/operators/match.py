@@ -9,16 +9,18 @@ exact and never enumerates all pairs of a block:
 
 1. both sides' names are encoded as character-occurrence tokens;
 2. the tokens of the block key are set aside: every name of a block holds
-   them, so they cannot tell its names apart (in a hot block they would pair
-   everything);
-3. the other tokens are ranked by how many names hold them (rarest first) and
-   each name keeps the first few as its prefix. Two names whose multiset
-   overlap reaches the bound share at least one prefix token (prefix-filter
-   lemma), so the join on ``(block_key, prefix token)`` loses no pair that can
-   score ``>= lo``; pairs of names so short that the shared key alone can
-   reach the bound are joined on the key (a bounded set per block);
-4. the length and multiset bounds are checked natively;
-5. the Arrow UDF scores only what is left.
+   them, so they cannot tell its names apart;
+3. the other tokens are put into a fixed order, rare letters first. A pair that
+   needs ``t`` common tokens shares ``SUBSET`` of them within the first
+   ``n - t + SUBSET`` of each name (prefix-filter lemma), so names are joined on
+   the block key and *sets* of prefix tokens: far rarer than single letters. The
+   shorter name of a pair knows that its partner is as long and needs a shorter
+   prefix; pairs of short names that need fewer tokens are joined on single
+   tokens, and those that need none on the block key;
+4. the places of the shared tokens bound the overlap (positional filter);
+5. only names go through the joins; the length and multiset bounds of the
+   distinct pairs are checked natively afterwards;
+6. the edit bound is checked natively and the Arrow UDF scores what is left.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
@@ -34,7 +36,6 @@ from firmlink.functions.similarity import (
     char_tokens,
     length_bound,
     min_overlap,
-    multiset_bound,
     ratio_udf,
 )
 from firmlink.functions.text import MATCH_EXACT, block_key, norm_name
@@ -78,20 +79,24 @@ def crawl_by_name(crawl: DataFrame) -> DataFrame:
     )
 
 
+#: Tokens that the join keys of longer names combine.
+SUBSET = 3
+#: Letters of names from frequent to rare; a repeated letter counts as rarer.
+LETTER_ORDER = " eaotinsrlhdcumpgfybwkvxjzq0123456789&"
+
+
 def name_table(names: DataFrame, cfg: MatchConfig, prefix: str) -> DataFrame:
-    """Distinct names with block key, length, occurrence tokens and the
-    tokens outside the block key. Names shorter than the block key only
-    equal themselves (the exact path), so they are left out."""
+    """Distinct names with block key, length, and the tokens outside the block
+    key in the fixed order. Names shorter than the block key only equal
+    themselves (the exact path), so they are left out."""
     n = F.col("norm")
     bk = block_key(n, cfg.block_chars)
-    toks = char_tokens(n)
+    rest = F.array_except(char_tokens(n), char_tokens(bk))
+    rank = lambda t: (-F.instr(F.lit(LETTER_ORDER), F.substring(t, 1, 1))
+                      - 12 * F.substring_index(t, "#", -1).cast("int"))
+    ordered = F.transform(F.array_sort(F.transform(rest, lambda t: F.struct(rank(t).alias("o"), t.alias("t")))), lambda x: x["t"])
     return names.filter(F.length(n) >= cfg.block_chars).select(
-        n.alias(f"{prefix}_norm"),
-        bk.alias("bk"),
-        F.length(n).alias(f"{prefix}_len"),
-        toks.alias(f"{prefix}_toks"),
-        F.array_except(toks, char_tokens(bk)).alias(f"{prefix}_rest"),
-    )
+        n.alias(f"{prefix}_norm"), bk.alias("bk"), F.length(n).alias(f"{prefix}_len"), ordered.alias(f"{prefix}_rest"))
 
 
 def short_pair_bound(cfg: MatchConfig) -> int:
@@ -110,54 +115,50 @@ def exact_name_pairs(reg_names: DataFrame, cc_names: DataFrame) -> DataFrame:
     )
 
 
-def _prefix_tokens(names: DataFrame, side: str, rank: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """First tokens outside the block key, rarest first.
-
-    Two names of one block share its ``block_chars`` key tokens, so a pair
-    needs ``t - block_chars`` more common tokens, where ``t`` is the overlap
-    the bound requires. The prefix holds ``len - block_chars - max(t -
-    block_chars, 1) + 1`` tokens; pairs whose bound is met by the key alone
-    take the short path of :func:`candidate_pairs`.
-    """
-    norm, length, rest = f"{side}_norm", f"{side}_len", f"{side}_rest"
-    exploded = names.select(
-        norm, "bk", length, f"{side}_toks", F.size(rest).alias(f"{side}_nrest"), F.explode(rest).alias("tok")
-    )
-    w = Window.partitionBy(norm).orderBy("df", "tok")
-    bc = F.lit(cfg.block_chars)
-    keep = F.col(length) - bc - F.greatest(min_overlap(F.col(length), cfg.lo) - bc, F.lit(1)) + 1
-    return (
-        exploded.join(rank, "tok", "inner")
-        .withColumn(f"{side}_pos", F.row_number().over(w))
-        .filter(F.col(f"{side}_pos") <= keep)
-        .drop("df")
-    )
-
-
-def _token_pairs(r: DataFrame, c: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Token path of :func:`candidate_pairs` (one row per shared prefix
-    token that passes the positional and length filters)."""
-    # Document frequency of each token over both name sets; a few thousand
-    # rows at most (alphabet x longest name), so AQE broadcasts it at runtime.
-    rank = (
-        r.select(F.explode("r_rest").alias("tok"))
-        .unionByName(c.select(F.explode("c_rest").alias("tok")))
-        .groupBy("tok")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    rp = _prefix_tokens(r, "r", rank, cfg)
-    cp = _prefix_tokens(c, "c", rank, cfg)
-    # Positional filter: at a shared token at prefix positions (i, j), the
-    # rest overlap is at most 1 + min(rest_r - i, rest_c - j); it must reach
-    # what the pair itself needs beyond the key. Each valid pair keeps at
-    # least the row of its first shared token, so the filter is exact.
-    need = F.ceil(F.lit(cfg.lo / 2.0) * (F.col("r_len") + F.col("c_len")) - F.lit(1e-9)) - F.lit(cfg.block_chars)
-    reach = F.lit(1) + F.least(F.col("r_nrest") - F.col("r_pos"), F.col("c_nrest") - F.col("c_pos"))
-    return (
-        rp.join(cp, ["bk", "tok"], "inner")
-        .filter((reach >= need) & (length_bound(F.col("r_len"), F.col("c_len")) >= F.lit(cfg.lo)))
-        .select("r_norm", "c_norm", "bk", "r_len", "c_len", "r_toks", "c_toks")
-    )
+def _subsets(tokens: Column, size: Column, k: int) -> Column:
+    """Array of ``(key, pos)`` for all sets of ``k`` (1 or 3) of the first
+    ``size`` tokens; ``pos`` is the place of the set's last token."""
+    def upto(first, last):
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    entry = lambda key, pos: F.struct(key.alias("key"), pos.alias("pos"))
+    if k == 1:
+        return F.transform(upto(F.lit(0), size - 1), lambda i: entry(F.xxhash64(F.get(tokens, i)), i))
+    return F.flatten(F.transform(upto(F.lit(0), size - 3), lambda i: F.flatten(F.transform(
+        upto(i + 1, size - 2), lambda j: F.transform(
+            upto(j + 1, size - 1), lambda m: entry(F.xxhash64(F.get(tokens, i), F.get(tokens, j), F.get(tokens, m)), m))))))
+
+
+def _keyed(names: DataFrame, side: str, need: Column, k: int) -> DataFrame:
+    """One row per name and set of ``k`` prefix tokens; ``need``: tokens beyond
+    the block key that any partner has in common at least."""
+    rest = F.col(f"{side}_rest")
+    size = F.least(F.size(rest), F.size(rest) - F.greatest(need, F.lit(k)) + k).cast("int")
+    return names.select(f"{side}_norm", "bk", f"{side}_len", F.size(rest).alias(f"{side}_n"), F.explode(_subsets(rest, size, k)).alias("s")).select(
+        f"{side}_norm", "bk", f"{side}_len", f"{side}_n", F.col("s.key").alias("key"), F.col("s.pos").alias(f"{side}_pos"))
+
+
+def _token_pairs(r: DataFrame, c: DataFrame, cfg: MatchConfig, k: int = SUBSET, max_sum: int | None = None) -> DataFrame:
+    """``(r_norm, c_norm)`` rows for shared sets of ``k`` prefix tokens that pass
+    the positional and length filters, for pairs that need ``k`` tokens or more
+    beyond the block key (with ``max_sum``: fewer than the larger sets need, and
+    lengths of that sum at most)."""
+    lo, bc = cfg.lo, cfg.block_chars
+    la, lb = F.col("r_len"), F.col("c_len")
+    need = F.ceil(F.lit(lo / 2.0) * (la + lb) - F.lit(1e-9)) - bc
+    reach = k + F.least(F.col("r_n") - F.col("r_pos"), F.col("c_n") - F.col("c_pos")) - 1
+    fits = (need >= k) & (reach >= need) & (length_bound(la, lb) >= F.lit(lo))
+    if max_sum is not None:
+        fits = (need >= 1) & (reach >= need) & (la + lb <= max_sum) & (length_bound(la, lb) >= F.lit(lo))
+    any_partner = lambda x: min_overlap(x, lo) - bc
+    longer_partner = lambda x: F.ceil(F.lit(lo) * x - F.lit(1e-6)).cast("int") - bc
+    out = []
+    for short, long, first in (("r", "c", la <= lb), ("c", "r", lb < la)):
+        sides = {"r": r, "c": c}
+        s = _keyed(sides[short], short, longer_partner(F.col(f"{short}_len")), k)
+        t = _keyed(sides[long], long, any_partner(F.col(f"{long}_len")), k)
+        out.append(s.join(t, ["bk", "key"]).where(first & fits & (F.col("r_norm") != F.col("c_norm"))).select("r_norm", "c_norm"))
+    return out[0].unionByName(out[1])
 
 
 def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
@@ -167,41 +168,27 @@ def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
 
     ``reg_names``/``cc_names`` hold one column ``norm`` of distinct non-NULL
     names. ``hold`` (e.g. :func:`materialize`) is applied to the two token
-    tables, which the frequency ranking and the prefix step both read.
-
-    Two paths, both exact:
-
-    * token path: join on ``(block key, prefix token)`` over the tokens
-      outside the block key (which every name of the block shares);
-    * short path: pairs with ``la + lb <= short_pair_bound`` may need no
-      token beyond the key; they are joined on the block key among names of
-      at most ``short_pair_bound - block_chars`` characters (a bounded set
-      per block: the key plus a few characters).
+    tables, which every path reads. The paths, by the tokens a pair needs beyond
+    the block key: ``SUBSET`` or more; fewer (short names); none (names that have
+    little more than the key).
     """
     r = name_table(reg_names, cfg, "r")
     c = name_table(cc_names, cfg, "c")
     if hold is not None:
         r, c = hold(r), hold(c)
-    by_token = _token_pairs(r, c, cfg)
-    cols = ["r_norm", "c_norm", "bk", "r_len", "c_len", "r_toks", "c_toks"]
-    s = short_pair_bound(cfg)
-    short_len = s - cfg.block_chars
-    rs = r.filter(F.col("r_len") <= short_len).drop("r_rest")
-    cs = c.filter(F.col("c_len") <= short_len).drop("c_rest")
-    short = rs.join(cs, "bk", "inner").filter(F.col("r_len") + F.col("c_len") <= s).select(*cols)
-    lo = F.lit(cfg.lo)
-    pairs = (
-        by_token.unionByName(short)
-        .filter(F.col("r_norm") != F.col("c_norm"))
-        .filter(length_bound(F.col("r_len"), F.col("c_len")) >= lo)
-        .dropDuplicates(["r_norm", "c_norm"])
-    )
-    return pairs.filter(
-        multiset_bound(F.col("r_toks"), F.col("c_toks"), F.col("r_len"), F.col("c_len")) >= lo
-    ).select(
-        "r_norm", "c_norm", "bk", "r_len", "c_len",
-        F.size(F.array_intersect("r_toks", "c_toks")).alias("overlap"),
-    )
+    few = int(math.floor(2 * (cfg.block_chars + SUBSET - 1) / cfg.lo + 1e-9))
+    none = short_pair_bound(cfg)
+    upto = lambda df, side, total: df.filter(F.col(f"{side}_len") <= total - cfg.block_chars)
+    bare = upto(r, "r", none).join(upto(c, "c", none), "bk").filter(
+        (F.col("r_len") + F.col("c_len") <= none) & (F.col("r_norm") != F.col("c_norm"))).select("r_norm", "c_norm")
+    found = (_token_pairs(r, c, cfg)
+             .unionByName(_token_pairs(upto(r, "r", few), upto(c, "c", few), cfg, 1, few))
+             .unionByName(bare).distinct())
+    la, lb = F.length("r_norm"), F.length("c_norm")
+    overlap = F.size(F.array_intersect(char_tokens("r_norm"), char_tokens("c_norm")))
+    pairs = project_once(found.filter(length_bound(la, lb) >= F.lit(cfg.lo)), ["r_norm", "c_norm"], {
+        "bk": block_key("r_norm", cfg.block_chars), "r_len": la, "c_len": lb, "overlap": overlap})
+    return pairs.filter(2.0 * F.col("overlap") / (F.col("r_len") + F.col("c_len")) >= F.lit(cfg.lo))
 
 
 def score_pairs(cands: DataFrame, cfg: MatchConfig) -> DataFrame:

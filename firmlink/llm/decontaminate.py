@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from firmlink.llm.common import Tables, free_name
 
 WINDOW = 13
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 #: Test items are sent to the tasks in blocks of up to so many bytes of text.
 BLOCK_BYTES = 8 << 20
 

@@ -35,7 +35,7 @@ from firmlink.llm.common import Tables, free_name, ordered
 WINDOW = 20
 ROUNDS = 4
 #: Words parsed at once in a task, and bytes of text behind one part of the hash space.
-CHUNK_WORDS, PART_BYTES = 400_000, 4 << 20
+CHUNK_WORDS, PART_BYTES = 400_000, 8 << 20
 #: Bytes of an anchor's key and of a window's checksum that are compared (together 88 bits).
 KEY_BYTES, SUM_BYTES = 6, 5
 
@@ -188,7 +188,7 @@ def send(ords: list[int], words: list[list[bytes]], part: int, parts: int, windo
         own, per = np.unique(doc[sel], return_counts=True)
         empty = np.zeros(0, np.int64)
         dd, df, dc = (done_doc, done_first, done_count) if at_home else (empty, empty, empty)
-        yield (p, ords[own].tobytes(), per.astype(np.uint32).tobytes(), planes(key[sel], KEY_BYTES), planes(local[sel], 4),
+        yield (p, planes(np.diff(ords[own].view(np.uint64), prepend=U(0)), 8), planes(per, 4), planes(key[sel], KEY_BYTES), planes(local[sel], 4),
                planes(c, 2), planes(place[sel], 2), planes(sums[rows], SUM_BYTES),
                ords[dd].tobytes(), df.astype(np.uint32).tobytes(), dc.astype(np.uint32).tobytes())
 
@@ -197,7 +197,7 @@ def receive(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Repeated windows among the anchors of one part: ranges of window starts,
     packed for the bucket of their document."""
     cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
-    ords = cat([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(m, np.uint32)) for d, m in zip(pdf["docs"], pdf["per_doc"])], np.int64)
+    ords = cat([np.repeat(np.cumsum(unplanes(d, 8), dtype=np.uint64).view(np.int64), unplanes(m, 4).astype(np.int64)) for d, m in zip(pdf["docs"], pdf["per_doc"])], np.int64)
     key, first, count, place, sums = (cat([unplanes(b, w) for b in pdf[c]], np.uint64) for c, w in (
         ("keys", KEY_BYTES), ("first", 4), ("count", 2), ("place", 2), ("sums", SUM_BYTES)))
     first, count = first.astype(np.int64), count.astype(np.int64)

@@ -1,12 +1,11 @@
 """Company fields from HTML: microdata, meta fallbacks, title, industry,
-status gate and size cap; nested-column and staged forms agree."""
+status gate and size cap."""
 
 import pytest
 
 from firmlink.functions.html import (
     MAX_STORED_HTML_CHARS,
     extract_company_fields,
-    html_company_fields,
 )
 
 PAGE = "<html><head><title>{t}</title></head><body>{b}</body></html>"
@@ -42,6 +41,8 @@ CASES = [
     ("<title>Smith &#038; Sons &#8211; Home &#x27;s &#X41;&#0;</title>", "Smith & Sons \u2013 Home 's A\ufffd", None),
     ("<title>&#128512; Emoji &amp;#39;</title>", "\U0001F600 Emoji &#39;", None),
     ("<title>Caf&eacute; &ndash; Bistro&trade;</title>", "Caf\u00e9 \u2013 Bistro\u2122", None),
+    ("<title>&euro;5 Se&ntilde;or &notanentity; &amp;euro; &NotEqualTilde; &hearts;</title>",
+     "\u20ac5 Se\u00f1or &notanentity; &euro; \u2242\u0338 \u2665", None),
     ('<div itemtype="https://schema.org/Organization"><span itemprop="name brand">Brand</span>'
      '<b itemprop="name">Exact</b></div>', "Exact", None),
     ('<meta property="og:site_name x" content="No"><meta property=og:title content=Yes>'
@@ -55,9 +56,6 @@ def test_fields(spark, html, name, industry):
     df = spark.createDataFrame([(html, 200)], "html string, http_status int")
     staged = extract_company_fields(df).first()
     assert (staged.extracted_name, staged.extracted_industry) == (name, industry)
-    f = html_company_fields("html", "http_status")
-    nested = df.select(f["extracted_name"].alias("n"), f["extracted_industry"].alias("i")).first()
-    assert (nested.n, nested.i) == (name, industry)
 
 
 def test_status_gate_and_size_cap(spark):
@@ -65,6 +63,8 @@ def test_status_gate_and_size_cap(spark):
     rows = [(PAGE.format(t="A", b=""), 200), (PAGE.format(t="B", b=""), 404), (None, None),
             ("", 200), (big, 200), (big[: MAX_STORED_HTML_CHARS - 1], 200)]
     df = spark.createDataFrame(rows, "html string, http_status int")
-    out = extract_company_fields(df).collect()
+    out = extract_company_fields(df, max_stored_chars=MAX_STORED_HTML_CHARS).collect()
     assert [r.extracted_name for r in out] == ["A", None, None, None, "Big", "Big"]
     assert [r.raw_html is not None for r in out] == [True, False, False, False, False, True]
+    whole = extract_company_fields(df).collect()
+    assert [r.raw_html for r in whole] == [rows[0][0], None, None, None, big, rows[5][0]]

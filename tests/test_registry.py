@@ -1,4 +1,4 @@
-"""Registry XML: file scan round trip, layouts, quarantine split and sink."""
+"""Registry XML: file scan, nesting, record names, quarantine split and sink."""
 
 import datetime as dt
 import glob
@@ -8,7 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from firmlink.plans.stage_registry import RECORD_FIELDS, stage_registry
-from firmlink.sources.registry_xml import BULK_LAYOUT, flatten_registry, read_registry_xml
+from firmlink.sources.registry_xml import flatten_registry, parse_registry_xml, read_registry_xml
 from firmlink.sources.tables import write_quarantine
 from tests.conftest import SF001
 
@@ -79,8 +79,6 @@ def test_flatten_fallbacks_quarantine_and_keep_first(spark, tmpdir_fresh):
 
 
 def test_malformed_record_goes_to_quarantine(spark):
-    from firmlink.sources.registry_xml import parse_registry_xml
-
     df = spark.createDataFrame(
         [(1, "<ABR><ABN>1</ABN><EntityName>A & B</EntityName></ABR>"),
          (2, "<ABR><ABN>2</ABN><EntityName>A &amp; B</EntityName></ABR>")], "k long, xml string")
@@ -110,10 +108,10 @@ BULK = """<Transfer>
 </Transfer>"""
 
 
-def test_bulk_layout(spark, tmpdir_fresh):
+def test_bulk_extract(spark, tmpdir_fresh):
     path = os.path.join(tmpdir_fresh, "bulk.xml")
     _write(path, BULK)
-    flat = flatten_registry(read_registry_xml(spark, path, layout=BULK_LAYOUT), BULK_LAYOUT, keep=ORD)
+    flat = flatten_registry(read_registry_xml(spark, path), keep=ORD)
     load = stage_registry(flat, ORD, audit=False)
     rows = sorted((r.abn, r.entity_name, r.entity_type, r.state, r.postcode, r.entity_status)
                   for r in load.inserted.collect())
@@ -137,13 +135,10 @@ MIXED = """<Transfer>
 </Transfer>"""
 
 
-def test_auto_layout_finds_fields_at_any_depth(spark, tmpdir_fresh):
-    from firmlink.sources.registry_xml import discover_layout
-
+def test_fields_at_any_depth(spark, tmpdir_fresh):
     path = os.path.join(tmpdir_fresh, "mixed.xml")
     _write(path, MIXED)
-    layout = discover_layout(spark, path)
-    flat = flatten_registry(read_registry_xml(spark, path, layout=layout), layout, keep=ORD)
+    flat = flatten_registry(read_registry_xml(spark, path), keep=ORD)
     rows = sorted((r.abn, r.entity_name, r.entity_type, r.postcode, r.state)
                   for r in stage_registry(flat, ORD, audit=False).inserted.collect())
     assert rows == [
@@ -152,11 +147,35 @@ def test_auto_layout_finds_fields_at_any_depth(spark, tmpdir_fresh):
     ]
 
 
-def test_several_record_tags(spark, tmpdir_fresh):
+def test_record_names_in_any_case(spark, tmpdir_fresh):
     path = os.path.join(tmpdir_fresh, "tags.xml")
     _write(path, "<T><ABR><ABN>1</ABN><EntityName>One</EntityName></ABR>"
                  "<entity><ABN>2</ABN><EntityName>Two</EntityName></entity>"
-                 "<record><ABN>3</ABN><EntityName>Three</EntityName></record></T>")
-    flat = flatten_registry(read_registry_xml(spark, path, row_tags=("ABR", "entity", "record")), keep=ORD)
+                 "<abr\n a='1'><ABN>3</ABN><OtherEntity><EntityName><![CDATA[Three & Co]]></EntityName></OtherEntity></abr>"
+                 "<z:Record xmlns:z='u'><z:ABN>4</z:ABN><z:EntityName>F&#111;ur</z:EntityName></z:Record >"
+                 "<EntityRecord/><Entities><ABN>9</ABN></Entities></T>")
+    flat = flatten_registry(read_registry_xml(spark, path), keep=ORD)
     rows = sorted((r.abn, r.entity_name) for r in stage_registry(flat, ORD, audit=False).inserted.collect())
-    assert rows == [("1", "One"), ("2", "Two"), ("3", "Three")]
+    assert rows == [("1", "One"), ("2", "Two"), ("3", "Three & Co"), ("4", "Four")]
+
+
+def test_records_cross_file_blocks(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "big.xml")
+    _write(path, "<T>" + "".join(
+        f"<ABR><ABN>{i}</ABN><X>{'x ' * (i % 50)}</X><MainEntity><EntityName>Name {i}</EntityName></MainEntity></ABR>" for i in range(3000)) + "</T>")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        records = read_registry_xml(spark, path)
+        flat = flatten_registry(records, keep=ORD).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len({r["_block"] for r in flat}) > 5
+    in_order = sorted(flat, key=lambda r: [r[c] for c in ORD])
+    assert [(r.abn, r.entity_name, r.parse_failed) for r in in_order] == [(str(i), f"Name {i}", False) for i in range(3000)]
+
+
+def test_parse_reads_the_source_once(spark):
+    df = spark.createDataFrame([(1, "<ABR><ABN>1</ABN></ABR>")], "k long, xml string")
+    plan = flatten_registry(parse_registry_xml(df), keep=["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_xml") <= 1

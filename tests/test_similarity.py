@@ -35,12 +35,13 @@ def test_udf_equals_difflib_and_bounds_hold(spark):
     rows = df.select(
         "a", "b", ratio_udf("a", "b").alias("r"),
         length_bound(la, lb).alias("lb"),
-        multiset_bound(char_tokens("a"), char_tokens("b"), la, lb).alias("mb"),
+        multiset_bound(char_tokens("a"), char_tokens("b"), la, lb).alias("mb"), F.levenshtein("a", "b").alias("lev"),
     ).collect()
     for r in rows:
         assert r.r == SequenceMatcher(None, r.a, r.b).ratio()
         assert r.lb >= r.r - 1e-12 and r.mb >= r.r - 1e-12
         assert r.lb >= r.mb - 1e-12
+        assert r.lev <= (1 - r.r) * (len(r.a) + len(r.b)) + 1e-9
 
 
 @settings(max_examples=300, deadline=None)
@@ -120,9 +121,7 @@ def test_hot_block_with_rare_key_letters_is_not_all_pairs(spark):
     r, c = M.name_table(rdf, cfg, "r"), M.name_table(cdf, cfg, "c")
     joined = M._token_pairs(r, c, cfg).count()
     block_pairs = 200 * 200
-    # uniform random letters are the hard case for character tokens (each
-    # letter is in ~half the names); positions still keep it well below the
-    # block's pairs, and rows count duplicates of one pair
+    # rows count duplicates of one pair
     assert joined < block_pairs * 0.6
     got = _cands(spark, reg, cc, cfg)
     assert got == _brute(reg, cc, cfg)

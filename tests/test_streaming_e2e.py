@@ -84,7 +84,7 @@ def test_registry_stream(spark, tmpdir_fresh):
     registry_xml_stream(spark, xml_dir, target, quarantine, ckpt, available_now=True).awaitTermination(120)
     rows = sorted((r.abn, r.entity_name) for r in spark.read.parquet(target).collect())
     assert rows == [("1", "Alpha Pty Ltd"), ("2", "Beta Holdings"), ("3", "Gamma")]
-    assert os.path.isdir(os.path.join(quarantine, "reason=missing_key_fields"))
+    assert os.path.isdir(os.path.join(quarantine, "batch=0", "reason=missing_key_fields"))
 
 
 def test_cli_commands(spark, tmpdir_fresh):
@@ -113,20 +113,6 @@ def test_cli_commands(spark, tmpdir_fresh):
     assert main(args, spark) == {"unified": 2}
 
 
-def test_run_all_auto_layout(spark, tmpdir_fresh):
-    src = os.path.join(tmpdir_fresh, "src")
-    os.makedirs(src)
-    with open(os.path.join(src, "abr.xml"), "w") as fh:
-        fh.write(XML)
-    _hits(os.path.join(src, "hits"), "h.jsonl", ["https://alpha.com/"])
-    pages = os.path.join(src, "pages")
-    spark.createDataFrame([("https://alpha.com/", 200, "<title>Alpha</title>")],
-                          "url string, http_status int, html string").write.parquet(pages)
-    out = run_all(spark, os.path.join(src, "abr.xml"), os.path.join(src, "hits"), pages,
-                  os.path.join(tmpdir_fresh, "out"), layout="auto", auto_sampling_ratio=1.0)
-    assert out["registry"] == 2 and out["unified_written"] == 1
-
-
 def test_stream_replay_with_fresh_checkpoint_adds_nothing(spark, tmpdir_fresh):
     # losing the stream checkpoint replays every file: insert-if-absent keeps
     # the table exactly as it was
@@ -157,3 +143,19 @@ def test_run_all_overwrite_mode(spark, tmpdir_fresh):
                 pages=pages, out_dir=os.path.join(tmpdir_fresh, "out"), cfg=MatchConfig(write_mode="overwrite"))
     assert run_all(spark, **args)["unified"] == 1
     assert run_all(spark, **args)["unified"] == 1
+
+
+def test_unified_insert_of_null_numbers_is_idempotent(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "abr.xml"), "w") as fh:
+        fh.write("<T><ABR><EntityName>Alpha</EntityName></ABR><ABR><ABN>2</ABN><EntityName>Beta</EntityName></ABR></T>")
+    _hits(os.path.join(src, "hits"), "h.jsonl", ["https://alpha.com/", "https://beta.com/"])
+    pages = os.path.join(src, "pages")
+    spark.createDataFrame([("https://alpha.com/", 200, "<title>Alpha</title>"), ("https://beta.com/", 200, "<title>Beta</title>")],
+                          "url string, http_status int, html string").write.parquet(pages)
+    args = dict(registry_xml=os.path.join(src, "abr.xml"), index_hits=os.path.join(src, "hits"), pages=pages,
+                out_dir=os.path.join(tmpdir_fresh, "out"), cfg=MatchConfig(write_mode="insert_if_absent"))
+    runs = [run_all(spark, **args) for _ in range(3)]
+    assert [r["unified_written"] for r in runs] == [2, 0, 0]
+    assert {r.abn for r in spark.read.parquet(os.path.join(args["out_dir"], "unified")).collect()} == {None, "2"}

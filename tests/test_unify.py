@@ -3,6 +3,7 @@
 import os
 
 import pandas as pd
+import pytest
 
 from firmlink.config import MatchConfig
 from firmlink.plans.unify import unify
@@ -69,21 +70,39 @@ def test_confirmer_function_with_limit(spark, tmpdir_fresh):
                 fh.write(f"{r.reg_norm}|{r.crawl_norm}\n")
         return pd.Series(["Yes"] * len(pdf))
 
-    out = unify(reg, cc, MatchConfig(confirm_limit=1), confirmer=confirmer, with_timestamp=False)
+    with pytest.warns(UserWarning, match="1 borderline pairs are not asked"):
+        out = unify(reg, cc, MatchConfig(confirm_limit=1), confirmer=confirmer, with_timestamp=False)
     assert ("4", "umbrella.org", "FUZZY_LLM", "Pharma") in _rows(out)
     out.count()
     # the best-scoring borderline pair only (cap 1), asked once however often the plan runs
     assert open(log).read().splitlines() == ["umbrella holdings|umbrella holdin"]
-    none = unify(reg, cc, MatchConfig(confirm_limit=0), confirmer=confirmer, with_timestamp=False)
+    with pytest.warns(UserWarning, match="2 borderline pairs"):
+        none = unify(reg, cc, MatchConfig(confirm_limit=0), confirmer=confirmer, with_timestamp=False)
     assert not any(r[2] == "FUZZY_LLM" for r in _rows(none))
 
 
+def test_all_borderline_pairs_are_asked_in_parallel(spark):
+    from pyspark.sql import functions as F
+
+    from firmlink.operators.confirm import apply_verdicts
+
+    scored = spark.range(5000).select(F.concat(F.lit("r"), "id").alias("r_norm"), F.concat(F.lit("c"), "id").alias("c_norm"),
+                                      F.lit(0.9).alias("fuzzy_score"))
+    def all_yes(pdf):
+        return pdf["reg_norm"].map(lambda _: "yes")
+
+    judged = apply_verdicts(scored, MatchConfig(), confirmer=all_yes)
+    assert judged.where("confirmed").count() == 5000
+    asked = judged.join(scored, ["r_norm", "c_norm"]).inputFiles()
+    assert len(asked) > 1  # the answers were written by several tasks
+
+
 def test_partitioning_independent_and_plan_shape(spark):
     from firmlink.fixtures import unify_inputs, verdict_table
     from firmlink.plans.unify import match_stages
 
     reg, cc = unify_inputs(spark, SF01)
-    v = verdict_table(match_stages(reg, cc).scored.filter("fuzzy_score < 0.95"))
+    v = verdict_table(reg, cc)
     a = unify(reg.repartition(1), cc.repartition(1), verdicts=v, with_timestamp=False)
     b = unify(reg.repartition(7), cc.repartition(5, "domain"), verdicts=v, with_timestamp=False)
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)

@@ -17,10 +17,8 @@ The relations, and how they meet:
 * *documents*: a chunk's answers meet its words again (grouped by chunk), and
   the scores of its n-grams are summed for each document.
 
-An n-gram is a hash of ``KEY_BITS`` bits, equal for all tasks; two n-grams of one
-hash share their count. With 42 bits and 150 million different n-grams that
-befalls one n-gram in 29,000; raise it with the corpus (a sorted block sends the
-differences, so 64 bits cost about three bytes more for each). Every part and chunk has a bounded size, and a frequent
+An n-gram is a 64-bit hash (``KEY_BITS``), equal for all tasks; sorted blocks are
+sent as differences. Every part and chunk has a bounded size, and a frequent
 n-gram is one number in each block, so there are no hot keys.
 """
 
@@ -37,7 +35,7 @@ from firmlink.llm.substring import mix, planes, unplanes
 
 ORDER = 3
 ALPHA = 0.4
-KEY_BITS = 42
+KEY_BITS = 64
 CHUNK_WORDS, PART_BYTES = 800_000, 4 << 20
 
 U = np.uint64
@@ -115,12 +113,12 @@ def ask(row, order: int, parts: int):
     cut = cut_points(distinct, parts)
     for p in np.flatnonzero(np.diff(cut)).tolist():
         own = distinct[cut[p]:cut[p + 1]]
-        yield p, row.chunk, planes(np.diff(own, prepend=U(0)), 6), planes(number[cut[p]:cut[p + 1]], 4)
+        yield p, row.chunk, planes(np.diff(own, prepend=U(0)), 8), planes(number[cut[p]:cut[p + 1]], 4)
 
 
 def answer(pdf: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts for the blocks of one part."""
-    keys = [np.cumsum(unplanes(b, 6), dtype=np.uint64) for b in pdf["keys"]]
+    keys = [np.cumsum(unplanes(b, 8), dtype=np.uint64) for b in pdf["keys"]]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(inverse, weights=np.concatenate([unplanes(b, 4) for b in pdf["counts"]]), minlength=len(distinct))
     total = total.astype(np.int64)[inverse]

@@ -22,7 +22,8 @@ HEADLINE = [
     "unify", "unify_no_verdicts", "exact_match", "fuzzy_scores", "block_candidates", "match_bands",
     "confirmed_pairs", "index_hits_stage", "page_company_fields", "registry_flatten",
     "registry_quarantine", "normalize_names", "url_domain_hash", "date_normalize",
-    "keep_first_load", "insert_if_absent", "load_metrics", "table_roundtrip",
+    "keep_first_load", "insert_if_absent", "load_metrics", "table_roundtrip", "registry_xml_scan",
+    "quarantine_sink", "rerun_loads", "confirmed_by_function",
 ]
 
 

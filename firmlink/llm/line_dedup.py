@@ -1,10 +1,9 @@
 """Fuzzy line deduplication [native DataFrame functions only].
 
 Lines (texts split at line feeds) are near-duplicates at a Jaccard similarity of
-0.8 or more of their character shingles. A shingle is the ``SHINGLE`` characters
-from a word's start; beyond U+0DFF, where scripts write few spaces, from every
-character. (At one shingle a word a line's set is about six times smaller than
-with all positions; the same sets serve the signatures and the exact check.)
+0.8 or more of their character shingles: the ``SHINGLE`` characters from every
+position after leading white space. The same sets serve the signatures and the
+exact check.
 
 1. *Signatures*: minima of ``ROWS * BANDS`` permutations of the shingles' 64-bit
    hashes, per distinct line.
@@ -41,11 +40,10 @@ ROWS, BANDS = 4, 8
 BROADCAST_IDS = 2_000_000
 
 def shingles(line, size: int = SHINGLE):
-    """Array of a line's character shingles, repeats included: from the start of
-    each run of characters up to U+0DFF (words of scripts that write spaces) and
-    from every character beyond (ideographs, kana, Thai and others). A line of
-    one word has one, a blank line none."""
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(\S.{{0,{size - 1}}}))(?:[!-\u0DFF]++|.)"), F.lit(1))
+    """Array of a line's character shingles, repeats included: ``size``
+    characters from every position after leading white space; a shorter line is
+    its only shingle, a blank line has none."""
+    return F.regexp_extract_all(F.ltrim(line, F.lit(" \t\n\x0b\f\r")), F.lit(rf"(?s)(?=(.{{{size}}}|\A.+\z))."), F.lit(1))
 
 
 def permuted_minima(h, n: int, seed: int = 17) -> list:
@@ -90,10 +88,11 @@ def near_duplicate_lines(lines: DataFrame, tables: Tables, size: int = SHINGLE,
     star = tables.save(live.join(hubs, "key").select("hub", "id").distinct(), "star")
     ids = star.select("id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = lines.join(ids, "id").dropDuplicates(["id"]).select(
-        "id", F.transform(F.array_distinct(shingles(F.col("line"), size)), lambda s: F.xxhash64(s)).alias("set"))
-    sets = tables.save(sets, "sets")
-    star = star.where("hub != id").join(sets, "id").join(sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set")), "hub")
+    # a line's text is a small part of its set, so sets are made behind the joins
+    texts = tables.save(lines.join(ids, "id").dropDuplicates(["id"]), "texts")
+    star = star.where("hub != id").join(texts, "id").join(texts.select(F.col("id").alias("hub"), F.col("line").alias("hub_line")), "hub")
+    hashed = lambda x: F.array_distinct(F.transform(shingles(F.col(x), size), lambda s: F.xxhash64(s)))
+    star = star.select("hub", "id", F.inline(F.array(F.struct(hashed("line").alias("set"), hashed("hub_line").alias("hub_set")))))
     diff = F.concat(F.array_except("set", "hub_set"), F.array_except("hub_set", "set"))
     star = star.select("hub", "id", F.size("set").alias("n"), F.size("hub_set").alias("hub_n"), diff.alias("diff"))
     star = tables.save(star.withColumn("d", F.size("diff")), "star")

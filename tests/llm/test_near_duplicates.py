@@ -82,6 +82,26 @@ def test_line_dedup_on_the_smallest_table(spark):
     assert sum(got[k] != want[k] for k in want) <= 0.005 * len(want)  # banding may miss pairs near 0.8
 
 
+def test_line_dedup_reads_every_character(spark):
+    base = " ".join(f"token{i:03d}" for i in range(60))
+    lines = ["https://www.a.com/x", "https://www.other.org/y", "2024-05-01T10:00:00Z", "2024-05-01T19:30:00Z", "customer_id_001",
+             "customer_id_002", "customer_id_00", "https://www.a.com/x", "ab", " ab", "\U0001F600" * 11 + "ab", "\U0001F600" * 11 + "cd",
+             "0" + "".join(f"{i:03d}" for i in range(100)), "9" + "".join(f"{i:03d}" for i in range(100)), base, base.replace("token030", "token031")]
+
+    def dense(x):
+        x = x.lstrip(" \t\n\x0b\f\r")
+        return {x[i:i + 12] for i in range(max(1, len(x) - 11))}
+
+    sets, grams = brute.Sets(), [dense(x) for x in lines]
+    for i, a in enumerate(grams):
+        for j in range(i):
+            if 5 * len(a & grams[j]) >= 4 * len(a | grams[j]):
+                sets.join(i, j)
+    got = {r.doc_id: r.component_doc for r in line_dedup.dedup_lines(docs_of(spark, list(enumerate(lines)))).collect()}
+    assert got == {i: sets.find(i) for i in range(len(lines))}
+    assert {i for i in got if got[i] != i} == {7, 9, 13, 15}
+
+
 def test_line_dedup_repeated_and_null_ids(spark):
     rows = [(1, "a b c\nd e f"), (1, "a b c\nd e f"), (None, "a b c"), (None, None)]
     got = line_dedup.dedup_lines(docs_of(spark, rows)).collect()

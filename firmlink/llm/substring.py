@@ -21,6 +21,11 @@ more than once reveal the repeats, and the checksums (of all words of a window)
 verify them one by one. A window without an anchor is sent as its own anchor.
 Equal anchors of one task are reduced to the first before they are sent, so a
 passage copied any number of times sends one row for each task.
+
+An anchor inside a phrase of many texts has other windows in each. A first pass
+therefore counts the windows to send by cells of the anchors' keys; the anchors of
+a cell over the bound send each window as its own anchor, by its own checksum.
+Equal windows have equal anchors, so they take the same way.
 """
 
 from __future__ import annotations
@@ -36,6 +41,9 @@ WINDOW = 20
 ROUNDS = 4
 #: Words parsed at once in a task, and bytes of text behind one part of the hash space.
 CHUNK_WORDS, PART_BYTES = 400_000, 8 << 20
+#: Cells of a part in which windows are counted, and bytes of text of a part for each
+#: window that a cell may hold (at 6 bytes a word: half of a part's windows).
+CELLS, BYTES_PER_BOUND = 16, 12
 #: Bytes of an anchor's key and of a window's checksum that are compared (together 88 bits).
 KEY_BYTES, SUM_BYTES = 6, 5
 
@@ -156,24 +164,62 @@ BLOCK_SCHEMA = ("p int, docs binary, per_doc binary, keys binary, first binary,
                 "done_doc binary, done_first binary, done_count binary")
 
 
-def send(ords: list[int], words: list[list[bytes]], part: int, parts: int, window: int, rounds: int):
-    """The rows of one chunk of texts (text order: rising ``ords``) for all parts."""
+def chunk_anchors(words: list[list[bytes]], window: int, rounds: int):
+    """Number of words of each text of a chunk, its anchors (see ``anchors``), and
+    whether an anchor is the first of the chunk with its windows."""
     n = np.array([len(w) for w in words], np.int64)
     flat = np.empty(int(n.sum()), dtype=object)
     flat[:] = [w for ws in words for w in ws]
     codes, uniques = pd.factorize(flat) if len(flat) else (np.zeros(0, np.int64), np.zeros(0, object))
     names = pd.util.hash_array(uniques, categorize=False)[codes] if len(flat) else np.zeros(0, np.uint64)
     key, first, count, place, sums = anchors(names, n, window, rounds)
-    begin = np.cumsum(n) - n
-    doc = np.searchsorted(begin + n, first, side="right")
     whole = Spans(names)(first, first + count - 1 + window)
     _, kept = np.unique(mix(whole ^ key) ^ (count.astype(np.uint64) << U(8)) ^ place.astype(np.uint64), return_index=True)
     new = np.zeros(len(key), bool)
     new[kept] = True
+    return n, key, first, count, place, sums, new
+
+
+def part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    return (key >> U(8 * KEY_BYTES)).astype(np.int64) % parts
+
+
+def cell_of(key: np.ndarray, parts: int) -> np.ndarray:
+    """Number of the cell of its part that a key is counted in."""
+    return part_of(key, parts) * CELLS + (key % U(CELLS)).astype(np.int64)
+
+
+def spread(key, first, count, place, sums, new, hot: np.ndarray, parts: int):
+    """Anchors of hot cells split into one anchor for each window, named by the
+    window's checksum; only the first of equal ones is new."""
+    split = np.isin(cell_of(key, parts), hot)
+    if not split.any():
+        return key, first, count, place, sums, new
+    c = np.where(split, count, 1)
+    own = np.repeat(np.arange(len(key)), c)
+    step = np.arange(len(own)) - np.repeat(np.cumsum(c) - c, c)
+    single = split[own]
+    check = sums[(np.cumsum(count) - count)[own] + step]
+    key = np.where(single, mix(check ^ U(0x2545F4914F6CDD1D)), key[own])
+    first, place = first[own] + step, np.where(single, 0, place[own])
+    count, new = np.where(single, 1, count[own]), new[own]
+    sent = np.flatnonzero(single & new)
+    _, kept = np.unique(check[sent], return_index=True)
+    new[sent] = False
+    new[sent[kept]] = True
+    return key, first, count, place, sums, new
+
+
+def send(ords: list[int], words: list[list[bytes]], part: int, parts: int, window: int, rounds: int, hot: np.ndarray):
+    """The rows of one chunk of texts (text order: rising ``ords``) for all parts."""
+    n, *found = chunk_anchors(words, window, rounds)
+    key, first, count, place, sums, new = spread(*found, hot, parts)
+    begin = np.cumsum(n) - n
+    doc = np.searchsorted(begin + n, first, side="right")
     ords = np.array(ords, np.int64)
     local = first - begin[doc]
     start = np.cumsum(count) - count
-    to = (key >> U(8 * KEY_BYTES)).astype(np.int64) % parts
+    to = part_of(key, parts)
     done_doc, done_first, done_count = runs(doc[~new], local[~new], count[~new])
     fresh = np.flatnonzero(new)
     fresh = fresh[np.argsort(to[fresh], kind="stable")]
@@ -240,6 +286,58 @@ def by_document(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"ord": doc[head], "ranges": [x.tobytes() for x in np.split(pairs, head[1:])]})
 
 
+def chunks(batches, window: int):
+    """Chunks of about ``CHUNK_WORDS`` words as ``(ords, words)``, in order of
+    ``ords``; without texts of fewer than ``window`` words."""
+    held, size = [], 0
+
+    def flush():
+        held.sort(key=lambda x: x[0])
+        return [o for o, _ in held], [w for _, w in held]
+
+    for pdf in batches:
+        for o, t in zip(pdf["o"], pdf["t"]):
+            w = t.encode().split() if t else []
+            if len(w) >= window:
+                held.append((o, w))
+                size += len(w)
+            if size >= CHUNK_WORDS:
+                yield flush()
+                held, size = [], 0
+    if held:
+        yield flush()
+
+
+def hot_cells(src: DataFrame, parts: int, window: int, rounds: int, bound: int) -> np.ndarray:
+    """Cells for which all tasks together would send more than ``bound`` windows,
+    in order. There are at most ``windows / bound`` of them."""
+    def run(batches):
+        n = np.zeros(parts * CELLS, np.int64)
+        for _, words in chunks(batches, window):
+            _, key, _, count, _, _, new = chunk_anchors(words, window, rounds)
+            np.add.at(n, cell_of(key[new], parts), count[new])
+        used = np.flatnonzero(n)
+        yield pd.DataFrame({"cell": used, "n": n[used]})
+
+    counts = src.mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return np.array(sorted(r[0] for r in counts.where(F.col("n") > bound).select("cell").collect()), np.int64)
+
+
+def sent_blocks(src: DataFrame, parts: int, window: int, rounds: int, bound: int) -> DataFrame:
+    """Rows of all chunks of ``src`` (columns ``o, t``) for all parts."""
+    hot = hot_cells(src, parts, window, rounds, bound) if parts > 1 else np.zeros(0, np.int64)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for made, (ords, words) in enumerate(chunks(batches, window)):
+            rows = list(send(ords, words, part * 7919 + made, parts, window, rounds, hot))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
+
+    return src.mapInPandas(run, BLOCK_SCHEMA)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    rounds: int = ROUNDS, part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (the words that
@@ -249,8 +347,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     have none, and texts of fewer than ``window`` words lose none. Of repeated
     rows the first keeps its words. An empty table gives an empty result.
 
-    One shuffle moves the anchors (hash space parts of bounded size, no hot
-    key), one moves the found ranges and the texts to each other. Nothing is
+    One shuffle moves the anchors (parts of the hash space; anchors of many
+    texts are spread by their windows), one moves the found ranges and the texts to each other. Nothing is
     gathered outside its part.
     """
     if not 1 < window < 1 << 16:
@@ -260,30 +358,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
 
-    def run(batches):
-        from pyspark import TaskContext
-
-        part, made, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def flush():
-            held.sort(key=lambda x: x[0])
-            rows = list(send([o for o, _ in held], [w for _, w in held], part * 7919 + made, parts, window, rounds))
-            return pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
-
-        for pdf in batches:
-            for o, t in zip(pdf["o"], pdf["t"]):
-                w = t.encode().split() if t else []
-                if len(w) >= window:
-                    held.append((o, w))
-                    size += len(w)
-                if size >= CHUNK_WORDS:
-                    yield flush()
-                    held, size, made = [], 0, made + 1
-        if held:
-            yield flush()
-
     src = docs.select(F.col(ord_col).alias("o"), F.col(text_col).alias("t"))
-    found = src.mapInPandas(run, BLOCK_SCHEMA).groupBy("p").applyInPandas(
+    found = sent_blocks(src, parts, window, rounds, max(1, part_bytes // BYTES_PER_BOUND)).groupBy("p").applyInPandas(
         lambda pdf: receive(pdf, parts), "bucket int, docs binary, at binary, n binary")
     found = tables.save(found.groupBy("bucket").applyInPandas(by_document, "ord long, ranges binary"), "ranges")
 

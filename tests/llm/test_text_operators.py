@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from firmlink.llm import decontaminate, lm_score, packing, substring
@@ -54,6 +55,25 @@ def test_passages_on_the_smallest_table(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
 
 
+def test_passages_with_a_phrase_in_a_third_of_the_texts(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    short, long = text(12), text(23)
+    rows = [(d, " ".join([text(rng.randint(15, 30)), *[short, long][:d % 3 == 0 or 2 * (d % 30 == 1)], text(rng.randint(15, 30))]))
+            for d in range(900)]
+    got = substring.remove_repeats(docs_of(spark, rows), part_bytes=8000).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in got} == brute.passages(rows)
+
+    def windows(bound):
+        src = docs_of(spark, rows, "o long, t string")
+        sent = substring.sent_blocks(src, 40, 20, substring.ROUNDS, bound).select("p", (F.length("sums") / substring.SUM_BYTES).alias("n"))
+        return [r.n for r in sent.groupBy("p").agg(F.sum("n").alias("n")).collect()]
+
+    even, all_equal_keys_meet = windows(400), windows(10**9)
+    assert max(all_equal_keys_meet) > 3 * sum(even) / 40
+    assert max(even) < 2 * sum(even) / 40
+
+
 def test_passages_repeated_ids_and_columns(spark):
     t = " ".join(str(i) for i in range(25))
     rows = [(1, t, 9), (1, t, 9), (None, t, 9)]

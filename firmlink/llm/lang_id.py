@@ -9,9 +9,13 @@ is solved in closed form. Since the presence kernel is an inner product, the
 landmark and regression matrices fold into one ``DIM x languages`` matrix, and a
 batch of texts is scored by one product of its presence matrix with it.
 
-The classifier is fitted on a bounded sample (``SAMPLE_PER_LANG`` texts of each
-language, about that many, chosen by a hash of the id); scoring reads every text
-whole.
+So many n-grams as a long text has would set nearly all cells. Texts are read in
+consecutive segments of about equal length, up to ``SEGMENT`` characters: their
+kernel scores are averaged, weighted by their lengths.
+
+The classifier is fitted on a bounded sample (``SAMPLE_PER_LANG`` segments of each
+language, about that many, chosen by a hash of the id and the segment's number);
+scoring reads every text whole.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ SAMPLE_PER_LANG = 300
 LANDMARKS_PER_LANG = 64
 RIDGE = 1e-3
 BATCH = 64
+#: Characters of a segment: at most four n-grams each, so at most 15 % of the cells.
+SEGMENT = 2_700
 UNDETERMINED = "und"
 
 
@@ -57,13 +63,22 @@ def presence(texts, max_n: int = MAX_N) -> np.ndarray:
     return m
 
 
+def segments(text: str, max_n: int = MAX_N) -> list[str]:
+    """Consecutive parts of about equal length, up to SEGMENT characters, each
+    with the ``max_n - 1`` characters that follow it: no n-gram is lost."""
+    k = max(1, -(-len(text) // SEGMENT))
+    cut = [len(text) * i // k for i in range(k + 1)]
+    return [text[a:b + max_n - 1] for a, b in zip(cut, cut[1:])]
+
+
 def has_letter(text) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
 @dataclass
 class LanguageModel:
-    """``weights``: DIM x len(langs); scores are ``presence @ weights / norm``."""
+    """``weights``: DIM x len(langs); scores are ``presence @ weights / norm``,
+    averaged over a text's segments."""
 
     langs: list[str]
     weights: np.ndarray
@@ -74,13 +89,28 @@ class LanguageModel:
         text, one without a letter, or a model of no language."""
         pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         live = [i for i, t in enumerate(texts) if self.langs and has_letter(t)]
-        for k in range(0, len(live), BATCH):
-            idx = live[k:k + BATCH]
-            m = presence([texts[i] for i in idx], self.max_n).astype(np.float32)
-            s = (m @ self.weights) / np.sqrt(m.sum(1, keepdims=True))
-            for row, i in enumerate(idx):
-                best = int(np.argmax(s[row]))
-                pred[i], score[i] = self.langs[best], min(1.0, max(0.0, (float(s[row, best]) + 1) / 2))
+        total, length = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+
+        def add(held):
+            m = presence([t for _, t in held], self.max_n).astype(np.float32)
+            n = np.array([len(t) for _, t in held], float)
+            own = [i for i, _ in held]
+            np.add.at(total, own, n[:, None] * (m @ self.weights) / np.sqrt(m.sum(1, keepdims=True)))
+            np.add.at(length, own, n)
+
+        held = []
+        for i in live:
+            for part in segments(texts[i], self.max_n):
+                held.append((i, part))
+                if len(held) == BATCH:
+                    add(held)
+                    held = []
+        if held:
+            add(held)
+        for i in live:
+            s = total[i] / length[i]
+            best = int(np.argmax(s))
+            pred[i], score[i] = self.langs[best], min(1.0, max(0.0, (float(s[best]) + 1) / 2))
         return pred, score
 
 
@@ -108,26 +138,34 @@ def fit(bits: np.ndarray, labels: list[str], landmarks_per_lang: int = LANDMARKS
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           sample_per_lang: int = SAMPLE_PER_LANG, **params) -> LanguageModel:
-    """Fit on a sample of ``labelled``: texts with a letter and a non-null
-    language. Every language keeps the share of its rows that gives about
-    ``sample_per_lang`` of them. Texts are turned into presence bits (DIM / 8
-    bytes each, whatever their length) in the tasks that read them; only those
-    reach the driver."""
+    """Fit on a sample of ``labelled``: segments of texts with a letter and a
+    non-null language. Every language keeps the share of its segments that gives
+    about ``sample_per_lang`` of them. Segments are turned into presence bits
+    (DIM / 8 bytes each) in the tasks that read them; only those reach the driver."""
     t, lang = F.col(text_col), F.col(lang_col)
     rows = labelled.where(t.isNotNull() & lang.isNotNull() & t.rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
-    draw = F.pmod(F.xxhash64(id_text(id_col), F.lit("language sample")), F.lit(1_000_000))
-    share = F.lit(False)
+    many = F.ceil(F.length(t) / F.lit(SEGMENT)).cast("int")
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).agg(F.sum(many)).collect()}
+    share = F.lit(0)
     for name, n in counts.items():
-        share = share | ((lang == name) & (draw < int(1_000_000 * min(1.0, sample_per_lang / n)) + 1))
+        share = F.when(lang == name, int(1_000_000 * min(1.0, sample_per_lang / n)) + 1).otherwise(share)
+    draw = lambda k: F.pmod(F.xxhash64(id_text(id_col), k, F.lit("language sample")), F.lit(1_000_000))
+    drawn = F.filter(F.transform(F.sequence(F.lit(0), many - 1), lambda k: F.struct(k.alias("k"), draw(k).alias("d"))),
+                     lambda x: x["d"] < share)
     max_n = params.get("max_n", MAX_N)
 
-    @F.pandas_udf("binary")
-    def bits(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.packbits(presence([x], max_n)[0]).tobytes() for x in texts])
-
-    got = (rows.where(share).select(draw.alias("d"), id_text(id_col).alias("i"), lang.alias("l"), bits(t).alias("b"))
-           .limit(2 * sample_per_lang * max(1, len(counts))).toPandas().sort_values(["d", "i"], kind="stable"))
+    @F.pandas_udf("array<binary>")
+    def bits(texts: pd.Series, numbers: pd.Series) -> pd.Series:
+        out = []
+        for x, ks in zip(texts, numbers):
+            parts = segments(x, max_n)
+            out.append([np.packbits(presence([parts[k]], max_n)[0]).tobytes() for k in ks])
+        return pd.Series(out)
+
+    got = rows.select(id_text(id_col).alias("i"), lang.alias("l"), t.alias("t"), drawn.alias("s")).where(F.size("s") > 0)
+    got = got.select("i", "l", F.explode(F.arrays_zip(F.col("s"), bits("t", F.col("s.k")).alias("b"))).alias("e"))
+    got = (got.select(F.col("e.s.d").alias("d"), "i", F.col("e.s.k").alias("k"), "l", F.col("e.b").alias("b"))
+           .limit(2 * sample_per_lang * max(1, len(counts))).toPandas().sort_values(["d", "i", "k"], kind="stable"))
     packed = np.frombuffer(b"".join(map(bytes, got["b"])), np.uint8).reshape(len(got), DIM // 8)
     return fit(packed, list(got["l"]), **params)
 

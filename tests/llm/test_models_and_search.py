@@ -52,6 +52,20 @@ def test_language_edges(spark):
     assert lang_id.identify(docs_of(spark, []), model).count() == 0
 
 
+def test_language_of_texts_with_very_many_ngrams(spark):
+    rng = random.Random(6)
+    text = lambda a, n: "".join(chr(0x4E00 + a + rng.randrange(3000)) for _ in range(n))
+    rows = [(i, text(a, 300), c) for i in range(60) for a, c in ((0, "a"), (1500, "b"))]
+    schema = "doc_id long, text string, lang string"
+    long = [text(0, 200_000), text(1500, 200_000), text(0, 2_000), text(1500, 2_000)]
+    whole = docs_of(spark, [(i, long[i % 2], "ab"[i % 2]) for i in range(4)], schema)
+    for train in (docs_of(spark, rows, schema), whole):
+        assert lang_id.train(train).predict(long)[0] == ["a", "b", "a", "b"]
+    parts = lang_id.segments(long[0])
+    assert {g for p in parts for g in (p[i:i + 4] for i in range(len(p) - 3))} == {long[0][i:i + 4] for i in range(len(long[0]) - 3)}
+    assert max(lang_id.presence(parts).mean(1)) < 0.2
+
+
 def test_presence_kernel_is_folded_exactly():
     texts = ["the cat", "a dog and a cat", "chien et chat", "le chat"]
     bits = np.packbits(lang_id.presence(texts), axis=1)

@@ -27,6 +27,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]*)"""
+ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+DOT_SEGMENT = r"/\.\.?(/|$)"
 REFRESH_URL = r"""(?is)\burl\s*=\s*["']?([^"'\s>]*)"""
 
 
@@ -42,13 +44,24 @@ def url_path(url):
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def without_dots(path):
+    """A path without its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda out, s: F.when(s == ".", out).when(s == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))))
+        .otherwise(F.concat(out, F.array(s))))
+    open_end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.rlike(path, F.lit(DOT_SEGMENT)), F.concat(F.lit("/"), F.array_join(F.concat(kept, open_end), "/"))).otherwise(path)
+
+
 def url_key(url):
-    """Node of a URL in the link graph: the URL without its fragment, host in
-    lower case."""
+    """Node of a URL in the link graph: the URL without its fragment and its
+    path's dot segments, host in lower case."""
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)?", 1)
     return F.when(F.contains(url, F.lit("://")),
-                  F.concat(scheme, F.lit("://"), url_host(url), url_path(url), query))
+                  F.concat(scheme, F.lit("://"), url_host(url), without_dots(url_path(url)), query))
 
 
 def best_rule(host, path, rules=RULES):
@@ -63,18 +76,21 @@ def best_rule(host, path, rules=RULES):
 
 
 def resolve(base, href):
-    """Absolute form of a link: absolute as it is, ``//host/..`` with the
-    base's scheme, ``/path`` on the base's host, else beside the base's path.
-    Dot segments are kept as written."""
+    """Absolute form of a link: absolute (with a scheme before its first ``://``)
+    as it is, ``//host/..`` with the base's scheme, ``/path`` on the base's host,
+    ``?query`` on the base's path, ``#fragment`` the base, else beside the
+    base's path. Dot segments are left to ``url_key``."""
     href = F.replace(F.trim(href), F.lit("&amp;"), F.lit("&"))
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
     root = F.concat(scheme, F.lit("://"), url_host(base))
     folder = F.regexp_replace(url_path(base), r"[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
     return (F.when(href == "", F.lit(None).cast("string"))
-            .when(F.contains(href, F.lit("://")), href)
+            .when(F.rlike(href, F.lit(ABSOLUTE)), href)
             .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href))
             .when(F.startswith(href, F.lit("/")), F.concat(root, href))
+            .when(F.startswith(href, F.lit("?")), F.concat(root, url_path(base), href))
+            .when(F.startswith(href, F.lit("#")), base)
             .otherwise(F.concat(root, folder, href)))
 
 

@@ -220,6 +220,30 @@ def test_url_redirect_equivalence(spark):
     assert url_filter.filter_urls(pages(spark, [])).count() == 0
 
 
+def test_link_targets_follow_the_url_standard(spark):
+    base = "http://a/b/c/d;p?q"  # the examples of RFC 3986, 5.4, that have a host
+    want = {"g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g",
+            "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q", "g#s": "http://a/b/c/g",
+            ";x": "http://a/b/c/;x", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/",
+            "../g": "http://a/b/g", "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g",
+            "/../g": "http://a/g", "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g", "./g/.": "http://a/b/c/g/",
+            "g/../h": "http://a/b/c/h", "g;x=1/../y": "http://a/b/c/y", "g?y/../x": "http://a/b/c/g?y/../x", "https://X/./y": "https://x/y",
+            "/x?ref=https://foo.net/": "http://a/x?ref=https://foo.net/", "x/y://z": "http://a/b/c/x/y://z"}
+    links = spark.createDataFrame([(h,) for h in want], "href string")
+    got = links.select("href", url_filter.url_key(url_filter.resolve(F.lit(base), F.col("href"))).alias("u")).collect()
+    assert {r.href: r.u for r in got} == want
+
+
+def test_block_decisions_reach_resolved_links_only(spark):
+    link = '<link rel="canonical" href="%s">'
+    pages = docs_of(spark, [
+        (1, "https://a.io/x", link % "/x?ref=https://foo.net/"), (2, "https://example.com/en/x", link % "../de/x"),
+        (3, "https://b.io/list", link % "?p=2"), (4, "https://b.io/list?p=2", link % "https://bad.net/"), (5, "https://b.io/", "")],
+        "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages).collect()}
+    assert got == {1: "allow", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     model = lang_id.train(docs)

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from firmlink.llm import decontaminate, lang_id, line_dedup, packing, simhash
 from firmlink.llm.common import Tables
 
-#: A document whose best language scores less than this (0 to 1) is rejected:
-#: no one-against-rest regression comes near to claiming it.
-MIN_LANGUAGE_SCORE = 0.25
+#: No threshold: only ``und`` is rejected. Scores fall with the number of
+#: languages, so one least score has no fixed meaning.
+MIN_LANGUAGE_SCORE = 0.0
 
 
 def language_id(spark, docs, sf_dir):
     """Keep documents whose language is identified (op 6), by a model fitted on
-    a sample of the stage's own labelled documents."""
+    a sample of the stage's own labelled documents. Only texts without
+    a letter (``und``) are rejected."""
     return lang_id.keep_identified(docs, lang_id.train(docs), min_score=MIN_LANGUAGE_SCORE)
 
 

@@ -66,6 +66,12 @@ def test_language_of_texts_with_very_many_ngrams(spark):
     assert max(lang_id.presence(parts).mean(1)) < 0.2
 
 
+def test_language_stage_rejects_only_texts_without_a_letter(spark):
+    rows = [(i, "some words that every language has", f"l{i % 20}") for i in range(60)] + [(100, "12 ...", "l1"), (101, None, "l2")]
+    docs = docs_of(spark, rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, docs, None).collect()} == set(range(60))
+
+
 def test_presence_kernel_is_folded_exactly():
     texts = ["the cat", "a dog and a cat", "chien et chat", "le chat"]
     bits = np.packbits(lang_id.presence(texts), axis=1)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import decontaminate, lang_id, line_dedup, lm_score, packing, simhash, substring, topk, toxicity
+from firmlink.llm import decontaminate, lang_id, line_dedup, lm_score, mixing, packing, simhash, substring, topk, toxicity
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -67,6 +67,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), max_repeats=3)
+    return mixing.by_position(mixed).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_mixing": op11_mixing,
 }
 
 ORACLES = {
@@ -150,5 +156,41 @@ SELECT p.page_id, p.host, p.path, own.rule,
             WHEN p.url IN (SELECT n.u FROM nodes n JOIN reach r ON r.node = n.node) THEN 'block'
             ELSE 'allow' END AS verdict
 FROM p LEFT JOIN own ON own.n = p.n
+""",
+    "op11_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT *, CAST(1 + (k - 1) % 3 AS DOUBLE) AS w, CASE WHEN k % 2 = 1 THEN 0.5 ELSE -0.5 END AS tilt, 3 * source_size AS cap
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k
+        FROM d GROUP BY source)),
+f AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER below, 0) AS rest,
+         sum(w) OVER () - coalesce(sum(w) OVER below, 0) AS over_w
+  FROM s WINDOW below AS (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT *, cap * over_w > w * rest AS open FROM f),
+t AS (
+  SELECT o.*, CASE WHEN open THEN least(CAST(m.rest AS DOUBLE) * (w / m.over_w), CAST(cap AS DOUBLE)) ELSE CAST(cap AS DOUBLE) END AS target
+  FROM o LEFT JOIN (SELECT rest, over_w FROM o WHERE open ORDER BY cap / w, k LIMIT 1) m ON true),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.w, t.tilt, CAST(round(t.target) AS BIGINT) AS take,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('0:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), d.size
+                                ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS start
+  FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+q AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE
+           take // source_size * size + greatest(least(take % source_size - start, size), 0) END AS taken,
+         start / nullif(CAST(take AS DOUBLE), 0) * w AS want, w * (1 - tilt) AS w0, w * (1 + tilt) AS w2
+  FROM p),
+h AS (
+  SELECT *, 0.5 * (w0 + w) / 2 AS half FROM q),
+z AS (
+  SELECT *, want < half AS early, CASE WHEN want < half THEN want ELSE want - half END AS y,
+         CASE WHEN want < half THEN w0 ELSE w END AS wa, CASE WHEN want < half THEN w ELSE w2 END AS wb
+  FROM h)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken > 0 THEN (CASE WHEN early THEN 0.0 ELSE 0.5 END)
+         + y * 2 / (wa + sqrt(greatest(wa * wa + (wb - wa) / 0.5 * y * 2, 0.0))) END AS position
+FROM z
 """,
 }

@@ -6,7 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlink.llm import decontaminate, lang_id, line_dedup, lm_score, mixing, packing, simhash, substring, topk, toxicity
+from firmlink.llm import (
+    decontaminate,
+    lang_id,
+    line_dedup,
+    lm_score,
+    mixing,
+    packing,
+    prefix_trie,
+    simhash,
+    spelling,
+    substring,
+    topk,
+    toxicity,
+)
 from firmlink.llm.url_filter import filter_urls
 
 
@@ -72,6 +85,14 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.by_position(mixed).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -84,6 +105,8 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
     "op11_mixing": op11_mixing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES = {

@@ -31,7 +31,8 @@ class Sets:
 
 
 def line_shingles(line, size=12):
-    return set(re.findall(r"(?s)(?=([^ \t\n\x0b\f\r].{0,%d}))(?:[!-\u0DFF]+|.)" % (size - 1), line))
+    body = line.lstrip(" \t\n\x0b\f\r")
+    return {body[k:k + size] for k in range(len(body))}
 
 
 def line_classes(docs):

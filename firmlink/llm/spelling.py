@@ -2,9 +2,9 @@
 
 The vocabulary is counted over all texts with map-side sums. Its words go into
 blocked Bloom filters, sharded by word length and, beyond a fixed size, by hash.
-Each word's edits (a code point replaced by a larger one of the alphabet, a code
-point deleted; every near pair is such an edit from one of its ends) are made as
-hashes only, by arithmetic on a polynomial hash, and probed against the filters.
+Each word's edits (a code point replaced by a larger one that the vocabulary has,
+a code point deleted; every near pair is such an edit from one of its ends) are made
+as hashes only, by arithmetic on a polynomial hash, and probed against the filters.
 Only positive edits become strings and are joined with the vocabulary, which
 removes the filters' false positives.
 
@@ -34,9 +34,8 @@ from pyspark.sql import functions as F
 
 from firmlink.llm.common import Tables, id_text
 
-#: Letters of words, and the code points that lower-cased words consist of.
-RUN = r"[A-Za-zÀ-ÿ]+"
-ALPHABET = np.array([*range(0x61, 0x7B), *range(0xC0, 0x100)], np.uint64)
+#: The letters of words; lower-cased words consist of at most 90 code points.
+LETTER = "[A-Za-zÀ-ÿ]"
 #: Words of this length or more share the last length class.
 LAST_LENGTH = 64
 SHARD_WORDS = 500_000
@@ -44,16 +43,18 @@ BITS_PER_WORD = 16
 ROUND_BYTES = 64 << 20
 _PROBES = 7
 #: Edits held at once by a task.
-_EDITS = 1 << 21
+_EDITS = 1 << 18
+#: Positive edits sent on at once.
+_HITS = 100_000
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
 
-def runs(texts: DataFrame, id_col: str, text_col: str, misspell: int = 31) -> DataFrame:
-    """One row ``word`` for each run of letters, A-Z in lower case. Where
+def runs(texts: DataFrame, id_col: str, text_col: str, misspell: int = 31, min_length: int = 1) -> DataFrame:
+    """One row ``word`` for each run of ``min_length`` letters or more, A-Z in lower case. Where
     ``misspell`` divides the CRC-32 h of ``<id>:<run>``, the code point
     ``h % length`` is left out."""
-    found = F.explode(F.regexp_extract_all(F.col(text_col), F.lit(RUN), F.lit(0)))
+    found = F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"{LETTER}{{{min_length},}}"), F.lit(0)))
     low = F.translate("run", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     rows = texts.select(id_text(id_col).alias("id"), found.alias("run")).select("id", low.alias("run"))
     rows = rows.withColumn("h", F.crc32(F.encode(F.concat("id", F.lit(":"), "run"), "UTF-8")))
@@ -64,7 +65,7 @@ def runs(texts: DataFrame, id_col: str, text_col: str, misspell: int = 31) -> Da
 
 def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 7, min_count: int = 2) -> DataFrame:
     """``(word, n)`` for words of enough code points and occurrences."""
-    return (runs(docs, id_col, text_col).where(F.length("word") >= min_length)
+    return (runs(docs, id_col, text_col, min_length=min_length).where(F.length("word") >= min_length)
             .groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= min_count))
 
 
@@ -74,12 +75,12 @@ def _mix(h):
     return h ^ (h >> np.uint64(31))
 
 
-def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _by_length(words: list[str], letters: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(places in words, code points)`` for the words of each length, the latter as a matrix."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
-        step = max(1, _EDITS // (int(size) * len(ALPHABET)))
+        step = max(1, _EDITS // (int(size) * letters))
         for k in range(0, len(at), step):
             some = at[k:k + step]
             flat = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32)
@@ -105,12 +106,15 @@ def hashes(words: list[str]) -> np.ndarray:
     return out
 
 
-def edits(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches ``(length class, hash, word, place, code)`` of all edits: ``code``
-    replaces the code point at ``place``; 0 stands for a deletion. Of deletions
-    with the same result only the first is made."""
-    piece = max(1, _EDITS // len(ALPHABET))
-    for at, codes in _by_length(words):
+def edits(words: list[str], alphabet: np.ndarray) -> Iterator[tuple]:
+    """Batches of all edits as ``(length class, hashes, wanted, name)``: of the
+    hashes, those that ``wanted`` marks are edits, and ``name(k)`` gives the words
+    (places in ``words``), the places in the word and the code points of edits
+    ``k``. The code point replaces that at the place; 0 stands for a deletion. Of
+    deletions with the same result only the first is made."""
+    letters = len(alphabet)
+    piece = max(1, _EDITS // letters)
+    for at, codes in _by_length(words, letters):
         size = codes.shape[1]
         power = _powers(size)
         terms = codes * power
@@ -119,13 +123,14 @@ def edits(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nd
         gone = (sums - terms) * np.uint64(_BACK) + (whole[:, None] - sums)
         first = np.ones(codes.shape, bool)
         first[:, 1:] = codes[:, 1:] != codes[:, :-1]
-        w, p = np.nonzero(first)
-        yield length_class(size - 1), gone[w, p], at[w], p, np.zeros(len(w), np.uint64)
-        for k in range(0, size, piece):
-            part = codes[:, k:k + piece]
-            new = whole[:, None, None] + (ALPHABET - part[:, :, None]) * power[k:k + piece, None]
-            w, p, c = np.nonzero(ALPHABET > part[:, :, None])
-            yield length_class(size), new[w, p, c], at[w], p + k, ALPHABET[c]
+        yield (length_class(size - 1), gone.ravel(), first.ravel(),
+               lambda k, at=at, size=size: (at[k // size], k % size, np.zeros(len(k), np.uint64)))
+        for j in range(0, size, piece):
+            part = codes[:, j:j + piece, None]
+            new = whole[:, None, None] + (alphabet - part) * power[j:j + piece, None]
+            wide = part.shape[1]
+            yield (length_class(size), new.ravel(), (alphabet > part).ravel(),
+                   lambda k, at=at, wide=wide, j=j: (at[k // (wide * letters)], k // letters % wide + j, alphabet[k % letters]))
 
 
 class Shards:
@@ -138,7 +143,7 @@ class Shards:
         self.blocks = {c: max(1, -(-counts[c] * BITS_PER_WORD // (512 * n))) for c, n in self.n.items()}
 
     def of(self, length: int, mixed: np.ndarray) -> np.ndarray:
-        return (mixed >> np.uint64(40)) % np.uint64(self.n[length])
+        return ((mixed >> np.uint64(32)) * np.uint64(self.n[length])) >> np.uint64(32)
 
     def rounds(self, most: int) -> list[set[tuple[int, int]]]:
         out, room = [], 0
@@ -154,8 +159,8 @@ class Shards:
 
     def places(self, length: int, mixed: np.ndarray, probe: int) -> tuple[np.ndarray, np.ndarray]:
         """Cell and bit of one probe; all probes of a hash lie in one block of 512 bits."""
-        block = _mix(mixed ^ np.uint64(_BASE)) % np.uint64(self.blocks[length])
-        field = (_mix(mixed + np.uint64(1)) >> np.uint64(9 * probe)) & np.uint64(511)
+        block = ((mixed & np.uint64(0xFFFFFFFF)) * np.uint64(self.blocks[length])) >> np.uint64(32)
+        field = ((mixed * np.uint64(_BASE)) >> np.uint64(55 - 9 * probe)) & np.uint64(511)
         return (block * np.uint64(8) + (field >> np.uint64(6))).astype(np.int64), np.uint64(1) << (field & np.uint64(63))
 
 
@@ -184,25 +189,29 @@ def filters(vocab: DataFrame, shards: Shards) -> DataFrame:
             .groupBy("length", "shard").applyInPandas(build, "length long, shard long, bits binary"))
 
 
-def positives(vocab: DataFrame, shards: Shards, sent) -> DataFrame:
+def positives(vocab: DataFrame, shards: Shards, letters: list[int], sent) -> DataFrame:
     """``(word, n, edit)`` for the edits that the filters of the broadcast ``sent`` hold."""
+    columns = ["word", "n", "edit"]
 
     def probe(batches):
-        cells = {k: np.frombuffer(v, np.uint64) for k, v in sent.value.items()}
+        cells, alphabet = {k: np.frombuffer(v, np.uint64) for k, v in sent.value.items()}, np.array(letters, np.uint64)
+        by_length = {c: sorted(s for d, s in cells if d == c) for c, _ in cells}
         for b in batches:
-            words, n = b["word"].tolist(), b["n"].to_numpy()
-            for length, h, word, place, code in edits(words):
-                mixed = _mix(h)
-                shard = shards.of(length, mixed) if length in shards.n else None
-                for s in () if shard is None else sorted(s for c, s in cells if c == length):
-                    live = np.flatnonzero(shard == s)
+            words, n, hits = b["word"].tolist(), b["n"].tolist(), []
+            for length, h, wanted, name in edits(words, alphabet):
+                mixed = _mix(h) if length in by_length else None
+                for s in by_length.get(length, ()):
+                    live = np.flatnonzero(wanted if shards.n[length] == 1 else wanted & (shards.of(length, mixed) == s))
                     for p in range(_PROBES):
                         cell, bit = shards.places(length, mixed[live], p)
                         live = live[(cells[length, s][cell] & bit) != 0]
-                    if len(live):
-                        made = [words[w][:p] + (chr(c) if c else "") + words[w][p + 1:]
-                                for w, p, c in zip(word[live].tolist(), place[live].tolist(), code[live].tolist())]
-                        yield pd.DataFrame({"word": [words[w] for w in word[live]], "n": n[word[live]], "edit": made})
+                    for w, p, c in zip(*(x.tolist() for x in name(live))):
+                        hits.append((words[w], n[w], words[w][:p] + (chr(c) if c else "") + words[w][p + 1:]))
+                if len(hits) > _HITS:
+                    yield pd.DataFrame(hits, columns=columns)
+                    hits = []
+            if hits:
+                yield pd.DataFrame(hits, columns=columns)
 
     return vocab.select("word", "n").mapInPandas(probe, "word string, n long, edit string")
 
@@ -216,13 +225,15 @@ def near_pairs(vocab: DataFrame, tables: Tables, shard_words: int = SHARD_WORDS,
     if not shards.n:
         return None
     built = tables.save(filters(vocab, shards), "filters")
+    letters = vocab.select(F.explode(F.array_distinct(F.split("word", ""))).alias("letter")).where("letter != ''").distinct()
+    letters = sorted(ord(r["letter"]) for r in letters.collect())
     spread = vocab.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     known = vocab.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
     found = []
     for now in shards.rounds(round_bytes):
         chosen = F.struct(F.col("length"), F.col("shard")).isin([F.struct(F.lit(c).cast("long"), F.lit(s).cast("long")) for c, s in sorted(now)])
         sent = spark.sparkContext.broadcast({(r["length"], r["shard"]): bytes(r["bits"]) for r in built.where(chosen).collect()})
-        hits = positives(spread, shards, sent)
+        hits = positives(spread, shards, letters, sent)
         found.append(tables.save(hits.join(known, F.col("edit") == F.col("other")).drop("edit"), "pairs"))
         sent.destroy()
     out = found[0]

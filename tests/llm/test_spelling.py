@@ -85,14 +85,15 @@ def test_against_a_plain_version(spark, shard_words, round_bytes):
 
 def test_edits_are_all_edits_and_their_hashes():
     words = ["banana", "ÿz", "aab"]
+    alphabet = [chr(c) for c in [*range(0x61, 0x7B), *range(0xC0, 0x100)]]
     got = {}
-    for length, h, word, place, code in spelling.edits(words):
-        for x, w, p, c in zip(h, word, place, code):
+    for length, h, wanted, name in spelling.edits(words, np.array([ord(c) for c in alphabet], np.uint64)):
+        k = np.flatnonzero(wanted)
+        for x, w, p, c in zip(h[k], *name(k)):
             made = words[w][:p] + (chr(c) if c else "") + words[w][p + 1:]
             assert spelling.length_class(len(made)) == length
             assert made not in got.setdefault(words[w], {})
             got[words[w]][made] = x
-    alphabet = [chr(c) for c in spelling.ALPHABET]
     for w in words:
         want = {w[:i] + w[i + 1:] for i in range(len(w))}
         want |= {w[:i] + c + w[i + 1:] for i in range(len(w)) for c in alphabet if c > w[i]}

@@ -151,13 +151,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = tables.save(_classes(docs, id_col, text_col, shingle, max_bits), "classes")
     kept = F.col("id").eqNullSafe(F.col("component_id"))
     ids = tables.save(rows.groupBy("id").agg(F.count("*").alias("n"), F.max(kept).alias("k")).where("k").drop("k"), "ids")
-    one = ids.where("n = 1 AND id IS NOT NULL").select(F.col("id").alias("_kept"))
-    out = docs.join(one, F.col(id_col) == F.col("_kept"), "left_semi")
+    one_id = free_name(docs, "kept")
+    one = ids.where("n = 1 AND id IS NOT NULL").select(F.col("id").alias(one_id))
+    out = docs.join(one, F.col(id_col) == F.col(one_id), "left_semi")
     if ids.where("n > 1 OR id IS NULL").isEmpty():
         return out
-    fp, c, other = (free_name(docs, x) for x in ("fp", "c", "other"))
+    fp, c, other, other_fp, other_text = (free_name(docs, x) for x in ("fp", "c", "other", "other_fp", "other_text"))
     many = rows.where(kept).join(ids.where("n > 1 OR id IS NULL").select(F.col("id").alias("i")), F.col("id").eqNullSafe(F.col("i")))
-    many = many.select(F.col("id").alias(other), F.col("fp").alias(other + "_fp"), F.col("c").alias(c)).distinct()
-    again = fingerprints(docs.withColumn(other + "_text", F.col(text_col)), other + "_text", fp, shingle)
-    again = again.join(many, F.col(id_col).eqNullSafe(F.col(other)) & (F.col(fp) == F.col(other + "_fp")))
+    many = many.select(F.col("id").alias(other), F.col("fp").alias(other_fp), F.col("c").alias(c)).distinct()
+    again = fingerprints(docs.withColumn(other_text, F.col(text_col)), other_text, fp, shingle)
+    again = again.join(many, F.col(id_col).eqNullSafe(F.col(other)) & (F.col(fp) == F.col(other_fp)))
     return out.unionByName(again.dropDuplicates([id_col, c]).select(*docs.columns))

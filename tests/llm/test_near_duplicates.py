@@ -167,3 +167,11 @@ def test_drop_near_duplicates(spark):
     assert [r.doc_id for r in got.collect() if not r.text] == [3]
     assert simhash.drop_near_duplicates(docs_of(spark, [])).count() == 0
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
+
+
+def test_simhash_keeps_columns_with_the_names_of_its_own(spark):
+    rows = [(1, "a b c d", "k", "keep me", "f"), (1, "quite another text here", "k", "keep me too", "f"), (2, "a b c d", "k", "copy", "f"),
+            (3, "something else entirely now", "k", "third", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string, other_text string, other_fp string")
+    got = {tuple(r) for r in simhash.drop_near_duplicates(docs, shingle=3, max_bits=3).collect()}
+    assert got == {r for r in rows if r[0] != 2}

@@ -32,7 +32,7 @@ class Sets:
 
 def line_shingles(line, size=12):
     body = line.lstrip(" \t\n\x0b\f\r")
-    return {body[k:k + size] for k in range(len(body))}
+    return {body[k:k + size] for k in range(max(1, len(body) - size + 1))} if body else set()
 
 
 def line_classes(docs):

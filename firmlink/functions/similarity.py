@@ -3,14 +3,17 @@ before it is computed.
 
 ``ratio(a, b) = 2*M / (len(a) + len(b))`` where ``M`` is the number of
 characters in the matching blocks found by :class:`difflib.SequenceMatcher`
-(registry name first; the measure is not symmetric). Three bounds hold for every
-pair and cost no Python:
+(registry name first; the measure is not symmetric). These bounds hold for every
+pair; the first three cost no Python:
 
 * length bound: ``2*min(la, lb) / (la + lb) >= ratio``;
 * multiset bound: ``2*overlap / (la + lb) >= ratio``, where ``overlap`` is the
   size of the multiset intersection of the two character bags;
 * edit bound: replacing what lies between the matching blocks turns one text
-  into the other, so ``levenshtein(a, b) <= (1 - ratio) * (la + lb)``.
+  into the other, so ``levenshtein(a, b) <= (1 - ratio) * (la + lb)``;
+* subsequence bound: the matching blocks are one common subsequence, so ``M`` is
+  at most the length of the longest one (found with bit operations in the batch,
+  before the matcher runs).
 
 Characters are encoded as tokens ``"<char>#<k>"`` (k-th occurrence), so the
 multiset intersection is a plain ``array_intersect`` of token arrays.
@@ -30,23 +33,56 @@ from pyspark.sql import types as T
 from firmlink.functions.text import _c
 
 
-def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
+def char_places(text: str) -> dict[str, int]:
+    """Bit ``i`` of a character's number is set where ``text[i]`` is it."""
+    places: dict[str, int] = {}
+    for i, ch in enumerate(text):
+        places[ch] = places.get(ch, 0) | 1 << i
+    return places
+
+
+def common_subsequence(a: str, places: dict[str, int], n: int) -> int:
+    """Length of the longest common subsequence of ``a`` and a text of ``n``
+    characters with these places: one row of the table for each character of
+    ``a``, held as the bits of one number (zero where the row grows)."""
+    full = (1 << n) - 1
+    row = full
+    for ch in a:
+        hit = row & places.get(ch, 0)
+        row = (row + hit | row - hit) & full
+    return n - row.bit_count()
+
+
+def ratios(a: pd.Series, b: pd.Series, lo: float = 0.0, score=SequenceMatcher.ratio) -> pd.Series:
     """Ratios of a batch. The matcher indexes its second text, so the pairs are
-    taken in the order of those and each is indexed once."""
+    taken in the order of those and each is indexed once. Pairs whose longest
+    common subsequence keeps them below ``lo`` get 0.0 without the matcher."""
     out = np.zeros(len(a))
     matcher, indexed = SequenceMatcher(None), None
+    places, fed = {}, None
     first, second = a.to_numpy(dtype=object), b.to_numpy(dtype=object)
     for i in sorted(range(len(second)), key=lambda k: second[k] or ""):
         if not first[i] or not second[i]:
             continue
         if second[i] != indexed:
             indexed = second[i]
-            matcher.set_seq2(indexed)
+            places = char_places(indexed) if lo > 0 else {}
+        if lo > 0:
+            total = len(first[i]) + len(indexed)
+            if 2.0 * common_subsequence(first[i], places, len(indexed)) / total < lo - 1e-9:
+                continue
+        if fed != indexed:
+            fed = indexed
+            matcher.set_seq2(fed)
         matcher.set_seq1(first[i])
-        out[i] = matcher.ratio()
+        out[i] = score(matcher)
     return pd.Series(out)
 
 
+def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
+    return ratios(a, b)
+
+
 # Arrow-batched similarity; the only Python in the matching path. It is
 # deterministic, but flagged otherwise so that Catalyst keeps it where it is
 # written: a filter on its result would otherwise be pushed below the pair
@@ -54,6 +90,15 @@ def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
 ratio_udf = F.pandas_udf(_ratio_batch, T.DoubleType()).asNondeterministic()
 
 
+def ratio_from_udf(lo: float):
+    """``ratio_udf`` for scores of ``lo`` and more; lower ones may come as 0.0."""
+
+    def batch(a: pd.Series, b: pd.Series) -> pd.Series:
+        return ratios(a, b, lo)
+
+    return F.pandas_udf(batch, T.DoubleType()).asNondeterministic()
+
+
 def char_tokens(name: Column | str) -> Column:
     """Array of distinct tokens ``char#k`` (k-th occurrence of ``char``).
 

@@ -35,7 +35,7 @@ from firmlink.functions.similarity import (
     length_bound,
     min_overlap,
     multiset_bound,
-    ratio_udf,
+    ratio_from_udf,
 )
 from firmlink.functions.text import MATCH_EXACT, block_key, norm_name
 from firmlink.operators.project import project_once
@@ -205,12 +205,12 @@ def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
 
 
 def score_pairs(cands: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Similarity of each candidate pair, kept when ``>= lo``; pairs beyond the
-    edit bound are dropped before the UDF."""
+    """Similarity of each candidate pair, kept when ``>= lo``. The edit bound
+    is checked before the UDF, the subsequence bound in it."""
     room = F.lit(1.0 - cfg.lo) * (F.length("r_norm") + F.length("c_norm")) + F.lit(1e-6)
     near = cands.where(F.levenshtein("r_norm", "c_norm") <= room)
     return (
-        near.select("r_norm", "c_norm", ratio_udf("r_norm", "c_norm").alias("fuzzy_score"))
+        near.select("r_norm", "c_norm", ratio_from_udf(cfg.lo)("r_norm", "c_norm").alias("fuzzy_score"))
         .filter(F.col("fuzzy_score") >= F.lit(cfg.lo))
     )
 

@@ -105,21 +105,35 @@ def parse_registry_xml(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     return df.select(*others, F.inline(F.array(parsed))).drop("_any")
 
 
-def element_text(xml: Column, name: str) -> Column:
-    """Leading text of the first element with a local name, stripped; NULL when
-    there is none or it is empty."""
-    pattern = rf"(?s)<{_PREFIX}{name}(?:\s[^>]*?)?(?:/>|>([^<]*)(?:<!\[CDATA\[(.*?)\]\]>)?)"
-    value = F.concat(decode_entities(F.regexp_extract(xml, pattern, 1)), F.regexp_extract(xml, pattern, 2))
-    return py_strip(F.nullif(value, F.lit("")))
+def elements(xml: Column, names: Sequence[str]) -> Column:
+    """The elements with these local names in document order, as an array of
+    ``(name, value)``, from one scan of the record. A value is the leading text,
+    stripped; NULL when it is empty."""
+    tag = rf"(?s)<{_PREFIX}{_names(names)}(?:\s[^>]*?)?(?:/>|>[^<]*(?:<!\[CDATA\[.*?\]\]>)?)"
+
+    def parts(found: Column) -> Column:
+        text = F.regexp_extract(found, r">([^<]*)", 1)
+        value = F.concat(decode_entities(text), F.regexp_extract(found, r"(?s)<!\[CDATA\[(.*)\]\]>$", 1))
+        return F.struct(F.regexp_extract(found, rf"^<{_PREFIX}([\w.\-]+)", 1).alias("name"),
+                        py_strip(F.nullif(value, F.lit(""))).alias("value"))
+
+    return F.transform(F.regexp_extract_all(xml, F.lit(tag), F.lit(0)), parts)
+
+
+def first_value(found: str, name: str) -> Column:
+    """Value of the first element of this name in a column of :func:`elements`; NULL
+    when there is none."""
+    return F.get(F.filter(F.col(found), lambda e: e["name"] == name), F.lit(0))["value"]
 
 
 def flatten_registry(parsed: DataFrame, keep: Sequence[str] = (), xml_col: str = "xml") -> DataFrame:
     """Registry fields by their fallback chains. ``start_date_raw`` is the date
     text as found; ``parse_failed`` marks malformed records."""
-    names = sorted({n for ns in FIELD_ELEMENTS.values() for n in ns})
-    texts = project_once(parsed, [*keep, CORRUPT_COLUMN], {f"_e_{n}": element_text(F.col(xml_col), n) for n in names})
-    fields = {"start_date_raw" if f == "start_date" else f: or_chain(*[f"_e_{n}" for n in ns]) for f, ns in FIELD_ELEMENTS.items()}
-    return texts.select(*keep, *[v.alias(k) for k, v in fields.items()], F.col(CORRUPT_COLUMN).isNotNull().alias("parse_failed"))
+    names = [n for ns in FIELD_ELEMENTS.values() for n in ns]
+    found = project_once(parsed, [*keep, CORRUPT_COLUMN], {"_elements": elements(F.col(xml_col), names)})
+    fields = {"start_date_raw" if f == "start_date" else f: or_chain(*[first_value("_elements", n) for n in ns])
+              for f, ns in FIELD_ELEMENTS.items()}
+    return project_once(found, list(keep), fields | {"parse_failed": F.col(CORRUPT_COLUMN).isNotNull()})
 
 
 def with_start_date(flat: DataFrame) -> DataFrame:

@@ -4,17 +4,21 @@ prefix-filtered candidate set equals brute force."""
 import random
 from difflib import SequenceMatcher
 
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
 from firmlink.functions.similarity import (
+    char_places,
     char_tokens,
+    common_subsequence,
     length_bound,
     min_overlap_py,
     multiset_bound,
     ratio_udf,
+    ratios,
 )
 from firmlink.operators.match import candidate_pairs
 from tests.conftest import SF01
@@ -126,3 +130,45 @@ def test_hot_block_with_rare_key_letters_is_not_all_pairs(spark):
     got = _cands(spark, reg, cc, cfg)
     assert got == _brute(reg, cc, cfg)
     assert len([p for p in got if p[0].startswith("qxz")]) < block_pairs // 100
+
+
+def _table_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for ch in a:
+        new = [0]
+        for j, other in enumerate(b):
+            new.append(row[j] + 1 if ch == other else max(new[j], row[j + 1]))
+        row = new
+    return row[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcé𝄞 ", max_size=90), st.text(alphabet="abcé𝄞 ", max_size=90))
+def test_common_subsequence_equals_the_table_and_bounds_the_ratio(a, b):
+    n = common_subsequence(a, char_places(b), len(b))
+    assert n == _table_lcs(a, b)
+    if a and b:
+        assert 2 * n / (len(a) + len(b)) >= SequenceMatcher(None, a, b).ratio() - 1e-12
+
+
+def test_subsequence_bound_keeps_scores_and_spares_the_matcher():
+    # repeated and popular characters too: the matcher treats those of texts of
+    # 200 characters and more apart
+    pairs = _pairs(3000, 11, alpha="abcdef") + _pairs(30, 12, alpha="ab", lo=190, hi=260)
+    pairs += [(a, a[:-1] + "x") for a, _ in pairs[:300]] + [("", "a"), ("a", ""), (None, "a"), ("same", "same")] * 2
+    a, b = (pd.Series([p[i] for p in pairs], dtype=object) for i in (0, 1))
+    plain = ratios(a, b)
+    for lo in (0.5, 0.8, 0.95, 1.0):
+        fed = []
+
+        def score(matcher):
+            fed.append(1)
+            return matcher.ratio()
+
+        bounded = ratios(a, b, lo, score)
+        want = plain.where(plain >= lo, 0.0)
+        assert (bounded.where(bounded >= lo, 0.0) == want).all()
+        reached = int((plain >= lo).sum())
+        assert reached <= len(fed) < len(pairs) - 8
+        if lo == 0.8:
+            assert len(fed) < 3 * reached

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Defaults of the matching job (block prefix length, score
-# bands, write mode).
+# Defaults of the matching job (block prefix length, score bands).
 DEFAULT_BLOCK_CHARS = 3
 DEFAULT_THRESHOLD_LO = 0.80
 DEFAULT_THRESHOLD_HI = 0.95
-DEFAULT_WRITE_MODE = "append"
+# The original job appends on every run; here a rerun adds nothing twice.
+DEFAULT_WRITE_MODE = "insert_if_absent"
 
 
 @dataclass(frozen=True)
@@ -21,8 +21,8 @@ class MatchConfig:
     ``confirm_limit`` bounds the distinct name pairs handed to a confirmation
     *function*; by default all are asked, and a bound warns with the number of
     pairs left out. A verdict table is never capped.
-    ``write_mode`` for the unified table: ``append`` (every run adds its
-    rows), ``overwrite``, or ``insert_if_absent`` on ``(abn, domain)``.
+    ``write_mode`` for the unified table: ``insert_if_absent`` on ``(abn,
+    domain)``, ``append`` (every run adds its rows) or ``overwrite``.
     """
 
     block_chars: int = DEFAULT_BLOCK_CHARS

@@ -15,7 +15,8 @@ pair; the first three cost no Python:
   at most the length of the longest one (found with bit operations in the batch,
   before the matcher runs).
 
-Characters are encoded as tokens ``"<char>#<k>"`` (k-th occurrence), so the
+The bounds of all pairs of two name lists are found by whole arrays (``NameTile``).
+As columns, characters are encoded as tokens ``"<char>#<k>"`` (k-th occurrence), so the
 multiset intersection is a plain ``array_intersect`` of token arrays.
 """
 
@@ -53,6 +54,107 @@ def common_subsequence(a: str, places: dict[str, int], n: int) -> int:
     return n - row.bit_count()
 
 
+def name_codes(names: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of some names end to end, as ``(name, place, code)``; characters
+    are numbered in ``alphabet``, which grows."""
+    lengths = np.array([len(n) for n in names], dtype=np.int64)
+    codes = np.array([alphabet.setdefault(ch, len(alphabet)) for n in names for ch in n], dtype=np.int64)
+    name = np.repeat(np.arange(len(names)), lengths)
+    return name, np.arange(len(codes)) - (np.cumsum(lengths) - lengths)[name], codes
+
+
+class NameTile:
+    """The bounds of all pairs of two name lists, by whole arrays."""
+
+    PAIRS = 1 << 18      # pairs bounded at once
+    SUBSEQUENCES = 1 << 15
+
+    def __init__(self, a: list[str], b: list[str]):
+        alphabet: dict[str, int] = {}
+        self.a, self.b = name_codes(a, alphabet), name_codes(b, alphabet)
+        self.chars = len(alphabet)
+        self.la, self.lb = (np.array([len(n) for n in names], dtype=np.int64) for names in (a, b))
+        self._indexed = None
+
+    def _counts(self, side, n: int, kind) -> np.ndarray:
+        name, _, code = side
+        return np.bincount(code * n + name, minlength=self.chars * n).reshape(self.chars, n).astype(kind)
+
+    def overlapping(self, lo: float):
+        """``(i, j, overlap)`` of the pairs whose length and multiset bounds reach
+        ``lo``, in slabs; ``overlap`` is the size of the multiset intersection."""
+        na, nb = len(self.la), len(self.lb)
+        if not na or not nb:
+            return
+        # an overlap is at most the shorter length
+        kind = np.min_scalar_type(int(max(self.la.max(), self.lb.max())))
+        ca, cb = self._counts(self.a, na, kind), self._counts(self.b, nb, kind)
+        both = np.flatnonzero(ca.any(axis=1) & cb.any(axis=1))
+        step = max(1, self.PAIRS // nb)
+        for s in range(0, na, step):
+            la = self.la[s:s + step, None]
+            overlap = np.zeros((len(la), nb), dtype=kind)
+            least = np.empty_like(overlap)
+            for ch in both:
+                overlap += np.minimum(ca[ch, s:s + step, None], cb[ch][None, :], out=least)
+            total = (la + self.lb).astype(np.float64)
+            reach = 2.0 * np.minimum(la, self.lb) / total >= lo
+            reach &= 2.0 * overlap.astype(np.float64) / total >= lo
+            i, j = np.nonzero(reach)
+            yield i + s, j, overlap[i, j].astype(np.int64)
+
+    def _index(self):
+        """Codes of the first names by place (a code without places behind their
+        ends), and the places of each code in the second names as bits of words."""
+        name, place, code = self.a
+        text = np.full((int(self.la.max()), len(self.la)), self.chars, dtype=np.int64)
+        text[place, name] = code
+        name, place, code = self.b
+        words = []
+        for w in range(int(self.lb.max()) + 63 >> 6):
+            here = place >> 6 == w
+            at = np.zeros((self.chars + 1, len(self.lb)), dtype=np.uint64)
+            np.bitwise_or.at(at, (code[here], name[here]), np.uint64(1) << (place[here] & 63).astype(np.uint64))
+            words.append(at.ravel())
+        return text, words
+
+    def subsequences(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Length of the longest common subsequence of each pair: the rows of
+        :func:`common_subsequence`, held in words of 64 bits, for many pairs."""
+        out = np.zeros(len(i), dtype=np.int64)
+        if not len(i):
+            return out
+        if self._indexed is None:
+            self._indexed = self._index()
+        text, words = self._indexed
+        order = np.argsort(self.la[i] + self.lb[j], kind="stable")
+        for s in range(0, len(order), self.SUBSEQUENCES):
+            part = order[s:s + self.SUBSEQUENCES]
+            a, b = i[part], j[part]
+            used = words[:int(self.lb[b].max()) + 63 >> 6]
+            rows = [np.full(len(part), ~np.uint64(0)) for _ in used]
+            for k in range(int(self.la[a].max())):
+                at = text[k].take(a) * len(self.lb) + b
+                carry = None
+                for w, places in enumerate(used):
+                    row = rows[w]
+                    hit = row & places.take(at)
+                    grown = row + hit
+                    if len(used) > 1:
+                        over = grown < row
+                        if carry is not None:
+                            grown += carry
+                            over |= grown < carry
+                        carry = over.astype(np.uint64)
+                    rows[w] = grown | (row ^ hit)
+            for w, row in enumerate(rows):
+                # zero bits are steps of the row; bits behind the text's end do not count
+                left = np.clip(self.lb[b] - 64 * w, 0, 64)
+                mask = np.where(left == 64, ~np.uint64(0), (np.uint64(1) << (left & 63).astype(np.uint64)) - np.uint64(1))
+                out[part] += np.bitwise_count(~row & mask).astype(np.int64)
+        return out
+
+
 def ratios(a: pd.Series, b: pd.Series, lo: float = 0.0, score=SequenceMatcher.ratio) -> pd.Series:
     """Ratios of a batch. The matcher indexes its second text, so the pairs are
     taken in the order of those and each is indexed once. Pairs whose longest

@@ -5,41 +5,48 @@ depends only on the two normalised names, so each name pair is scored once and
 joined back to rows at the end.
 
 Candidate generation (pairs that share the block key and may reach ``lo``) is
-exact and never enumerates all pairs of a block:
-
-1. both sides' names are encoded as character-occurrence tokens;
-2. the tokens of the block key are set aside: every name of a block holds
-   them, so they cannot tell its names apart (in a hot block they would pair
-   everything);
-3. the other tokens are ranked by how many names hold them (rarest first) and
-   each name keeps the first few as its prefix. Two names whose multiset
-   overlap reaches the bound share at least one prefix token (prefix-filter
-   lemma), so the join on ``(block_key, prefix token)`` loses no pair that can
-   score ``>= lo``; pairs of names so short that the shared key alone can
-   reach the bound are joined on the key (a bounded set per block);
-4. the length and multiset bounds are checked natively;
-5. the Arrow UDF scores only what is left.
+exact:
+
+1. the names of a block and a length class (lengths of equally many bits) are
+   dealt by hash into chunks of about ``CHUNK_NAMES``, on both sides, so that no
+   block, however hot, meets in one task;
+2. each pair of chunks of a block whose lengths allow it (a tile) is one row, and
+   the tiles are spread over the tasks. A tile's length and multiset bounds are found by whole arrays,
+   at some nanoseconds a pair; pairs below them are never rows. Each pair of
+   names lies in one tile, so there is nothing to de-duplicate;
+3. for scoring, the tile also drops the pairs whose longest common subsequence
+   keeps them below ``lo`` (bit operations on arrays);
+4. the Arrow UDF scores only what is left.
+
+All pairs of a block are bounded, so the work of a hot block grows with the
+product of its two sides, but its rows, shuffles and disk do not.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlink.config import MatchConfig
 from firmlink.functions.similarity import (
+    NameTile,
     char_tokens,
     length_bound,
     min_overlap,
-    multiset_bound,
     ratio_from_udf,
 )
 from firmlink.functions.text import MATCH_EXACT, block_key, norm_name
 from firmlink.operators.project import project_once
 
+#: Names of one side of a tile (a tile holds about the square of it in pairs), and
+#: the characters they may have together, which lessens the number of long ones.
+CHUNK_NAMES, CHUNK_CHARS = 1024, 1 << 18
+PAIR_COLUMNS = "r_norm string, c_norm string, bk string, r_len int, c_len int, overlap int"
 REGISTRY_ATTRS = ["entity_name", "entity_type", "address", "postcode", "state"]
 
 
@@ -81,7 +88,10 @@ def crawl_by_name(crawl: DataFrame) -> DataFrame:
 def name_table(names: DataFrame, cfg: MatchConfig, prefix: str) -> DataFrame:
     """Distinct names with block key, length, occurrence tokens and the
     tokens outside the block key. Names shorter than the block key only
-    equal themselves (the exact path), so they are left out."""
+    equal themselves (the exact path), so they are left out.
+
+    This and :func:`_token_pairs` are an index of single names by their rare
+    characters; :func:`candidate_pairs` bounds whole tiles instead."""
     n = F.col("norm")
     bk = block_key(n, cfg.block_chars)
     toks = char_tokens(n)
@@ -94,12 +104,6 @@ def name_table(names: DataFrame, cfg: MatchConfig, prefix: str) -> DataFrame:
     )
 
 
-def short_pair_bound(cfg: MatchConfig) -> int:
-    """Largest ``la + lb`` at which the shared block key alone can reach the
-    multiset bound (``ceil(lo*(la+lb)/2) <= block_chars``)."""
-    return int(math.floor(2 * cfg.block_chars / cfg.lo + 1e-9))
-
-
 def exact_name_pairs(reg_names: DataFrame, cc_names: DataFrame) -> DataFrame:
     """Equal normalised names: score 1.0, type EXACT."""
     return reg_names.join(cc_names, "norm", "inner").select(
@@ -117,7 +121,7 @@ def _prefix_tokens(names: DataFrame, side: str, rank: DataFrame, cfg: MatchConfi
     needs ``t - block_chars`` more common tokens, where ``t`` is the overlap
     the bound requires. The prefix holds ``len - block_chars - max(t -
     block_chars, 1) + 1`` tokens; pairs whose bound is met by the key alone
-    take the short path of :func:`candidate_pairs`.
+    need not share one.
     """
     norm, length, rest = f"{side}_norm", f"{side}_len", f"{side}_rest"
     exploded = names.select(
@@ -135,8 +139,8 @@ def _prefix_tokens(names: DataFrame, side: str, rank: DataFrame, cfg: MatchConfi
 
 
 def _token_pairs(r: DataFrame, c: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Token path of :func:`candidate_pairs` (one row per shared prefix
-    token that passes the positional and length filters)."""
+    """One row per shared prefix token of two names that passes the positional
+    and length filters."""
     # Document frequency of each token over both name sets; a few thousand
     # rows at most (alphabet x longest name), so AQE broadcasts it at runtime.
     rank = (
@@ -160,48 +164,64 @@ def _token_pairs(r: DataFrame, c: DataFrame, cfg: MatchConfig) -> DataFrame:
     )
 
 
+def _chunks(names: DataFrame, side: str, cfg: MatchConfig, hold: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """``(bk, bits, chunk, names)``: the names of each block and length class in
+    chunks. Names shorter than the block key only equal themselves (the exact path)."""
+    keyed = names.where(F.length("norm") >= cfg.block_chars).select(
+        "norm", block_key("norm", cfg.block_chars).alias("bk"), F.length(F.bin(F.length("norm"))).alias("bits"))
+    keyed = hold(keyed) if hold is not None else keyed
+    room = F.greatest(F.lit(1), F.least(F.lit(CHUNK_NAMES), F.floor(F.lit(CHUNK_CHARS) / F.pow(F.lit(2.0), "bits"))))
+    sizes = keyed.groupBy("bk", "bits").agg(F.ceil(F.count(F.lit(1)) / room).alias("n"))
+    chunk = F.pmod(F.xxhash64("norm"), F.col("n")).alias(f"{side}_chunk")
+    return keyed.join(sizes, ["bk", "bits"]).groupBy("bk", F.col("bits").alias(f"{side}_bits"), chunk).agg(
+        F.collect_list("norm").alias(f"{side}_names"))
+
+
+def tile_pairs(lo: float, subsequence: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: tiles ``(bk, r_names, c_names)`` to their unequal pairs
+    that reach the bounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bk, r, c in zip(batch.column("bk"), batch.column("r_names"), batch.column("c_names")):
+                r_names, c_names = r.as_py(), c.as_py()
+                c_place = {n: j for j, n in enumerate(c_names)}
+                same = np.array([c_place.get(n, -1) for n in r_names])
+                tile = NameTile(r_names, c_names)
+                for i, j, overlap in tile.overlapping(lo):
+                    keep = same[i] != j
+                    if subsequence:
+                        keep &= 2.0 * tile.subsequences(i, j) / (tile.la[i] + tile.lb[j]) >= lo - 1e-9
+                    i, j, overlap = i[keep], j[keep], overlap[keep]
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays(
+                            [r.values.take(pa.array(i)), c.values.take(pa.array(j)), pa.repeat(bk, len(i)),
+                             *[pa.array(x, pa.int32()) for x in (tile.la[i], tile.lb[j], overlap)]],
+                            names=["r_norm", "c_norm", "bk", "r_len", "c_len", "overlap"])
+
+    return run
+
+
 def candidate_pairs(reg_names: DataFrame, cc_names: DataFrame, cfg: MatchConfig,
-                    hold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                    hold: Callable[[DataFrame], DataFrame] | None = None, subsequence: bool = False) -> DataFrame:
     """Distinct unequal name pairs in one block that pass the length and
-    multiset bounds: ``(r_norm, c_norm, bk, r_len, c_len, overlap)``.
+    multiset bounds: ``(r_norm, c_norm, bk, r_len, c_len, overlap)``; with
+    ``subsequence`` only those that pass the subsequence bound too.
 
     ``reg_names``/``cc_names`` hold one column ``norm`` of distinct non-NULL
-    names. ``hold`` (e.g. :func:`materialize`) is applied to the two token
-    tables, which the frequency ranking and the prefix step both read.
-
-    Two paths, both exact:
-
-    * token path: join on ``(block key, prefix token)`` over the tokens
-      outside the block key (which every name of the block shares);
-    * short path: pairs with ``la + lb <= short_pair_bound`` may need no
-      token beyond the key; they are joined on the block key among names of
-      at most ``short_pair_bound - block_chars`` characters (a bounded set
-      per block: the key plus a few characters).
+    names. ``hold`` (e.g. :func:`materialize`) is applied to the two tables of
+    names with their keys, which the block sizes and the chunks both read.
     """
-    r = name_table(reg_names, cfg, "r")
-    c = name_table(cc_names, cfg, "c")
-    if hold is not None:
-        r, c = hold(r), hold(c)
-    by_token = _token_pairs(r, c, cfg)
-    cols = ["r_norm", "c_norm", "bk", "r_len", "c_len", "r_toks", "c_toks"]
-    s = short_pair_bound(cfg)
-    short_len = s - cfg.block_chars
-    rs = r.filter(F.col("r_len") <= short_len).drop("r_rest")
-    cs = c.filter(F.col("c_len") <= short_len).drop("c_rest")
-    short = rs.join(cs, "bk", "inner").filter(F.col("r_len") + F.col("c_len") <= s).select(*cols)
-    lo = F.lit(cfg.lo)
-    pairs = (
-        by_token.unionByName(short)
-        .filter(F.col("r_norm") != F.col("c_norm"))
-        .filter(length_bound(F.col("r_len"), F.col("c_len")) >= lo)
-        .dropDuplicates(["r_norm", "c_norm"])
-    )
-    return pairs.filter(
-        multiset_bound(F.col("r_toks"), F.col("c_toks"), F.col("r_len"), F.col("c_len")) >= lo
-    ).select(
-        "r_norm", "c_norm", "bk", "r_len", "c_len",
-        F.size(F.array_intersect("r_toks", "c_toks")).alias("overlap"),
-    )
+    # by the length bound the longer name has at most (2 - lo) / lo times the length
+    # of the shorter, so the bits of their lengths differ by its logarithm at most
+    apart = math.ceil(math.log2((2.0 - cfg.lo) / cfg.lo) + 1e-9)
+    tiles = _chunks(reg_names, "r", cfg, hold).join(_chunks(cc_names, "c", cfg, hold), "bk")
+    tiles = tiles.where(F.abs(F.col("r_bits") - F.col("c_bits")) <= apart)
+    # an explicit partition count: adaptive coalescing goes by bytes and would
+    # put tiles of few bytes, however many pairs they hold, into one task
+    parts = int(reg_names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = tiles.repartition(parts, "bk", "r_bits", "c_bits", "r_chunk", "c_chunk").select("bk", "r_names", "c_names")
+    return tiles.mapInArrow(tile_pairs(cfg.lo, subsequence), PAIR_COLUMNS)
 
 
 def score_pairs(cands: DataFrame, cfg: MatchConfig) -> DataFrame:

@@ -5,7 +5,7 @@ Plan (all lazy, one Spark job per action):
     registry rows --norm--> one row per (norm, abn)    --+
     crawl rows    --norm--> one row per (norm, domain) --+
     distinct names --> exact name pairs (EXACT)          |
-                   --> candidates (block + prefix filter + bounds)
+                   --> candidates (tiles of a block's names, bounds by whole arrays)
                    --> Arrow ratio --> bands --> verdicts (FUZZY_HIGH / FUZZY_LLM)
     name pairs JOIN registry rows ON r_norm JOIN crawl rows ON c_norm
     --> best row per (abn, domain): precedence, score, then the row values
@@ -46,9 +46,9 @@ class MatchStages:
     The per-name tables are materialised once (a table under the cluster's
     checkpoint folder, else persisted): they feed the name sets, the
     candidate generation and the final join-back, and would otherwise each
-    re-read and re-normalise the source tables. The token tables of the
-    candidate generation and the scored pairs (the one Python step) are
-    materialised on first use for the same reason.
+    re-read and re-normalise the source tables. The keyed names of the
+    candidate generation and the scored pairs are materialised on first use
+    for the same reason.
     """
 
     def __init__(self, registry: DataFrame, crawl: DataFrame, cfg: MatchConfig, materialize_stages: bool = True):
@@ -65,20 +65,24 @@ class MatchStages:
         self._candidates = None
         self._scored = None
 
+    def _pairs(self, subsequence: bool) -> DataFrame:
+        hold = self._mat if self._materialize else None
+        return candidate_pairs(self.reg_names, self.crawl_names, self.cfg, hold=hold, subsequence=subsequence)
+
     @property
     def candidates(self) -> DataFrame:
-        """``(r_norm, c_norm, bk, r_len, c_len, overlap)``; the token tables
+        """``(r_norm, c_norm, bk, r_len, c_len, overlap)``; the keyed names
         are materialised on first use."""
         if self._candidates is None:
-            hold = self._mat if self._materialize else None
-            self._candidates = candidate_pairs(self.reg_names, self.crawl_names, self.cfg, hold=hold)
+            self._candidates = self._pairs(False)
         return self._candidates
 
     @property
     def scored(self) -> DataFrame:
-        """``(r_norm, c_norm, fuzzy_score)`` with score ``>= lo``."""
+        """``(r_norm, c_norm, fuzzy_score)`` with score ``>= lo``, from the
+        candidates that pass the subsequence bound too."""
         if self._scored is None:
-            self._scored = self._mat(score_pairs(self.candidates, self.cfg))
+            self._scored = self._mat(score_pairs(self._pairs(True), self.cfg))
         return self._scored
 
 

@@ -172,3 +172,64 @@ def test_subsequence_bound_keeps_scores_and_spares_the_matcher():
         assert reached <= len(fed) < len(pairs) - 8
         if lo == 0.8:
             assert len(fed) < 3 * reached
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcé𝄞 ", min_size=1, max_size=150), min_size=1, max_size=8, unique=True),
+       st.lists(st.text(alphabet="abcé𝄞 ", min_size=1, max_size=150), min_size=1, max_size=8, unique=True))
+def test_tile_bounds_equal_the_plain_ones(a, b):
+    import numpy as np
+
+    from firmlink.functions.similarity import NameTile
+
+    tile = NameTile(a, b)
+    tile.PAIRS, tile.SUBSEQUENCES = 4, 3
+    got = {(i, j): n for s in tile.overlapping(0.6) for i, j, n in zip(*(x.tolist() for x in s))}
+    plain = {}
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            n = sum(min(x.count(ch), y.count(ch)) for ch in set(x))
+            if 2.0 * n / (len(x) + len(y)) >= 0.6:
+                plain[i, j] = n
+    assert got == plain
+    i, j = (v.ravel() for v in np.indices((len(a), len(b))))
+    want = [common_subsequence(a[x], char_places(b[y]), len(b[y])) for x, y in zip(i, j)]
+    assert tile.subsequences(i, j).tolist() == want
+
+
+def _join_rows(node):
+    """Rows out of the joins of an executed plan."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _join_rows(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _join_rows(node.plan())
+    metric = node.metrics().get("numOutputRows")
+    own = metric.get().value() if "Join" in name and metric.isDefined() else 0
+    return own + sum(_join_rows(node.children().apply(k)) for k in range(node.children().size()))
+
+
+def test_a_hot_block_makes_no_row_for_a_pair_below_the_bounds(spark, monkeypatch):
+    from firmlink.operators import match as M
+
+    rnd = random.Random(5)
+    names = lambda k: sorted({"the " + "".join(rnd.choice("etaonishr d") for _ in range(rnd.randint(20, 50))) for _ in range(k)})
+    reg, cc = names(300), names(300)
+    cc += [n[:-2] for n in reg[:40]]
+    dfs = [spark.createDataFrame([(n,) for n in ns], "norm string") for ns in (reg, cc)]
+    cfg = MatchConfig()
+    brute = _brute(reg, cc, cfg)
+    pairs = candidate_pairs(*dfs, cfg)
+    assert {(x.r_norm, x.c_norm) for x in pairs.collect()} == brute
+    # a row of the joins is a name or a tile, no pair of names
+    assert _join_rows(pairs._jdf.queryExecution().executedPlan()) < 2 * (len(reg) + len(cc)) < len(brute)
+    # many chunks of few names, and of few characters
+    for room in ({"CHUNK_NAMES": 32}, {"CHUNK_CHARS": 1 << 9}):
+        with monkeypatch.context() as m:
+            for k, v in room.items():
+                m.setattr(M, k, v)
+            rows = [(x.r_norm, x.c_norm) for x in candidate_pairs(*dfs, cfg).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == brute
+    near = {(x.r_norm, x.c_norm) for x in candidate_pairs(*dfs, cfg, subsequence=True).collect()}
+    scored = {(a, b) for a, b in brute if SequenceMatcher(None, a, b).ratio() >= cfg.lo}
+    assert len(scored) >= 40 and scored <= near < brute

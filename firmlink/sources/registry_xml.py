@@ -96,7 +96,12 @@ def read_registry_xml(spark: SparkSession, path: str, tags: Sequence[str] = RECO
 def parse_registry_xml(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     """Check one XML record per row of a string column: ``_corrupt`` holds the
     text of a malformed one. Prefixes are dropped first: they may be declared
-    outside the record."""
+    outside the record.
+
+    Records are dealt evenly over the session's shuffle partitions first: parsing
+    costs far more than reading, and inputs of few bytes come in few partitions,
+    however many records they hold."""
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bare = F.regexp_replace(F.regexp_replace(F.col(xml_col), r"(</?)[\w.\-]+:", "$1"), r"\s[\w.\-]+:(?=[\w.\-]+\s*=)", " ")
     parsed = F.from_xml(bare, f"_any string, {CORRUPT_COLUMN} string", XML_OPTIONS)
     others = [c for c in df.columns if c != CORRUPT_COLUMN]

@@ -179,3 +179,12 @@ def test_parse_reads_the_source_once(spark):
     df = spark.createDataFrame([(1, "<ABR><ABN>1</ABN></ABR>")], "k long, xml string")
     plan = flatten_registry(parse_registry_xml(df), keep=["k"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml") <= 1
+
+
+def test_records_of_one_partition_are_parsed_by_several_tasks(spark):
+    one = spark.range(0, 4000, 1, 1).select("id", F.format_string("<ABR><ABN>%011d</ABN></ABR>", "id").alias("xml"))
+    assert one.rdd.getNumPartitions() == 1
+    flat = flatten_registry(parse_registry_xml(one), keep=["id"])
+    tasks = flat.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) > 1 and max(t["count"] for t in tasks) < 4000 / 2
+    assert {(r.id, r.abn) for r in flat.select("id", "abn").collect()} == {(k, f"{k:011d}") for k in range(4000)}

@@ -7,12 +7,15 @@ them. The same rules are written in SQL in ``oracle_queries.py``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlink.functions.html import html_title_name
 from firmlink.functions.text import norm_name
 from firmlink.functions.url import url_domain
+from firmlink.operators.project import project_once
 from firmlink.sources.tables import scratch_path
 
 
@@ -31,19 +34,18 @@ def _pick(values, index: Column) -> Column:
 # --- matching fixture ------------------------------------------------------
 
 def crawl_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``cc``: one crawl row per page, name from the title."""
+    """``cc``: one crawl row per page, name from the title (searched once a page,
+    however often the name is used)."""
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
     industry = F.when(pid % 4 == 3, F.lit(None).cast("string")).otherwise(
         _pick(("Mining", "Retail", "Finance"), pid % 3)
     )
-    return p.select(
-        "page_id",
-        "url",
-        url_domain("url").alias("domain"),
-        html_title_name("html").alias("extracted_name"),
-        industry.alias("extracted_industry"),
-    )
+    return project_once(p, ["page_id", "url"], {
+        "domain": url_domain("url"),
+        "extracted_name": html_title_name("html"),
+        "extracted_industry": industry,
+    })
 
 
 def registry_names(cc: DataFrame) -> DataFrame:
@@ -75,8 +77,11 @@ def registry_names(cc: DataFrame) -> DataFrame:
     )
 
 
-def unify_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    cc = crawl_names(spark, sf_dir)
+def unify_inputs(spark: SparkSession, sf_dir: str,
+                 hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """``hold`` (e.g. ``materialize``) is applied to the crawl names, from which the
+    registry and the verdict table are derived too."""
+    cc = hold(crawl_names(spark, sf_dir))
     return registry_names(cc), cc
 
 
@@ -87,14 +92,16 @@ def verdict_table(registry: DataFrame, crawl: DataFrame) -> DataFrame:
     answer (2). Where the length is a multiple of 6 the answer is given twice;
     where it is odd and a multiple of 3 a ``no`` contradicts it. Pairs of the
     name with itself reversed are unknown to every match."""
-    r = registry.select("page_id", norm_name("entity_name").alias("reg_norm"))
-    c = crawl.select("page_id", norm_name("extracted_name").alias("crawl_norm"))
+    r = project_once(registry, ["page_id"], {"reg_norm": norm_name("entity_name")})
+    c = project_once(crawl, ["page_id"], {"crawl_norm": norm_name("extracted_name")})
     pairs = r.join(c, "page_id").where("reg_norm IS NOT NULL AND crawl_norm IS NOT NULL").select("reg_norm", "crawl_norm").distinct()
     ln = F.length("reg_norm")
     yes, no = F.lit("  YES, the same"), F.lit("No")
     answers = F.when(ln % 6 == 0, F.array(F.lit("Yes."), yes)).when(ln % 3 == 0, F.array(no, yes)).when(ln % 3 == 1, F.array(no))
-    strange = pairs.select("reg_norm", F.reverse("reg_norm").alias("crawl_norm"), F.lit("Yes.").alias("answer"))
-    return pairs.select("reg_norm", "crawl_norm", F.explode(answers).alias("answer")).unionByName(strange)
+    answers = F.coalesce(answers, F.array().cast("array<string>"))
+    known = F.transform(answers, lambda a: F.struct(F.col("crawl_norm").alias("crawl_norm"), a.alias("answer")))
+    strange = F.struct(F.reverse("reg_norm").alias("crawl_norm"), F.lit("Yes.").alias("answer"))
+    return pairs.select("reg_norm", F.inline(F.concat(known, F.array(strange))))
 
 
 def confirm_by_length(pairs):

@@ -89,3 +89,15 @@ def test_null_safe_insert(spark):
     path = scratch_path(spark, "nulls")
     first.write.parquet(path)
     assert insert_if_absent(new, spark.read.parquet(path), ["abn", "domain"], ["v"], nulls_equal=True).count() == 0
+
+
+def test_the_verdict_table_searches_each_title_once(spark):
+    from firmlink import fixtures as fx
+
+    reg, cc = fx.unify_inputs(spark, SF001)
+    searches = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("<title")
+    assert searches(fx.verdict_table(reg, cc)) == 2 * searches(cc) > 0  # once for each side
+    held = fx.unify_inputs(spark, SF001, lambda df: materialize(df, "names"))
+    answers = fx.verdict_table(*held)
+    assert searches(answers) == 0
+    assert sorted(map(tuple, answers.collect())) == sorted(map(tuple, fx.verdict_table(reg, cc).collect()))

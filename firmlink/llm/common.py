@@ -82,6 +82,9 @@ def ordered(docs: DataFrame, id_col: str, tables: Tables) -> tuple[DataFrame, st
     return tables.save(in_order.withColumn(ord_col, F.monotonically_increasing_id()), "ordered"), ord_col
 
 
+#: Ids that choose rows with texts are broadcast up to so many (8 bytes each).
+BROADCAST_IDS = 2_000_000
+
 #: Edge tables of up to so many rows are handled in one partition, without shuffles.
 SMALL_EDGES = 200_000
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlink.llm.common import Tables, free_name, link_buckets
+from firmlink.llm.common import BROADCAST_IDS, Tables, free_name, link_buckets
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -146,18 +146,24 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` (all its columns) for each class: one with the
     class's smallest id. Where an id occurs in several rows, they are told
-    apart by their fingerprints. A class without any id keeps one row too."""
+    apart by their fingerprints. A class without any id keeps one row too.
+
+    Ids whose rows do not all stay are sent to the texts (up to ``BROADCAST_IDS``;
+    more are joined by a shuffle), so that the texts need not move."""
     tables = Tables(docs.sparkSession, "simhash-drop")
     rows = tables.save(_classes(docs, id_col, text_col, shingle, max_bits), "classes")
     kept = F.col("id").eqNullSafe(F.col("component_id"))
-    ids = tables.save(rows.groupBy("id").agg(F.count("*").alias("n"), F.max(kept).alias("k")).where("k").drop("k"), "ids")
-    one_id = free_name(docs, "kept")
-    one = ids.where("n = 1 AND id IS NOT NULL").select(F.col("id").alias(one_id))
-    out = docs.join(one, F.col(id_col) == F.col(one_id), "left_semi")
-    if ids.where("n > 1 OR id IS NULL").isEmpty():
+    ids = rows.groupBy("id").agg(F.count("*").alias("n"), F.max(kept).alias("k"))
+    ids = tables.save(ids.where("NOT k OR n > 1 OR id IS NULL"), "ids")
+    other_id = free_name(docs, "other_id")
+    others = ids.where("id IS NOT NULL").select(F.col("id").alias(other_id))
+    others = F.broadcast(others) if others.count() <= BROADCAST_IDS else others
+    out = docs.where(F.col(id_col).isNotNull()).join(others, F.col(id_col) == F.col(other_id), "left_anti")
+    ids = ids.where("k")
+    if ids.isEmpty():
         return out
     fp, c, other, other_fp, other_text = (free_name(docs, x) for x in ("fp", "c", "other", "other_fp", "other_text"))
-    many = rows.where(kept).join(ids.where("n > 1 OR id IS NULL").select(F.col("id").alias("i")), F.col("id").eqNullSafe(F.col("i")))
+    many = rows.where(kept).join(ids.select(F.col("id").alias("i")), F.col("id").eqNullSafe(F.col("i")))
     many = many.select(F.col("id").alias(other), F.col("fp").alias(other_fp), F.col("c").alias(c)).distinct()
     again = fingerprints(docs.withColumn(other_text, F.col(text_col)), other_text, fp, shingle)
     again = again.join(many, F.col(id_col).eqNullSafe(F.col(other)) & (F.col(fp) == F.col(other_fp)))

@@ -175,3 +175,31 @@ def test_simhash_keeps_columns_with_the_names_of_its_own(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string, other_text string, other_fp string")
     got = {tuple(r) for r in simhash.drop_near_duplicates(docs, shingle=3, max_bits=3).collect()}
     assert got == {r for r in rows if r[0] != 2}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_meet_removed_lines_by_one_plan_at_every_size(spark):
+    line = "a line of some length that two texts hold"
+    docs = docs_of(spark, [(1, f"{line}\nfirst"), (2, f"{line}\nsecond"), (3, None)])
+    out = line_dedup.drop_duplicate_lines(docs)
+    assert "SortMergeJoin" in _plan(out) and "BroadcastHashJoin" not in _plan(out)
+    assert sorted(map(tuple, out.collect())) == [(1, f"{line}\nfirst"), (2, "second"), (3, None)]
+
+
+def test_near_duplicates_are_dropped_without_a_shuffle_of_the_texts(spark, monkeypatch):
+    docs = docs_of(spark, [(i, f"text {i % 5} of one word list and number {i % 5}") for i in range(12)] + [(None, "text without id")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        out = simhash.drop_near_duplicates(docs.where("doc_id IS NOT NULL"))
+        assert "BroadcastHashJoin" in _plan(out) and "SortMergeJoin" not in _plan(out)
+        want = sorted({r.component_id for r in simhash.near_duplicates(docs.where("doc_id IS NOT NULL")).collect()})
+        assert sorted(r.doc_id for r in out.collect()) == want and len(want) < 12
+        both = sorted((r.doc_id or -1 for r in simhash.drop_near_duplicates(docs).collect()))
+        monkeypatch.setattr(simhash, "BROADCAST_IDS", 0)
+        more = simhash.drop_near_duplicates(docs)
+        assert "SortMergeJoin" in _plan(more) and sorted(r.doc_id or -1 for r in more.collect()) == both
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

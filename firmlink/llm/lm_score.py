@@ -17,6 +17,10 @@ The relations, and how they meet:
 * *documents*: a chunk's answers meet its words again (grouped by chunk), and
   the scores of its n-grams are summed for each document.
 
+The blocks are by far the largest relation, so the hash space is asked in ``ROUNDS``
+rounds: the answers of a round, much smaller, are saved before the next one, and
+its blocks can go. All n-grams are asked, each in one round.
+
 An n-gram is a 64-bit hash (``KEY_BITS``), equal for all tasks; sorted blocks are
 sent as differences. Every part and chunk has a bounded size, and a frequent
 n-gram is one number in each block, so there are no hot keys.
@@ -24,6 +28,8 @@ n-gram is one number in each block, so there are no hot keys.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
@@ -37,6 +43,8 @@ ORDER = 3
 ALPHA = 0.4
 KEY_BITS = 64
 CHUNK_WORDS, PART_BYTES = 800_000, 4 << 20
+#: Rounds in which the parts of the hash space are asked, one after another.
+ROUNDS = 4
 
 U = np.uint64
 CHUNK_SCHEMA = "chunk string, docs array<string>, n binary, vocabulary binary, codes binary"
@@ -99,21 +107,25 @@ def counted(names, n, order):
     return distinct, places
 
 
-def cut_points(distinct: np.ndarray, parts: int) -> np.ndarray:
-    """Where the sorted keys go from one part of the hash space to the next."""
-    edges = [((p << KEY_BITS) + parts - 1) // parts for p in range(1, parts)]
-    return np.concatenate([[0], np.searchsorted(distinct, np.array(edges, np.uint64)), [len(distinct)]]).astype(np.int64)
+def edge(p: int, parts: int) -> int:
+    """The least key of a part of the hash space."""
+    return ((p << KEY_BITS) + parts - 1) // parts
 
 
-def ask(row, order: int, parts: int):
-    """Blocks ``(p, chunk, keys, counts)`` of one chunk."""
+def ask(row, order: int, parts: int, begin: int = 0, end: int | None = None):
+    """Blocks ``(p, chunk, keys, counts)`` of one chunk for the parts from ``begin``
+    up to ``end``."""
+    end = parts if end is None else end
+    n = np.frombuffer(row.n, np.int64)
     names = names_of(row)
-    distinct, places = counted(names, np.frombuffer(row.n, np.int64), order)
-    number = np.bincount(np.concatenate([p[p >= 0] for p in places]), minlength=len(distinct))
-    cut = cut_points(distinct, parts)
+    low, high, deep = U(edge(begin, parts)), U(edge(end, parts) - 1), depth(n)
+    keys = [key[(deep >= k) & (key >= low) & (key <= high)] for k, key in enumerate(grams(names, n, order), 1)] if len(names) else []
+    distinct, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
+    inner = np.array([edge(p, parts) for p in range(begin + 1, end)], np.uint64)
+    cut = np.concatenate([[0], np.searchsorted(distinct, inner), [len(distinct)]]).astype(np.int64)
     for p in np.flatnonzero(np.diff(cut)).tolist():
         own = distinct[cut[p]:cut[p + 1]]
-        yield p, row.chunk, planes(np.diff(own, prepend=U(0)), 8), planes(number[cut[p]:cut[p + 1]], 4)
+        yield begin + p, row.chunk, planes(np.diff(own, prepend=U(0)), 8), planes(number[cut[p]:cut[p + 1]], 4)
 
 
 def answer(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -187,15 +199,23 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     corpus_words //= 4
     parts = max(1, -(-corpus_words * 6 // part_bytes))
 
-    def blocks(batches):
-        for pdf in batches:
-            for row in pdf.itertuples():
-                got = list(ask(row, order, parts))
-                if got:
-                    yield pd.DataFrame(got, columns=["p", "chunk", "keys", "counts"])
-
-    asked = chunks.drop("docs").mapInPandas(blocks, "p int, chunk string, keys binary, counts binary")
-    answers = asked.groupBy("p").applyInPandas(answer, "chunk string, p int, counts binary")
+    def blocks(begin: int, end: int):
+        def run(batches):
+            for pdf in batches:
+                for row in pdf.itertuples():
+                    got = list(ask(row, order, parts, begin, end))
+                    if got:
+                        yield pd.DataFrame(got, columns=["p", "chunk", "keys", "counts"])
+
+        return run
+
+    rounds = min(ROUNDS, parts)
+    answers = []
+    for r in range(rounds):
+        asked = chunks.drop("docs").mapInPandas(
+            blocks(r * parts // rounds, (r + 1) * parts // rounds), "p int, chunk string, keys binary, counts binary")
+        answers.append(tables.save(asked.groupBy("p").applyInPandas(answer, "chunk string, p int, counts binary"), "answers"))
+    answers = reduce(DataFrame.unionByName, answers)
 
     def total(words: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -208,3 +209,18 @@ def test_lm_scores_against_brute_force(spark, monkeypatch):
     assert all(math.isclose(r.log_score, want[r.doc_id][1], rel_tol=1e-9, abs_tol=1e-9) for r in again)
     assert lm_score.score_documents(docs_of(spark, [])).count() == 0
     assert lm_score.score_documents(docs_of(spark, [(None, None), (None, "a b"), (None, "a b")])).count() == 3
+
+
+def test_lm_blocks_are_asked_in_rounds(spark):
+    rows = [(d, t) for d, t in repetitive_rows(9)]
+    names, texts = zip(*rows)
+    row = pd.DataFrame([lm_score.chunk_row("0-0", list(names), list(texts))],
+                       columns=[c.split()[0] for c in lm_score.CHUNK_SCHEMA.split(", ")]).iloc[0]
+    whole = list(lm_score.ask(row, 3, 7))
+    some = [list(lm_score.ask(row, 3, 7, a, b)) for a, b in ((0, 1), (1, 5), (5, 7))]
+    assert sum(some, []) == whole and [p for p, *_ in whole] == list(range(7)) and all(some)
+    names_, n = lm_score.names_of(row), np.frombuffer(row.n, np.int64)
+    assert sum(len(k) for _, _, k, _ in whole) == 8 * len(lm_score.counted(names_, n, 3)[0])
+    scored = lm_score.score_documents(docs_of(spark, rows), part_bytes=3000)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "keys#" not in plan and plan.count("FileScan") == 1 + lm_score.ROUNDS  # chunks and saved answers
